@@ -60,6 +60,52 @@ REG_STG_COLS = ("code_insee_region, libelle_region, date_heure, consommation_mw,
                 "ech_physiques_mw, eolien_terrestre_mw, eolien_offshore_mw, tco_thermique, "
                 "tco_nucleaire, tco_eolien, tco_solaire, tco_hydraulique, tco_bioenergies, _loaded_at")
 
+def stg_national_body(src: str) -> str:
+    return f"""
+  SELECT {NAT_STG_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY date_heure
+                                 ORDER BY _loaded_at DESC NULLS FIRST, _row_key DESC NULLS LAST) AS rn
+    FROM {src}
+    WHERE date_heure IS NOT NULL AND consommation_mw IS NOT NULL AND consommation_mw > 0)
+  WHERE rn = 1"""
+
+
+def int_national_body(src: str) -> str:
+    return f"""
+  SELECT date_heure, consommation_mw, prevision_j1_mw, prevision_j_mw, nucleaire_mw,
+         hydraulique_mw, eolien_mw, solaire_mw, gaz_mw, fioul_mw, charbon_mw, bioenergies_mw,
+         pompage_mw, ech_physiques_mw, taux_co2, _loaded_at,
+         CAST(hour(date_heure) AS INTEGER) AS heure,
+         {DAYNAME} AS jour_semaine,
+         {WEEKEND} AS flag_weekend,
+         CAST(month(date_heure) AS INTEGER) AS mois,
+         CAST(year(date_heure) AS INTEGER) AS annee,
+         {SEASON} AS saison,
+         {COVID} AS flag_covid,
+         {CRISIS} AS flag_crise_nuc_2022,
+         {GREEN} AS indice_vert,
+         {share(LOWC)} AS part_bas_carbone,
+         {share(RENEW)} AS part_renouvelables,
+         {share(FOSS)} AS part_fossiles
+  FROM {src}"""
+
+
+MART_NATIONAL_COLS = (
+    "date_heure, heure, saison, jour_semaine, mois, annee, flag_weekend, flag_covid, "
+    "flag_crise_nuc_2022, consommation_mw, prevision_j1_mw, prevision_j_mw, ecart_prevision_mw, "
+    "nucleaire_mw, hydraulique_mw, eolien_mw, solaire_mw, gaz_mw, fioul_mw, charbon_mw, "
+    "bioenergies_mw, pompage_mw, ech_physiques_mw, taux_co2, indice_vert, part_bas_carbone, "
+    "part_renouvelables, part_fossiles, _loaded_at")
+
+
+def mart_national_body(src: str) -> str:
+    cols = MART_NATIONAL_COLS.replace(
+        "ecart_prevision_mw", rnd("consommation_mw - prevision_j_mw", 2) + " AS ecart_prevision_mw")
+    return f"""
+  SELECT {cols}
+  FROM {src}"""
+
+
 CTES: list[tuple[str, str]] = [
     ("li_agg", f"""
   SELECT l_orderkey AS o_orderkey, sum(l_quantity) AS q_all,
@@ -136,38 +182,9 @@ CTES: list[tuple[str, str]] = [
   FROM nat_rt_raw"""),
     ("nat_union", """
   SELECT * FROM nat_hist_clean UNION ALL BY NAME SELECT * FROM nat_rt_clean"""),
-    ("stg_national", f"""
-  SELECT {NAT_STG_COLS} FROM (
-    SELECT *, row_number() OVER (PARTITION BY date_heure
-                                 ORDER BY _loaded_at DESC NULLS FIRST, _row_key DESC NULLS LAST) AS rn
-    FROM nat_union
-    WHERE date_heure IS NOT NULL AND consommation_mw IS NOT NULL AND consommation_mw > 0)
-  WHERE rn = 1"""),
-    ("int_national", f"""
-  SELECT date_heure, consommation_mw, prevision_j1_mw, prevision_j_mw, nucleaire_mw,
-         hydraulique_mw, eolien_mw, solaire_mw, gaz_mw, fioul_mw, charbon_mw, bioenergies_mw,
-         pompage_mw, ech_physiques_mw, taux_co2, _loaded_at,
-         CAST(hour(date_heure) AS INTEGER) AS heure,
-         {DAYNAME} AS jour_semaine,
-         {WEEKEND} AS flag_weekend,
-         CAST(month(date_heure) AS INTEGER) AS mois,
-         CAST(year(date_heure) AS INTEGER) AS annee,
-         {SEASON} AS saison,
-         {COVID} AS flag_covid,
-         {CRISIS} AS flag_crise_nuc_2022,
-         {GREEN} AS indice_vert,
-         {share(LOWC)} AS part_bas_carbone,
-         {share(RENEW)} AS part_renouvelables,
-         {share(FOSS)} AS part_fossiles
-  FROM stg_national"""),
-    ("mart_national", f"""
-  SELECT date_heure, heure, saison, jour_semaine, mois, annee, flag_weekend, flag_covid,
-         flag_crise_nuc_2022, consommation_mw, prevision_j1_mw, prevision_j_mw,
-         {rnd('consommation_mw - prevision_j_mw', 2)} AS ecart_prevision_mw,
-         nucleaire_mw, hydraulique_mw, eolien_mw, solaire_mw, gaz_mw, fioul_mw, charbon_mw,
-         bioenergies_mw, pompage_mw, ech_physiques_mw, taux_co2, indice_vert, part_bas_carbone,
-         part_renouvelables, part_fossiles, _loaded_at
-  FROM int_national"""),
+    ("stg_national", stg_national_body("nat_union")),
+    ("int_national", int_national_body("stg_national")),
+    ("mart_national", mart_national_body("int_national")),
     ("pattern_cells", f"""
   SELECT heure, saison, jour_semaine, flag_weekend,
          {rnd('avg(taux_co2)', 2)} AS avg_taux_co2,
