@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gridmix.functions.cleaning import lenient_timestamp
 from gridmix.operators.upsert import MergeSpec, upsert
 from gridmix.session import checkpoint_dir
 
@@ -59,9 +60,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def with_year(df: DataFrame, ts: str = "date_heure") -> DataFrame:
+    """Add the ``year`` partition column; text times are parsed leniently
+    (unparseable text lands in the NULL partition)."""
     if PARTITION_COL in df.columns:
         return df
-    return df.withColumn(PARTITION_COL, F.year(F.col(ts)))
+    t = F.col(ts)
+    if dict(df.dtypes)[ts] == "string":
+        t = lenient_timestamp(t)
+    return df.withColumn(PARTITION_COL, F.year(t))
 
 
 def append(df: DataFrame, path: str, ts: str = "date_heure") -> None:
