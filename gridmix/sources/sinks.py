@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import os
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gridmix.functions.cleaning import lenient_timestamp
 from gridmix.operators.upsert import MergeSpec, upsert
@@ -52,6 +52,12 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType,
     w.parquet(path)
 
 
+def read_declared(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read a raw table with its declared schema (no inference; works on a
+    freshly created, still empty table)."""
+    return spark.read.schema(_with_partition(schema)).parquet(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -86,7 +92,7 @@ def full_refresh(df: DataFrame, base_path: str) -> str:
     """Materialise a table into a new version directory and repoint
     ``base_path/_current`` to it. Returns the new version path."""
     spark = df.sparkSession
-    version = os.path.join(base_path, f"v-{datetime.utcnow():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}")
+    version = os.path.join(base_path, f"v-{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}")
     df.write.mode("errorifexists").parquet(version)
     pointer = os.path.join(base_path, "_current")
     spark.createDataFrame([(version,)], "path string").coalesce(1) \
@@ -116,7 +122,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, spec: MergeSpec
     years = [r[0] for r in batch.select(PARTITION_COL).distinct().collect()]
     if not years:
         return
-    target = spark.read.schema(_with_partition(schema)).parquet(path) \
+    target = read_declared(spark, path, schema) \
         .filter(F.col(PARTITION_COL).isin(years) | F.col(PARTITION_COL).isNull())
     merged = upsert(target.drop(PARTITION_COL), batch.drop(PARTITION_COL), spec, loaded_at,
                     strategy=strategy)
@@ -128,4 +134,4 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, spec: MergeSpec
 def _with_partition(schema: StructType) -> StructType:
     if PARTITION_COL in schema.fieldNames():
         return schema
-    return StructType(schema.fields).add(PARTITION_COL, "int")
+    return StructType(list(schema.fields) + [StructField(PARTITION_COL, IntegerType(), True)])

@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType
 
 from gridmix.functions.cleaning import lenient_timestamp
 from gridmix.operators.upsert import NATIONAL_FEED, REGIONAL_FEED, MergeSpec
@@ -25,6 +26,8 @@ from gridmix.streaming.windows import STEP, half_hour_stats
 
 # Fixed value: how late a reading may arrive and still update its window.
 WATERMARK = "2 hours"
+# Records per response are far below this; keeps (file time, position) unique.
+ARRIVAL_SLOTS = 100_000
 
 
 def feed_records(spark: SparkSession, landing_dir: str, regional: bool = False) -> DataFrame:
@@ -32,15 +35,19 @@ def feed_records(spark: SparkSession, landing_dir: str, regional: bool = False)
     measures = REGIONAL_RT_MEASURES if regional else NATIONAL_RT_MEASURES
     env = (spark.readStream.schema(feed_envelope(measures, regional))
            .option("multiLine", True).json(landing_dir))
-    recs = env.select(F.explode("results").alias("r")).select("r.*")
-    return recs.withColumn("date_heure", lenient_timestamp("date_heure")) \
-        .withColumn("_row_key", F.monotonically_increasing_id())
+    # arrival order: file modification time, then position in the response;
+    # deterministic when a micro-batch is replayed after a failure
+    recs = env.select(F.posexplode("results").alias("pos", "r"),
+                      F.col("_metadata.file_modification_time").alias("mtime"))
+    arrival = F.unix_millis("mtime") * F.lit(ARRIVAL_SLOTS) + F.col("pos")
+    return recs.select("r.*", arrival.alias("_row_key")) \
+        .withColumn("date_heure", lenient_timestamp("date_heure"))
 
 
 def merge_batch(spark: SparkSession, table_path: str, spec: MergeSpec, regional: bool):
     """``foreachBatch`` body: skip empty batches, stamp, merge by key."""
     schema = regional_realtime_table() if regional else national_realtime_table()
-    schema = schema.add("_row_key", "long")
+    schema = schema.add("_row_key", LongType())
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():

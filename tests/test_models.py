@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from gridmix.operators.dedup import keep_latest
 from gridmix.plans import enrich, marts, staging
@@ -52,7 +53,7 @@ def test_realtime_beats_history(spark):
     h = hist(spark, [("2022-03-01T12:00:00+01:00", "10", 1.0, D(2026, 1, 1), 1)])
     rt = spark.createDataFrame(
         [(D(2022, 3, 1, 12), 99.0) + (None,) * 12 + (5.0, D(2026, 2, 1), "tr", 7)],
-        national_realtime_table().add("_row_key", "long"))
+        national_realtime_table().add("_row_key", LongType()))
     out = staging.stg_national(h, rt).collect()
     assert len(out) == 1 and out[0]["consommation_mw"] == 99.0
     assert out[0]["ech_angleterre_mw"] is None
