@@ -6,10 +6,13 @@ join: the result is the new content of the target, written back by
 
 * ``broadcast`` – the batch is proven small (``limit(n+1).count() <= n``):
   the target is streamed once through a broadcast hash join, never shuffled.
-  Inserts are the batch rows whose key found no target row, found by
-  an anti-join against the (batch-bounded) set of matched keys.
-* ``shuffle`` – otherwise: one full outer sort-merge join on the keys; AQE
-  splits skewed key partitions.
+  Inserts are the batch rows whose key found no target row, found by an
+  anti-join against the (batch-bounded) set of matched keys.
+* ``shuffle`` – otherwise: target LEFT JOIN batch on the keys (sort-merge;
+  AQE splits a hot target key across tasks, which a full outer join would
+  not allow), and inserts = batch LEFT ANTI JOIN the distinct target keys
+  (the distinct is pre-aggregated map-side, so a key holding a third of the
+  target shrinks to one row per task before the shuffle).
 
 MERGE semantics kept on purpose: the change test uses plain ``!=``, so a
 NULL on either side never triggers an update; only ``update_cols`` (and the
@@ -112,16 +115,20 @@ def upsert(target: DataFrame, batch: DataFrame, spec: MergeSpec,
     t = target.withColumn("_t", F.lit(True)).alias("t")
     s = b.withColumn("_s", F.lit(True)).alias("s")
     cols = _resolved(tcols, bcols, spec, stamp)
+    keys = list(spec.keys)
     if strategy == "shuffle":
-        return t.join(s, _join_cond(spec), "full_outer").select(*cols)
-    if strategy != "broadcast":
+        kept = t.join(s, _join_cond(spec), "left").select(*cols)
+        target_keys = target.select(*keys).distinct()
+        fresh = b.join(target_keys, keys, "left_anti")
+    elif strategy == "broadcast":
+        joined = t.join(F.broadcast(s), _join_cond(spec), "left")
+        kept = joined.select(*cols)
+        # batch keys that matched at least one target row: at most |batch| rows
+        matched = joined.filter(F.col("s._s").isNotNull()).select(
+            *[F.col(f"s.{k}").alias(k) for k in keys]).distinct()
+        fresh = b.join(F.broadcast(matched), keys, "left_anti")
+    else:
         raise ValueError(f"unknown strategy {strategy}")
-    joined = t.join(F.broadcast(s), _join_cond(spec), "left")
-    kept = joined.select(*cols)
-    # batch keys that matched at least one target row: at most |batch| rows
-    matched = joined.filter(F.col("s._s").isNotNull()).select(
-        *[F.col(f"s.{k}").alias(k) for k in spec.keys]).distinct()
-    fresh = b.join(F.broadcast(matched), list(spec.keys), "left_anti")
     return kept.unionByName(fresh.select(*_inserted(target, bcols, spec, stamp)))
 
 
