@@ -61,3 +61,13 @@ def test_freshness_flags_stale(spark):
     assert r["is_stale"] is True and r["n_rows"] == 1
     r = quality.freshness(df, "t", max_age_hours=4).first()
     assert r["is_stale"] is False
+
+
+def test_starter_models_as_negative_fixture(spark):
+    """First starter model: literal 1 UNION ALL NULL (fails not_null); the
+    second keeps id = 1 and passes both checks."""
+    first = spark.sql("SELECT 1 AS id UNION ALL SELECT CAST(NULL AS INT) AS id")
+    second = first.filter("id = 1")
+    checks = [Check("m", "id", "unique"), Check("m", "id", "not_null")]
+    assert {s for _, s in report(quality.check_model(first, checks)).values()} == {"pass", "fail"}
+    assert {s for _, s in report(quality.check_model(second, checks)).values()} == {"pass"}

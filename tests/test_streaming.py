@@ -72,3 +72,13 @@ def test_half_hour_stream_equals_batch(spark, tmp_path, sf_small):
     assert sorted(map(tuple, got.select(cols).collect())) == \
         sorted(map(tuple, expected.select(cols).collect()))
     assert got.count() > 0
+
+
+def test_empty_response_is_skipped(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    _write(landing / "empty.json", [])
+    table = str(tmp_path / "raw")
+    q = ingest_feed(spark, str(landing), table, str(tmp_path / "ck"))
+    q.awaitTermination(120)
+    assert not os.path.exists(table)          # nothing merged, no table created
