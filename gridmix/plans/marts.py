@@ -70,7 +70,14 @@ def rank_global(cells: DataFrame) -> DataFrame:
 
 
 def mart_patterns(enriched: DataFrame) -> DataFrame:
-    return rank_global(rank_by_season(pattern_aggregates(enriched)))
+    """Cells with their rank in the season and over all cells.
+
+    The global rank runs first: its single partition (≤ 672 cells) also
+    satisfies the per-season window, so no further exchange is planned.
+    """
+    cells = pattern_aggregates(enriched)
+    ranked = rank_by_season(rank_global(cells))
+    return ranked.select(*cells.columns, "rang_heure_par_saison", "rang_global")
 
 
 def season_peak(patterns: DataFrame) -> DataFrame:
@@ -84,13 +91,17 @@ def green_hours(patterns: DataFrame, battery_kwh: float = kpis.EV_BATTERY_KWH,
                 top_n: int = TOP_N, ordered: bool = True) -> DataFrame:
     """Top cells per season with the saving against the season's peak.
 
-    ``season_peak`` has one row per season — the season column has four
-    possible values — so broadcasting it is bounded by construction.
+    The per-season peak (the cells' highest rounded mean) is attached with
+    a window over the season instead of a second aggregation joined back:
+    the same rows as the equi-join on ``saison``, computed in the same pass
+    over the cells. At most 672 cells, so the final sort runs in one
+    partition.
     """
-    peak = F.broadcast(season_peak(patterns).select("saison", "co2_heure_pointe"))
-    p = patterns.filter(F.col("rang_heure_par_saison") <= top_n)
+    season = Window.partitionBy("saison")
+    p = (patterns.withColumn("co2_heure_pointe", F.max("avg_taux_co2").over(season))
+         .filter(F.col("rang_heure_par_saison") <= top_n))
     gain = F.col("co2_heure_pointe") - F.col("avg_taux_co2")
-    out = p.join(peak, "saison").select(
+    out = p.select(
         "saison",
         F.col("rang_heure_par_saison").alias("rang"),
         F.col("heure").alias("heure_optimale"),
@@ -101,7 +112,7 @@ def green_hours(patterns: DataFrame, battery_kwh: float = kpis.EV_BATTERY_KWH,
         kpis.ev_charge_kg("avg_taux_co2", battery_kwh).alias("emission_zoe_kg_co2"),
         kpis.ev_charge_kg("co2_heure_pointe", battery_kwh).alias("emission_zoe_pointe_kg_co2"),
         "nb_observations")
-    return out.orderBy("saison", "rang") if ordered else out
+    return out.repartition(1).sortWithinPartitions("saison", "rang") if ordered else out
 
 
 def mart_regional_monthly(enriched: DataFrame, ordered: bool = True) -> DataFrame:
@@ -122,4 +133,7 @@ def mart_regional_monthly(enriched: DataFrame, ordered: bool = True) -> DataFram
         F.max("flag_covid").alias("flag_covid"),
         F.max("flag_crise_nuc_2022").alias("flag_crise_nuc_2022"),
         F.count(F.lit(1)).alias("nb_observations"))
-    return out.orderBy("annee", "mois", "libelle_region") if ordered else out
+    # one row per (year, month, region): bounded by dimensions, not by
+    # readings, so the ordered output is produced in one partition
+    return (out.repartition(1).sortWithinPartitions("annee", "mois", "libelle_region")
+            if ordered else out)
