@@ -76,56 +76,68 @@ MODEL_CHECKS: list[Check] = [
 ]
 
 
-def _status(failures, severity):
-    return (F.when(failures == 0, F.lit("pass"))
-            .when(severity == F.lit("warn"), F.lit("warn")).otherwise(F.lit("fail")))
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
 
-def _row(check: Check, failures) -> list:
-    return [F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"),
-            F.lit(check.test).alias("test"), F.lit(check.severity).alias("severity"),
-            failures.cast("bigint").alias("failures")]
+def _label(c: Check) -> list[str]:
+    return [f"{_sql_str(c.model)} AS model", f"{_sql_str(c.column)} AS column_name",
+            f"{_sql_str(c.test)} AS test", f"{_sql_str(c.severity)} AS severity"]
 
 
 def check_model(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Report rows for the checks of one model (one scan + one per unique)."""
+    """Report rows for the checks of one model."""
+    return with_status(_check_parts(df, checks))
+
+
+def _check_parts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Report rows (without status): one aggregation pass for the row-level
+    checks, one grouped count per ``unique`` check."""
     single = [c for c in checks if c.test in ("not_null", "accepted_values")]
     parts: list[DataFrame] = []
     if single:
         aggs = []
         for i, c in enumerate(single):
-            col = F.col(c.column)
+            col = f"`{c.column}`"
             if c.test == "not_null":
-                aggs.append(F.count_if(col.isNull()).alias(f"f{i}"))
+                aggs.append(F.expr(f"count_if({col} IS NULL)").alias(f"f{i}"))
             else:
-                bad = F.when(col.isNotNull() & ~col.isin(*c.values), col)
-                aggs.append(F.count_distinct(bad).alias(f"f{i}"))
-        counts = df.agg(*aggs)
-        stack = F.inline(F.array(*[
-            F.struct(*_row(c, F.col(f"f{i}"))) for i, c in enumerate(single)]))
-        parts.append(counts.select(stack))
+                vals = ", ".join(_sql_str(v) for v in c.values)
+                aggs.append(F.expr(f"count(DISTINCT CASE WHEN {col} IS NOT NULL AND "
+                                   f"{col} NOT IN ({vals}) THEN {col} END)").alias(f"f{i}"))
+        rows = ", ".join(f"struct({', '.join(_label(c))}, CAST(f{i} AS BIGINT) AS failures)"
+                         for i, c in enumerate(single))
+        parts.append(df.agg(*aggs).selectExpr(f"inline(array({rows}))"))
     for c in checks:
         if c.test != "unique":
             continue
-        dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count()
-               .filter(F.col("count") > 1))
-        parts.append(dup.agg(F.count(F.lit(1)).alias("n")).select(*_row(c, F.col("n"))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", _status(F.col("failures"), F.col("severity")))
+        dup = (df.where(F.col(c.column).isNotNull()).groupBy(c.column)
+               .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).selectExpr(*_label(c), "failures"))
+    return _union_all(parts)
+
+
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union in a balanced tree (keeps the analysed plan depth logarithmic)."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def with_status(report: DataFrame) -> DataFrame:
+    return report.withColumn("status", F.expr(
+        "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END"))
 
 
 def run_checks(models: dict[str, DataFrame], checks: list[Check] = MODEL_CHECKS) -> DataFrame:
-    """Report for every check whose model is given."""
-    out = None
+    """Report for every check whose model is given (one row per check)."""
+    parts = []
     for name, df in models.items():
         mine = [c for c in checks if c.model == name]
-        if not mine:
-            continue
-        part = check_model(df, mine)
-        out = part if out is None else out.unionByName(part)
-    return out
+        if mine:
+            parts.append(_check_parts(df, mine))
+    return with_status(_union_all(parts))
 
 
 class CheckFailed(AssertionError):

@@ -8,7 +8,7 @@ It is written as SQL expressions: one analyser call per column.
 
 Plan shape: ``lineitem`` is aggregated by order (partial aggregation before
 the shuffle), the result stays hash-partitioned on the order key, so the
-join with ``orders`` shuffles only ``orders``. The regional side adds a join
+sort-merge join with ``orders`` shuffles only ``orders``. The regional side adds a join
 to ``customer`` (AQE splits a customer holding many orders) and to
 ``nation``, which the planner broadcasts from its size statistics, falling
 back to a shuffle join if it is large.
@@ -82,7 +82,12 @@ def order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
                            f"THEN l_quantity END)" for name, (rf, ls) in FAMILIES.items()})
         per_order = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*_exprs(aggs))
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return orders.join(per_order, "o_orderkey", "left")
+        # Both sides hold one row per order, so this join is large x large at
+        # any real size. The per-order aggregate is already hash-partitioned
+        # on the key, so a sort-merge join shuffles only ``orders``, and the
+        # row-level mapping after it runs over all shuffle partitions instead
+        # of the few scan tasks of ``orders`` (as a broadcast would).
+        return orders.join(per_order.hint("merge"), "o_orderkey", "left")
     return _memo(spark, ("order_measures", sf_dir), build)
 
 
