@@ -107,7 +107,7 @@ def upsert(target: DataFrame, batch: DataFrame, spec: MergeSpec,
     """New content of ``target`` after merging ``batch`` (target schema)."""
     stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
     stamp = stamp.cast(dict(target.dtypes)[spec.stamp_col])
-    tcols, bcols = target.columns, [c for c in batch.columns]
+    tcols, bcols = target.columns, batch.columns
     b = _prepare_batch(batch, spec)
     if strategy == "auto":
         n = b.limit(broadcast_max_rows + 1).count()

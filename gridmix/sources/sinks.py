@@ -118,7 +118,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, spec: MergeSpec
     brought to the driver.
     """
     ensure_table(spark, path, schema)
-    batch = with_year(batch.select(*[c for c in batch.columns]), ts)
+    batch = with_year(batch, ts)
     years = [r[0] for r in batch.select(PARTITION_COL).distinct().collect()]
     if not years:
         return
