@@ -47,6 +47,27 @@ def land_raw(spark: SparkSession, src_dir: str, wh: str) -> None:
                                _p(wh, "raw", "regional_realtime"))
 
 
+# Minimum rows after a full backfill.
+NATIONAL_MIN_ROWS, REGIONAL_MIN_ROWS = 400_000, 1_000_000
+
+
+def verify_load(spark: SparkSession, wh: str, national_min: int = NATIONAL_MIN_ROWS,
+                regional_min: int = REGIONAL_MIN_ROWS) -> DataFrame:
+    """Backfill check: count / min / max per history table; raises when a
+    table holds fewer rows than its minimum. Returns the two-row report."""
+    report = quality.load_stats(_raw(spark, wh, "national_history"), "national_history",
+                                "date_heure", national_min).unionByName(
+        quality.load_stats(_raw(spark, wh, "regional_history"), "regional_history",
+                           "date_heure", regional_min))
+    rows = report.collect()          # two rows
+    short = [r for r in rows if not r["gate_ok"]]
+    if short:
+        raise quality.CheckFailed("; ".join(
+            f"{r['table_name']}: only {r['n_rows']} rows, expected at least {r['min_rows']}"
+            for r in short))
+    return report
+
+
 def _raw(spark: SparkSession, wh: str, name: str) -> DataFrame:
     return spark.read.parquet(_p(wh, "raw", name)).drop(sinks.PARTITION_COL)
 
@@ -120,10 +141,12 @@ def check_gold(spark: SparkSession, wh: str) -> DataFrame:
     return quality.run_checks(tables)
 
 
-def refresh(spark: SparkSession, src_dir: str, wh: str, land: bool = True) -> DataFrame:
+def refresh(spark: SparkSession, src_dir: str, wh: str, land: bool = True,
+            min_rows: tuple[int, int] = (NATIONAL_MIN_ROWS, REGIONAL_MIN_ROWS)) -> DataFrame:
     """Full refresh run; returns the check report (error failures raise)."""
     if land:
         land_raw(spark, src_dir, wh)
+        verify_load(spark, wh, *min_rows)
     build_silver(spark, wh)
     build_gold(spark, wh)
     report = check_gold(spark, wh)

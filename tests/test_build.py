@@ -15,7 +15,8 @@ def _rows(df, cols=None):
 
 def test_refresh_matches_queries_and_is_incremental(spark, tmp_path, sf_small):
     wh = str(tmp_path / "wh")
-    report = build.refresh(spark, sf_small, wh)
+    # the test tables are far below the production backfill minimums
+    report = build.refresh(spark, sf_small, wh, min_rows=(1, 1))
     statuses = {r["status"] for r in report.collect()}
     assert report.count() == 37 and statuses <= {"pass", "warn"}
     gold_green = sinks.read_table(spark, os.path.join(wh, "gold", "green_hours"))
@@ -45,3 +46,14 @@ def test_backfill_partitions_by_year(spark, tmp_path, sf_small):
     before = raw.count()
     build.land_raw(spark, sf_small, wh)
     assert spark.read.parquet(os.path.join(wh, "raw", "national_history")).count() == before
+
+
+def test_load_gate_raises_below_minimum(spark, tmp_path, sf_small):
+    import pytest
+    from gridmix.operators.quality import CheckFailed
+    wh = str(tmp_path / "wh3")
+    build.land_raw(spark, sf_small, wh)
+    rep = {r["table_name"]: r for r in build.verify_load(spark, wh, 1, 1).collect()}
+    assert rep["national_history"]["n_rows"] > 0 and rep["national_history"]["gate_ok"]
+    with pytest.raises(CheckFailed):
+        build.verify_load(spark, wh)          # production minimums: 400,000 / 1,000,000

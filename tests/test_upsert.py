@@ -86,3 +86,38 @@ def test_auto_strategy_matches(spark):
     t = [(h.replace(hour=i), float(i), 1.0, 1.0, 1.0, T0, "tr", i) for i in range(10)]
     b = [(h.replace(hour=i), float(i) + (i % 2), 1.0, 3.0, 3.0, 100 + i) for i in range(5, 15)]
     assert run(spark, t, b, "auto") == run(spark, t, b, "shuffle")
+
+
+def test_hot_target_key_split_by_aqe(spark):
+    """One key holds a third of the target: the shuffle strategy (left join,
+    splittable by AQE) gives the same rows as the broadcast strategy."""
+    from pyspark.sql import functions as F
+    hot = D(2024, 1, 1)
+    n = 30000
+    target = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(
+            F.lit(hot) + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("date_heure"),
+        (F.col("id") % 7).cast("double").alias("consommation"),
+        F.lit(5.0).alias("taux_co2"), F.lit(1.0).alias("nucleaire"), F.lit(1.0).alias("hydraulique"),
+        F.lit(T0).alias("_loaded_at"), F.lit("tr").alias("_source"), F.col("id").alias("_row_key"))
+    batch = spark.createDataFrame([(hot, 99.0, 6.0, 2.0, 2.0, 10_000),
+                                   (D(2030, 1, 1), 1.0, 1.0, 1.0, 1.0, 10_001)], NAT_BATCH)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        shuffled = upsert(target, batch, NATIONAL_FEED, T1, strategy="shuffle")
+        got = sorted(map(tuple, shuffled.collect()), key=str)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = sorted(map(tuple, upsert(target, batch, NATIONAL_FEED, T1,
+                                    strategy="broadcast").collect()), key=str)
+    assert got == want and len(got) == n + 1
+    assert sum(1 for r in got if r[0] == hot and r[1] == 99.0) == n // 3
+    assert "SortMergeJoin(skew=true)" in plan      # the hot partition was split
