@@ -91,6 +91,15 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def ntz_of(value) -> Column:
+    """Zone-less timestamp literal from a Python datetime, independent of the
+    session and process time zones (aware values are taken in UTC)."""
+    from datetime import timezone
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return ntz(value.isoformat(sep=" "))
+
+
 def rnd(col: Column | str, scale: int) -> Column:
     """Round half away from zero, reproducibly across engines.
 

@@ -31,6 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridmix.functions.cleaning import ntz_of
 from gridmix.operators.dedup import keep_latest
 from gridmix.sources.schemas import NATIONAL_RT_SOURCE, REGIONAL_RT_SOURCE
 
@@ -105,7 +106,7 @@ def upsert(target: DataFrame, batch: DataFrame, spec: MergeSpec,
            loaded_at: datetime | Column, strategy: str = "auto",
            broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """New content of ``target`` after merging ``batch`` (target schema)."""
-    stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
+    stamp = loaded_at if isinstance(loaded_at, Column) else ntz_of(loaded_at)
     stamp = stamp.cast(dict(target.dtypes)[spec.stamp_col])
     tcols, bcols = target.columns, batch.columns
     b = _prepare_batch(batch, spec)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,11 +59,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="gridmix-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder."""
-    import uuid
-
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

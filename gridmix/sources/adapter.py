@@ -37,7 +37,7 @@ REALTIME_EVERY = 10
 HISTORY_LOADED_AT = "2026-01-01 00:00:00"
 REALTIME_LOADED_AT = "2026-02-01 00:00:00"
 BAD_DATE_EVERY, NAN_EVERY, ND_EVERY = 101, 89, 97
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'+01:00'"
+ISO_OFFSET = "+01:00"
 # quantity families: (return flag, line status)
 FAMILIES = {"q_af": ("A", "F"), "q_ao": ("A", "O"), "q_nf": ("N", "F"),
             "q_no": ("N", "O"), "q_rf": ("R", "F"), "q_ro": ("R", "O")}
@@ -152,7 +152,9 @@ def regional_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HISTORY = f"year(dh) < {REALTIME_FROM_YEAR}"
 _REALTIME = f"year(dh) >= {REALTIME_FROM_YEAR} OR _row_key % {REALTIME_EVERY} = 0"
-_ISO_TEXT = f"CASE WHEN _row_key % {BAD_DATE_EVERY} = 0 THEN 'bad' ELSE date_format(dh, \"{ISO_FORMAT}\") END"
+# zone-free formatting: the text of a zone-less timestamp, ISO 'T', fixed offset
+_ISO_TEXT = (f"CASE WHEN _row_key % {BAD_DATE_EVERY} = 0 THEN 'bad' "
+             f"ELSE concat(replace(CAST(dh AS STRING), ' ', 'T'), '{ISO_OFFSET}') END")
 
 
 def _int_text(c: str) -> str:

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmix.functions.cleaning import nan_to_null, normalize_columns
+from gridmix.functions.cleaning import nan_to_null, normalize_columns, ntz_of
 
 
 def load_history(landed: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
@@ -23,5 +23,5 @@ def load_history(landed: DataFrame, loaded_at: datetime | None = None) -> DataFr
     """
     df = normalize_columns(landed)
     if loaded_at is not None:
-        df = df.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
+        df = df.withColumn("_loaded_at", ntz_of(loaded_at))
     return nan_to_null(df)
