@@ -17,6 +17,7 @@ from gridmix.plans import oracle as O
 from gridmix.plans.catalog import register
 from gridmix.sources import adapter
 from gridmix.sources.schemas import NATIONAL_RT_MEASURES, REGIONAL_RT_MEASURES
+from gridmix.streaming.feed import half_hour_stream, run_available_now, table_stream
 from gridmix.streaming.windows import half_hour_stats
 
 # Fixed values of the registered scenarios.
@@ -254,3 +255,17 @@ def freshness(spark, src):
 def half_hour_window(spark, src):
     """Sub-half-hour readings (the event stream) on the 30-minute grid."""
     return half_hour_stats(adapter.table(spark, src, "events"), "ts", "value")
+
+
+@register("half_hour_window_stream", O.query(
+    f"SELECT * FROM (SELECT time_bucket(INTERVAL '30 minutes', ts) AS window_start, "
+    f"time_bucket(INTERVAL '30 minutes', ts) + INTERVAL 30 MINUTE AS window_end, "
+    f"count(*) AS n_readings, {O.rnd('avg(value)', 4)} AS avg_value, max(value) AS max_value "
+    f"FROM events WHERE ts IS NOT NULL GROUP BY 1, 2) "
+    f"WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"))
+def half_hour_window_stream(spark, src):
+    """The same windows as a Structured Streaming query over the event table:
+    2-hour watermark, append mode, run with ``availableNow``. A window is
+    emitted once the watermark (latest event time - 2 h) has passed its end."""
+    stream = table_stream(spark, src, "events").select("ts", "value")
+    return run_available_now(half_hour_stream(stream, "ts", "value"), "half-hour-stream")

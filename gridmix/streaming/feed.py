@@ -72,8 +72,10 @@ def ingest_feed(spark: SparkSession, landing_dir: str, table_path: str, checkpoi
 def half_hour_stream(stream: DataFrame, ts: str, value: str) -> DataFrame:
     """Streaming half-hour statistics, finalised once the watermark passes.
 
-    Watermarks need an instant type, so a zone-less time is read as UTC for
-    the event-time logic and turned back to zone-less on output.
+    Watermarks need an instant type, so the zone-less time is cast to an
+    instant in the session zone for the event-time logic and cast back on
+    output (an identity for every wall-clock time that exists in that zone;
+    the library session runs in UTC).
     """
     ev = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     out = half_hour_stats(ev.withWatermark(ts, WATERMARK), ts, value)
@@ -81,4 +83,33 @@ def half_hour_stream(stream: DataFrame, ts: str, value: str) -> DataFrame:
         .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
-__all__ = ["feed_records", "ingest_feed", "merge_batch", "half_hour_stream", "STEP", "WATERMARK"]
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A file stream over one table file. File stream sources list a folder
+    or a glob, so the single file is addressed by a one-file glob."""
+    import os
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(path[:-1] + "[" + path[-1] + "]")
+
+
+def run_available_now(result: DataFrame, name: str) -> DataFrame:
+    """Run a streaming result to completion (``availableNow``) into a Parquet
+    folder under the shared checkpoint directory, with its checkpoint next to
+    it, and return the written rows as a batch DataFrame."""
+    import os
+    import uuid
+    from gridmix.session import checkpoint_dir
+    spark = result.sparkSession
+    base = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    q = (result.writeStream.outputMode("append").format("parquet")
+         .option("path", os.path.join(base, "out"))
+         .option("checkpointLocation", os.path.join(base, "checkpoint"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(result.schema).parquet(os.path.join(base, "out"))
+
+
+__all__ = ["feed_records", "ingest_feed", "merge_batch", "half_hour_stream", "table_stream",
+           "run_available_now", "STEP", "WATERMARK"]
