@@ -19,13 +19,17 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from gridmix.functions.cleaning import lenient_timestamp
 from gridmix.operators.upsert import MergeSpec, upsert
 from gridmix.session import checkpoint_dir
 
 PARTITION_COL = "year"
+# Partition grains: column name, type, derivation from the reading time.
+# History tables use years (the export slices); real-time tables merged every
+# hour use days, so a merge rewrites only the days its batch touches.
+GRAINS = {"year": ("year", IntegerType(), F.year), "day": ("day", DateType(), F.to_date)}
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -39,23 +43,25 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType,
-                 partition_col: str | None = PARTITION_COL) -> None:
+                 grain: str | None = "year") -> None:
     """Create an empty Parquet table at ``path`` if it does not exist."""
     if _exists(spark, path):
         return
     df = spark.createDataFrame([], schema)
-    if partition_col and partition_col not in schema.fieldNames():
-        df = df.withColumn(partition_col, F.lit(None).cast("int"))
     w = df.write.mode("ignore")
-    if partition_col:
-        w = w.partitionBy(partition_col)
+    if grain:
+        name, dtype, _ = GRAINS[grain]
+        if name not in schema.fieldNames():
+            df = df.withColumn(name, F.lit(None).cast(dtype))
+        w = df.write.mode("ignore").partitionBy(name)
     w.parquet(path)
 
 
-def read_declared(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_declared(spark: SparkSession, path: str, schema: StructType,
+                  grain: str = "year") -> DataFrame:
     """Read a raw table with its declared schema (no inference; works on a
     freshly created, still empty table)."""
-    return spark.read.schema(_with_partition(schema)).parquet(path)
+    return spark.read.schema(_with_partition(schema, grain)).parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -65,27 +71,34 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def with_year(df: DataFrame, ts: str = "date_heure") -> DataFrame:
-    """Add the ``year`` partition column; text times are parsed leniently
+def with_partition(df: DataFrame, ts: str = "date_heure", grain: str = "year") -> DataFrame:
+    """Add the partition column of ``grain``; text times are parsed leniently
     (unparseable text lands in the NULL partition)."""
-    if PARTITION_COL in df.columns:
+    name, _, derive = GRAINS[grain]
+    if name in df.columns:
         return df
     t = F.col(ts)
     if dict(df.dtypes)[ts] == "string":
         t = lenient_timestamp(t)
-    return df.withColumn(PARTITION_COL, F.year(t))
+    return df.withColumn(name, derive(t))
+
+
+def with_year(df: DataFrame, ts: str = "date_heure") -> DataFrame:
+    return with_partition(df, ts, "year")
 
 
-def append(df: DataFrame, path: str, ts: str = "date_heure") -> None:
-    """Append a batch, partitioned by year of ``ts``."""
-    with_year(df, ts).write.mode("append").partitionBy(PARTITION_COL).parquet(path)
+def append(df: DataFrame, path: str, ts: str = "date_heure", grain: str = "year") -> None:
+    """Append a batch, partitioned by ``grain`` of ``ts``."""
+    (with_partition(df, ts, grain).write.mode("append")
+     .partitionBy(GRAINS[grain][0]).parquet(path))
 
 
-def overwrite_partitions(df: DataFrame, path: str, ts: str = "date_heure") -> None:
-    """Idempotent reload: replaces exactly the year partitions present in ``df``."""
-    (with_year(df, ts).write.mode("overwrite")
+def overwrite_partitions(df: DataFrame, path: str, ts: str = "date_heure",
+                         grain: str = "year") -> None:
+    """Idempotent reload: replaces exactly the partitions present in ``df``."""
+    (with_partition(df, ts, grain).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION_COL).parquet(path))
+     .partitionBy(GRAINS[grain][0]).parquet(path))
 
 
 def full_refresh(df: DataFrame, base_path: str) -> str:
@@ -110,28 +123,29 @@ def read_table(spark: SparkSession, base_path: str) -> DataFrame:
 
 def merge_into(spark: SparkSession, path: str, batch: DataFrame, spec: MergeSpec,
                loaded_at: datetime, schema: StructType, ts: str = "date_heure",
-               strategy: str = "auto") -> None:
-    """Upsert ``batch`` into the year-partitioned table at ``path``.
+               strategy: str = "auto", grain: str = "year") -> None:
+    """Upsert ``batch`` into the partitioned table at ``path``.
 
-    Only partitions holding a batch year are read and rewritten. The list
-    of years is tiny (one value per calendar year) and is the only thing
+    Only partitions holding a batch key are read and rewritten. The list of
+    partition values (one per year or day touched) is the only thing
     brought to the driver.
     """
-    ensure_table(spark, path, schema)
-    batch = with_year(batch, ts)
-    years = [r[0] for r in batch.select(PARTITION_COL).distinct().collect()]
-    if not years:
+    part = GRAINS[grain][0]
+    ensure_table(spark, path, schema, grain)
+    batch = with_partition(batch, ts, grain)
+    values = [r[0] for r in batch.select(part).distinct().collect()]
+    if not values:
         return
-    target = read_declared(spark, path, schema) \
-        .filter(F.col(PARTITION_COL).isin(years) | F.col(PARTITION_COL).isNull())
-    merged = upsert(target.drop(PARTITION_COL), batch.drop(PARTITION_COL), spec, loaded_at,
-                    strategy=strategy)
+    target = read_declared(spark, path, schema, grain) \
+        .filter(F.col(part).isin(values) | F.col(part).isNull())
+    merged = upsert(target.drop(part), batch.drop(part), spec, loaded_at, strategy=strategy)
     checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
-    overwrite_partitions(merged, path, ts)
+    overwrite_partitions(merged, path, ts, grain)
 
 
-def _with_partition(schema: StructType) -> StructType:
-    if PARTITION_COL in schema.fieldNames():
+def _with_partition(schema: StructType, grain: str = "year") -> StructType:
+    name, dtype, _ = GRAINS[grain]
+    if name in schema.fieldNames():
         return schema
-    return StructType(list(schema.fields) + [StructField(PARTITION_COL, IntegerType(), True)])
+    return StructType(list(schema.fields) + [StructField(name, dtype, True)])

@@ -110,3 +110,28 @@ def test_merge_into_rewrites_only_batch_years(spark, tmp_path):
     # the 2021 partition file was not rewritten
     files_2021 = os.listdir(os.path.join(p, "year=2021"))
     assert any(f.endswith(".parquet") for f in files_2021)
+
+
+def test_merge_into_day_grain_touches_only_batch_days(spark, tmp_path):
+    p = str(tmp_path / "nat_rt_day")
+    schema = national_realtime_table().add("_row_key", LongType())
+    measures = {m: None for m in NATIONAL_RT_MEASURES}
+
+    def rec(ts, cons, k):
+        m = dict(measures, consommation=cons, taux_co2=1.0)
+        return (ts,) + tuple(m[x] for x in NATIONAL_RT_MEASURES) + (None, None, k)
+    days = [D(2026, 1, d, 12) for d in range(1, 6)]
+    first = spark.createDataFrame([rec(t, 1.0, i) for i, t in enumerate(days)], schema)
+    sinks.merge_into(spark, p, first.drop("_loaded_at", "_source"), NATIONAL_FEED,
+                     D(2026, 1, 6), schema, grain="day")
+    before = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("day=")}
+    second = spark.createDataFrame([rec(days[-1], 2.0, 10), rec(D(2026, 1, 6, 0), 3.0, 11)], schema)
+    sinks.merge_into(spark, p, second.drop("_loaded_at", "_source"), NATIONAL_FEED,
+                     D(2026, 1, 7), schema, grain="day")
+    after = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("day=")}
+    assert len(after) == 6
+    untouched = [d for d in before if d not in ("day=2026-01-05",)]
+    assert all(before[d] == after[d] for d in untouched)       # files not rewritten
+    assert after["day=2026-01-05"] != before["day=2026-01-05"]
+    got = {r["date_heure"]: r["consommation"] for r in spark.read.parquet(p).collect()}
+    assert got[days[-1]] == 2.0 and got[D(2026, 1, 6, 0)] == 3.0 and len(got) == 6
