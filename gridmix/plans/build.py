@@ -5,7 +5,7 @@ Layout under ``warehouse``::
     raw/national_history, raw/regional_history       partitioned by year
     raw/national_realtime, raw/regional_realtime     partitioned by year
     silver/int_national, silver/int_regional         versioned, read by several marts
-    gold/mart_national                               incremental, partitioned by annee
+    gold/mart_national                               incremental, partitioned by annee, mois
     gold/mart_patterns, gold/green_hours,
     gold/mart_regional_monthly                       versioned full refresh
 
@@ -28,7 +28,9 @@ from gridmix.session import checkpoint_dir
 from gridmix.sources import adapter, sinks
 from gridmix.sources.bronze import load_history
 
-MART_PARTITION = "annee"
+# The incremental mart is partitioned by month: a lookback run rewrites the
+# one or two months it re-reads, not the year.
+MART_PARTITION = ["annee", "mois"]
 
 
 def _p(wh: str, *parts: str) -> str:
@@ -95,25 +97,28 @@ def build_mart_national(spark: SparkSession, wh: str, lookback: str | None = Non
     """Incremental mart. First run: everything. Later runs: rows after the
     stored high-water mark are appended (new columns are added to the
     stored schema; vanished ones are no longer read). With ``lookback`` the
-    affected ``annee`` partitions are rewritten with the re-read rows."""
+    affected (``annee``, ``mois``) partitions are rewritten with the re-read
+    rows."""
     path = _p(wh, "gold", "mart_national")
     source = marts.mart_national(sinks.read_table(spark, _p(wh, "silver", "int_national")))
     if not _exists(spark, path):
-        source.write.partitionBy(MART_PARTITION).parquet(path)
+        source.write.partitionBy(*MART_PARTITION).parquet(path)
         return
     target = spark.read.option("mergeSchema", True).parquet(path)
     new = incremental_source(source, target, "date_heure", lookback)
     if lookback is None:
-        new.write.mode("append").partitionBy(MART_PARTITION).parquet(path)
+        new.write.mode("append").partitionBy(*MART_PARTITION).parquet(path)
         return
     checkpoint_dir(spark)
     new = new.checkpoint(eager=True)
-    years = [r[0] for r in new.select(MART_PARTITION).distinct().collect()]
-    kept = target.filter(F.col(MART_PARTITION).isin(years)).join(
+    # (year, month) pairs re-read by the lookback: a handful of values
+    months = [f"{r[0]}-{r[1]}" for r in new.select(*MART_PARTITION).distinct().collect()]
+    touched = F.concat_ws("-", *[F.col(c) for c in MART_PARTITION]).isin(months)
+    kept = target.filter(touched).join(
         new.select("date_heure"), "date_heure", "left_anti")
     merged = sync_columns(kept, new).unionByName(new).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MART_PARTITION).parquet(path))
+     .partitionBy(*MART_PARTITION).parquet(path))
 
 
 def build_gold(spark: SparkSession, wh: str) -> None:
