@@ -35,7 +35,10 @@ from gridmix.functions.cleaning import ntz_of
 from gridmix.operators.dedup import keep_latest
 from gridmix.sources.schemas import NATIONAL_RT_SOURCE, REGIONAL_RT_SOURCE
 
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest batch merged through a broadcast join: ~20 columns x 8 bytes x
+# 100,000 rows is about 20 MB per executor. A feed batch is 100 records; a
+# backfill-size batch takes the shuffle path.
+BROADCAST_MAX_ROWS = 100_000
 
 
 @dataclass(frozen=True)

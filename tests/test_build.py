@@ -57,3 +57,23 @@ def test_load_gate_raises_below_minimum(spark, tmp_path, sf_small):
     assert rep["national_history"]["n_rows"] > 0 and rep["national_history"]["gate_ok"]
     with pytest.raises(CheckFailed):
         build.verify_load(spark, wh)          # production minimums: 400,000 / 1,000,000
+
+
+def test_incremental_mart_new_column_reads_back_null(spark, tmp_path, sf_small):
+    """A stored mart from an older model version (one column missing) gets
+    new rows with the column; older rows read back NULL (sync_all_columns)."""
+    from pyspark.sql import functions as F
+    wh = str(tmp_path / "wh4")
+    build.land_raw(spark, sf_small, wh)
+    build.build_silver(spark, wh)
+    int_nat = sinks.read_table(spark, os.path.join(wh, "silver", "int_national"))
+    full = models.mart_national(spark, sf_small)
+    cutoff = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    from gridmix.plans import marts
+    old = marts.mart_national(int_nat).filter(F.col("date_heure") <= cutoff).drop("part_fossiles")
+    old.write.partitionBy(*build.MART_PARTITION).parquet(os.path.join(wh, "gold", "mart_national"))
+    build.build_mart_national(spark, wh)
+    got = spark.read.option("mergeSchema", True).parquet(os.path.join(wh, "gold", "mart_national"))
+    assert got.count() == full.count()
+    nulls = got.filter(F.col("part_fossiles").isNull()).count()
+    assert 0 < nulls == old.count() < full.count()
