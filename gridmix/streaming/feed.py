@@ -53,10 +53,16 @@ def merge_batch(spark: SparkSession, table_path: str, spec: MergeSpec, regional:
     schema = schema.add("_row_key", LongType())
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        loaded_at = datetime.now(timezone.utc).replace(tzinfo=None)
-        merge_into(spark, table_path, batch, spec, loaded_at, schema, grain=FEED_GRAIN)
+        # the micro-batch is read several times (empty check, touched
+        # partitions, size check, merge): keep it for the merge, then release
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            loaded_at = datetime.now(timezone.utc).replace(tzinfo=None)
+            merge_into(spark, table_path, batch, spec, loaded_at, schema, grain=FEED_GRAIN)
+        finally:
+            batch.unpersist()
     return run
 
 
