@@ -70,6 +70,43 @@ def verify_load(spark: SparkSession, wh: str, national_min: int = NATIONAL_MIN_R
     return report
 
 
+def backfill_exports(spark: SparkSession, export_paths: str | list[str], wh: str,
+                     regional: bool = False, loaded_at=None,
+                     min_rows: int | None = None) -> DataFrame:
+    """Backfill a raw history table from landed ``;`` exports.
+
+    Every yearly file is read in one parallel scan with an all-text schema;
+    the load step normalises names, stamps the batch and maps ``'nan'`` to
+    NULL; each year partition present is replaced (re-running a year is
+    idempotent). Returns the load report; raises below ``min_rows``.
+    """
+    from datetime import datetime, timezone
+    from gridmix.sources import readers
+    from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT, REGIONAL_HISTORY_TEXT
+    cols = REGIONAL_HISTORY_TEXT if regional else NATIONAL_HISTORY_TEXT
+    name = "regional_history" if regional else "national_history"
+    stamp = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    bronze = load_history(readers.read_export(spark, export_paths, cols), stamp)
+    sinks.overwrite_partitions(bronze, _p(wh, "raw", name))
+    floor = min_rows if min_rows is not None else (
+        REGIONAL_MIN_ROWS if regional else NATIONAL_MIN_ROWS)
+    report = quality.load_stats(_raw(spark, wh, name), name, "date_heure", floor)
+    row = report.first()
+    if not row["gate_ok"]:
+        raise quality.CheckFailed(f"{name}: only {row['n_rows']} rows, expected at least {floor}")
+    return report
+
+
+def ingest_realtime(spark: SparkSession, landing_dir: str, wh: str, regional: bool = False,
+                    available_now: bool = True):
+    """Hourly feed run into the warehouse's raw real-time table (checkpoint
+    kept next to the table)."""
+    from gridmix.streaming.feed import ingest_feed
+    name = "regional_realtime" if regional else "national_realtime"
+    return ingest_feed(spark, landing_dir, _p(wh, "raw", name),
+                       _p(wh, "_checkpoints", name), regional, available_now)
+
+
 def _raw(spark: SparkSession, wh: str, name: str) -> DataFrame:
     return spark.read.parquet(_p(wh, "raw", name)).drop(sinks.PARTITION_COL)
 

@@ -42,7 +42,11 @@ STG_REGIONAL_COLUMNS = (["code_insee_region", "libelle_region", "date_heure"]
 
 
 def _keep_row_key(df: DataFrame) -> list:
-    return ["_row_key"] if "_row_key" in df.columns else []
+    """Stable tie-break key when the source has one, else a typed NULL, so
+    history and real time always union by name."""
+    if "_row_key" in df.columns:
+        return [F.col("_row_key").cast("bigint").alias("_row_key")]
+    return [F.lit(None).cast("bigint").alias("_row_key")]
 
 
 def clean_national_history(raw: DataFrame) -> DataFrame:

@@ -77,3 +77,42 @@ def test_incremental_mart_new_column_reads_back_null(spark, tmp_path, sf_small):
     assert got.count() == full.count()
     nulls = got.filter(F.col("part_fossiles").isNull()).count()
     assert 0 < nulls == old.count() < full.count()
+
+
+def test_backfill_from_exports_and_feed_run(spark, tmp_path):
+    import datetime as dt
+    import json
+    import pytest
+    from gridmix.operators.quality import CheckFailed
+    from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT
+    exports = tmp_path / "exports"
+    exports.mkdir()
+    header = ";".join(NATIONAL_HISTORY_TEXT)
+    for y in (2019, 2020):
+        lines = [header]
+        for h in range(3):
+            vals = {c: "" for c in NATIONAL_HISTORY_TEXT}
+            vals.update(date_heure=f"{y}-06-01T0{h}:00:00+02:00", consommation=str(100 + h),
+                        taux_co2="nan" if h == 2 else "25.5")
+            lines.append(";".join(vals[c] for c in NATIONAL_HISTORY_TEXT))
+        (exports / f"eco2mix_{y}.csv").write_text("\n".join(lines) + "\n")
+    wh = str(tmp_path / "wh5")
+    stamp = dt.datetime(2026, 1, 1)
+    rep = build.backfill_exports(spark, str(exports), wh, loaded_at=stamp, min_rows=6).first()
+    assert rep["n_rows"] == 6 and rep["gate_ok"]
+    # re-running the same years replaces them (no duplicates)
+    build.backfill_exports(spark, str(exports), wh, loaded_at=stamp, min_rows=6)
+    raw = spark.read.parquet(os.path.join(wh, "raw", "national_history"))
+    assert raw.count() == 6 and raw.filter("taux_co2 IS NULL").count() == 2
+    with pytest.raises(CheckFailed):
+        build.backfill_exports(spark, str(exports), wh, loaded_at=stamp)   # 400,000 minimum
+    # the hourly feed lands next to it
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "r1.json").write_text(json.dumps({"results": [
+        {"date_heure": "2026-01-05T10:00:00+01:00", "consommation": 50000.0, "taux_co2": 20.0}]}))
+    build.ingest_realtime(spark, str(landing), wh).awaitTermination(120)
+    rt = spark.read.parquet(os.path.join(wh, "raw", "national_realtime"))
+    assert rt.count() == 1 and rt.first()["_source"] == "eco2mix-national-tr"
+    stg = build.stg_national(spark, wh)
+    assert stg.count() == 6 + 1      # 6 history rows (2 without CO2 are kept) + 1 feed row
