@@ -82,3 +82,27 @@ def test_empty_response_is_skipped(spark, tmp_path):
     q = ingest_feed(spark, str(landing), table, str(tmp_path / "ck"))
     q.awaitTermination(120)
     assert not os.path.exists(table)          # nothing merged, no table created
+
+
+def test_regional_feed_merge_semantics(spark, tmp_path):
+    landing = tmp_path / "landing_r"
+    landing.mkdir()
+    table, ckpt = str(tmp_path / "raw_r"), str(tmp_path / "ckpt_r")
+    base = [{"code_insee_region": "84", "libelle_region": "Auvergne-Rhône-Alpes",
+             "date_heure": "2026-01-01T10:00:00+01:00", "consommation": 100.0,
+             "thermique": 1.0, "solaire": 5.0},
+            {"code_insee_region": None, "libelle_region": "Inconnue",
+             "date_heure": "2026-01-01T10:00:00+01:00", "consommation": 7.0}]
+    _write(landing / "a.json", base)
+    ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
+    # re-delivery: consumption changed (-> update of listed columns only), the
+    # NULL-code record arrives again (-> inserted again)
+    again = [dict(base[0], consommation=110.0, thermique=2.0, solaire=9.0), base[1]]
+    _write(landing / "b.json", again)
+    ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
+    rows = spark.read.parquet(table).collect()
+    known = [r for r in rows if r["code_insee_region"] == "84"]
+    assert len(known) == 1
+    assert (known[0]["consommation"], known[0]["thermique"], known[0]["solaire"]) == (110.0, 2.0, 5.0)
+    assert sum(1 for r in rows if r["code_insee_region"] is None) == 2
+    assert {r["_source"] for r in rows} == {"eco2mix-regional-tr"}
