@@ -14,6 +14,8 @@ import compare  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
 
 KEYS = sorted(E.queries())
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
 
 
 @pytest.fixture(scope="module")
@@ -30,10 +32,12 @@ def test_query_matches_reference(spark, duck, key):
     sdf = E.queries()[key](spark, SF_ORACLE)
     cols = sdf.columns
     srows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(E.oracle_sql()[key])
-    dcols = [d[0] for d in res.description]
-    drows = res.fetchall()
+    rel = duck.sql(E.oracle_sql()[key])
+    dcols = rel.columns
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    drows = rel.fetchall()
     assert sorted(cols) == sorted(dcols)
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes} == dtypes
     assert len(srows) == len(drows)
     si = sorted(range(len(cols)), key=lambda i: cols[i])
     di = sorted(range(len(dcols)), key=lambda i: dcols[i])
