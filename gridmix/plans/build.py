@@ -121,9 +121,18 @@ def stg_regional(spark: SparkSession, wh: str) -> DataFrame:
                                 _raw(spark, wh, "regional_realtime"))
 
 
+KEEP_VERSIONS = 2
+
+
+def _refresh(df: DataFrame, path: str) -> None:
+    """Full refresh into a new version, then drop versions beyond the last two."""
+    sinks.full_refresh(df, path)
+    sinks.prune_versions(df.sparkSession, path, KEEP_VERSIONS)
+
+
 def build_silver(spark: SparkSession, wh: str) -> None:
-    sinks.full_refresh(enrich.int_national(stg_national(spark, wh)), _p(wh, "silver", "int_national"))
-    sinks.full_refresh(enrich.int_regional(stg_regional(spark, wh)), _p(wh, "silver", "int_regional"))
+    _refresh(enrich.int_national(stg_national(spark, wh)), _p(wh, "silver", "int_national"))
+    _refresh(enrich.int_regional(stg_regional(spark, wh)), _p(wh, "silver", "int_regional"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -162,10 +171,10 @@ def build_gold(spark: SparkSession, wh: str) -> None:
     int_nat = sinks.read_table(spark, _p(wh, "silver", "int_national"))
     int_reg = sinks.read_table(spark, _p(wh, "silver", "int_regional"))
     build_mart_national(spark, wh)
-    sinks.full_refresh(marts.mart_patterns(int_nat), _p(wh, "gold", "mart_patterns"))
+    _refresh(marts.mart_patterns(int_nat), _p(wh, "gold", "mart_patterns"))
     patterns = sinks.read_table(spark, _p(wh, "gold", "mart_patterns"))
-    sinks.full_refresh(marts.green_hours(patterns), _p(wh, "gold", "green_hours"))
-    sinks.full_refresh(marts.mart_regional_monthly(int_reg), _p(wh, "gold", "mart_regional_monthly"))
+    _refresh(marts.green_hours(patterns), _p(wh, "gold", "green_hours"))
+    _refresh(marts.mart_regional_monthly(int_reg), _p(wh, "gold", "mart_regional_monthly"))
 
 
 def check_gold(spark: SparkSession, wh: str) -> DataFrame:

@@ -105,7 +105,7 @@ def full_refresh(df: DataFrame, base_path: str) -> str:
     """Materialise a table into a new version directory and repoint
     ``base_path/_current`` to it. Returns the new version path."""
     spark = df.sparkSession
-    version = os.path.join(base_path, f"v-{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}")
+    version = os.path.join(base_path, f"v-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}")
     df.write.mode("errorifexists").parquet(version)
     pointer = os.path.join(base_path, "_current")
     spark.createDataFrame([(version,)], "path string").coalesce(1) \
@@ -113,6 +113,25 @@ def full_refresh(df: DataFrame, base_path: str) -> str:
     return version
 
 
+def prune_versions(spark: SparkSession, base_path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` version folders of a full-refresh
+    table; the version ``_current`` points to is never deleted. Returns the
+    deleted paths. Readers that started on an older version should finish
+    before pruning (keep >= 2 leaves the previous one in place)."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(base_path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    names = sorted(st.getPath().getName() for st in fs.listStatus(base)
+                   if st.isDirectory() and st.getPath().getName().startswith("v-"))
+    current = os.path.basename(current_version(spark, base_path).rstrip("/"))
+    doomed = [n for n in names[:-keep] if n != current] if keep > 0 else []
+    for n in doomed:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(base, n), True)
+    return [os.path.join(base_path, n) for n in doomed]
+
+
 def current_version(spark: SparkSession, base_path: str) -> str:
     return spark.read.text(os.path.join(base_path, "_current")).first()[0]
 

@@ -135,3 +135,14 @@ def test_merge_into_day_grain_touches_only_batch_days(spark, tmp_path):
     assert after["day=2026-01-05"] != before["day=2026-01-05"]
     got = {r["date_heure"]: r["consommation"] for r in spark.read.parquet(p).collect()}
     assert got[days[-1]] == 2.0 and got[D(2026, 1, 6, 0)] == 3.0 and len(got) == 6
+
+
+def test_prune_versions_keeps_newest_and_current(spark, tmp_path):
+    base = str(tmp_path / "mart_v")
+    for i in range(4):
+        sinks.full_refresh(spark.range(i + 1), base)
+    before = sorted(d for d in os.listdir(base) if d.startswith("v-"))
+    deleted = sinks.prune_versions(spark, base, keep=2)
+    after = sorted(d for d in os.listdir(base) if d.startswith("v-"))
+    assert len(before) == 4 and len(deleted) == 2 and after == before[-2:]
+    assert sinks.read_table(spark, base).count() == 4
