@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 from gridmix.functions.kpis import GREEN_LABELS
 from gridmix.functions.timedims import SEASON_NAMES
 
-REPORT_SCHEMA = ("model string, column_name string, test string, severity string, "
-                 "failures bigint, status string")
-
 
 @dataclass(frozen=True)
 class Check:

@@ -4,11 +4,13 @@
   appends again (duplicates are removed by staging), or use
   :func:`overwrite_partitions` for an idempotent reload of the slice.
 * create-if-missing (K2), namespaces (K9), layer naming (K10).
-* full refresh (K6): write to a fresh directory, then repoint — never
-  overwrite the directory being read.
+* full refresh (K6): write to a fresh version directory, then repoint —
+  never overwrite the directory being read; :func:`prune_versions` drops
+  old versions.
 * merge (K3/K4): :func:`merge_into` rewrites only the partitions the batch
-  touches; the merged rows are checkpointed to the shared checkpoint folder
-  first, which cuts their lineage from the files about to be replaced.
+  touches (year or day grain); the merged rows are checkpointed to the
+  shared checkpoint folder first, which cuts their lineage from the files
+  about to be replaced.
 """
 
 from __future__ import annotations
