@@ -7,7 +7,6 @@ into one code-generated stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridmix.functions import kpis
 from gridmix.functions.timedims import national_time_columns, regional_time_columns

@@ -23,7 +23,7 @@ register("mart_regional_monthly",
     models.mart_regional_monthly)
 
 # ---- sources (S5, S6) -----------------------------------------------------
-from gridmix.functions import kpis, timedims  # noqa: E402
+from gridmix.functions import kpis  # noqa: E402
 from gridmix.functions.cleaning import (instant, lenient_double, lenient_timestamp,  # noqa: E402
                                         nan_to_null, normalize_text, strict_double, wall_clock)
 from gridmix.operators.dedup import keep_latest  # noqa: E402

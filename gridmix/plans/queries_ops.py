@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from gridmix.functions.cleaning import rnd
 from gridmix.operators import quality
 from gridmix.operators.upsert import (NATIONAL_FEED, REGIONAL_FEED, MergeSpec,
                                       incremental_merge, incremental_source, incremental_sync,

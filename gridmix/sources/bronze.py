@@ -10,7 +10,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridmix.functions.cleaning import nan_to_null, normalize_columns, ntz_of
 
