@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmix.functions.cleaning import (lenient_double, lenient_timestamp,
-                                        null_double, strict_double)
+                                        null_double, strict_double, wall_clock)
 from gridmix.operators.dedup import keep_latest
 
 NATIONAL_MEASURES = [
@@ -60,10 +60,18 @@ def clean_national_history(raw: DataFrame) -> DataFrame:
         *_keep_row_key(raw))
 
 
+def _realtime_wall_clock(raw: DataFrame):
+    """Real-time reading time as Paris wall clock: an instant (feed tables)
+    is converted, a zone-less time is kept as it is."""
+    if dict(raw.dtypes)["date_heure"] == "timestamp":
+        return wall_clock(F.col("date_heure")).alias("date_heure")
+    return F.col("date_heure").cast("timestamp_ntz").alias("date_heure")
+
+
 def clean_national_realtime(raw: DataFrame) -> DataFrame:
     """Real time: typed already; the five exchange columns are padded NULL."""
     return raw.select(
-        F.col("date_heure").cast("timestamp_ntz").alias("date_heure"),
+        _realtime_wall_clock(raw),
         *[strict_double(i).alias(o) for i, o in NATIONAL_MEASURES],
         *[null_double().alias(o) for _, o in NATIONAL_EXCHANGES],
         strict_double("taux_co2").alias("taux_co2"),
@@ -87,7 +95,7 @@ def clean_regional_realtime(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("code_insee_region").cast("string").alias("code_insee_region"),
         F.col("libelle_region").cast("string").alias("libelle_region"),
-        F.col("date_heure").cast("timestamp_ntz").alias("date_heure"),
+        _realtime_wall_clock(raw),
         *[strict_double(i).alias(o) for i, o in REGIONAL_MEASURES],
         *[null_double().alias(o) for _, o in REGIONAL_WIND_SPLIT],
         *[strict_double(c).alias(c) for c in REGIONAL_TCO],

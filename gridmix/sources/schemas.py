@@ -41,19 +41,26 @@ def all_string(names: list[str]) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-def national_realtime_table() -> StructType:
+def _time_type(instant: bool):
+    """Reading time of a real-time table: the instant (feed tables, merged
+    on the instant like offset-carrying timestamps) or the zone-less wall
+    clock (tables derived from the driver data)."""
+    return TimestampType() if instant else TimestampNTZType()
+
+
+def national_realtime_table(instant: bool = False) -> StructType:
     return StructType(
-        [StructField("date_heure", TimestampNTZType(), True)]
+        [StructField("date_heure", _time_type(instant), True)]
         + [StructField(m, DoubleType(), True) for m in NATIONAL_RT_MEASURES]
         + [StructField("_loaded_at", TimestampNTZType(), True),
            StructField("_source", StringType(), True)])
 
 
-def regional_realtime_table() -> StructType:
+def regional_realtime_table(instant: bool = False) -> StructType:
     return StructType(
         [StructField("code_insee_region", StringType(), True),
          StructField("libelle_region", StringType(), True),
-         StructField("date_heure", TimestampNTZType(), True)]
+         StructField("date_heure", _time_type(instant), True)]
         + [StructField(m, DoubleType(), True) for m in REGIONAL_RT_MEASURES]
         + [StructField("_loaded_at", TimestampNTZType(), True),
            StructField("_source", StringType(), True)])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType
 
-from gridmix.functions.cleaning import lenient_timestamp
+from gridmix.functions.cleaning import instant
 from gridmix.operators.upsert import NATIONAL_FEED, REGIONAL_FEED, MergeSpec
 from gridmix.sources.schemas import (NATIONAL_RT_MEASURES, REGIONAL_RT_MEASURES, feed_envelope,
                                      national_realtime_table, regional_realtime_table)
@@ -34,7 +34,9 @@ ARRIVAL_SLOTS = 100_000
 
 
 def feed_records(spark: SparkSession, landing_dir: str, regional: bool = False) -> DataFrame:
-    """Streaming DataFrame of feed records, time as Paris wall clock."""
+    """Streaming DataFrame of feed records; the ISO time with offset is kept
+    as an instant, so the two readings of a repeated autumn hour stay
+    distinct keys (staging turns instants into Paris wall clock)."""
     measures = REGIONAL_RT_MEASURES if regional else NATIONAL_RT_MEASURES
     env = (spark.readStream.schema(feed_envelope(measures, regional))
            .option("multiLine", True).json(landing_dir))
@@ -44,12 +46,12 @@ def feed_records(spark: SparkSession, landing_dir: str, regional: bool = False)
                       F.col("_metadata.file_modification_time").alias("mtime"))
     arrival = F.unix_millis("mtime") * F.lit(ARRIVAL_SLOTS) + F.col("pos")
     return recs.select("r.*", arrival.alias("_row_key")) \
-        .withColumn("date_heure", lenient_timestamp("date_heure"))
+        .withColumn("date_heure", instant("date_heure"))
 
 
 def merge_batch(spark: SparkSession, table_path: str, spec: MergeSpec, regional: bool):
     """``foreachBatch`` body: skip empty batches, stamp, merge by key."""
-    schema = regional_realtime_table() if regional else national_realtime_table()
+    schema = regional_realtime_table(True) if regional else national_realtime_table(True)
     schema = schema.add("_row_key", LongType())
 
     def run(batch: DataFrame, epoch_id: int) -> None:

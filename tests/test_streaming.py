@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from gridmix.functions.cleaning import wall_clock
 from gridmix.streaming.feed import feed_records, half_hour_stream, ingest_feed
 from gridmix.streaming.windows import half_hour_stats
 
@@ -33,8 +34,9 @@ def test_feed_ingest_is_idempotent(spark, tmp_path):
     _write(landing / "b.json", recs2)
     q = ingest_feed(spark, str(landing), table, ckpt)
     q.awaitTermination(120)
-    rows = {r["date_heure"].hour: (r["consommation"], r["taux_co2"])
-            for r in spark.read.parquet(table).collect()}
+    rows = {r["wc"].hour: (r["consommation"], r["taux_co2"])
+            for r in spark.read.parquet(table).select(
+                wall_clock(F.col("date_heure")).alias("wc"), "consommation", "taux_co2").collect()}
     assert len(rows) == 6 and rows[2] == (102.0, 99.0) and rows[3] == (103.0, 23.0)
     # a rerun with nothing new changes nothing
     q = ingest_feed(spark, str(landing), table, ckpt)
@@ -42,15 +44,27 @@ def test_feed_ingest_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(table).count() == 6
 
 
-def test_feed_records_parse_wall_clock(spark, tmp_path):
+def test_feed_keeps_instants_and_repeated_autumn_hour(spark, tmp_path):
+    """Feed rows are keyed by the instant: the two readings of the repeated
+    autumn hour are two raw rows; staging turns them into one wall-clock row."""
+    from gridmix.plans import staging
+    from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT
     landing = tmp_path / "l"
     landing.mkdir()
-    _write(landing / "x.json", [{"date_heure": "2024-07-01T13:30:00+02:00", "taux_co2": 5.0}])
-    q = (feed_records(spark, str(landing)).writeStream.format("memory")
-         .queryName("feed_parse_test").trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    r = spark.sql("select * from feed_parse_test").first()
-    assert str(r["date_heure"]) == "2024-07-01 13:30:00"
+    _write(landing / "x.json", [
+        {"date_heure": "2024-07-01T13:30:00+02:00", "consommation": 1.0, "taux_co2": 5.0},
+        {"date_heure": "2024-10-27T02:30:00+02:00", "consommation": 2.0, "taux_co2": 5.0},
+        {"date_heure": "2024-10-27T02:30:00+01:00", "consommation": 3.0, "taux_co2": 5.0}])
+    table = str(tmp_path / "raw")
+    ingest_feed(spark, str(landing), table, str(tmp_path / "ck")).awaitTermination(120)
+    raw = spark.read.parquet(table)
+    assert dict(raw.dtypes)["date_heure"] == "timestamp" and raw.count() == 3
+    empty_hist = spark.createDataFrame([], ", ".join(
+        f"{c} string" for c in NATIONAL_HISTORY_TEXT) + ", _loaded_at timestamp_ntz")
+    stg = staging.stg_national(empty_hist, raw)
+    got = sorted((str(r["date_heure"]), r["consommation_mw"]) for r in stg.collect())
+    assert got[0] == ("2024-07-01 13:30:00", 1.0)
+    assert len(got) == 2 and got[1][0] == "2024-10-27 02:30:00"
 
 
 def test_half_hour_stream_equals_batch(spark, tmp_path, sf_small):
