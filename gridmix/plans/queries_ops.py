@@ -267,4 +267,4 @@ def half_hour_window_stream(spark, src):
     2-hour watermark, append mode, run with ``availableNow``. A window is
     emitted once the watermark (latest event time - 2 h) has passed its end."""
     stream = table_stream(spark, src, "events").select("ts", "value")
-    return run_available_now(half_hour_stream(stream, "ts", "value"), "half-hour-stream")
+    return run_available_now(half_hour_stream(stream, "ts", "value"), "half-hour-stream", src)

@@ -105,15 +105,21 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path[:-1] + "[" + path[-1] + "]")
 
 
-def run_available_now(result: DataFrame, name: str) -> DataFrame:
+def run_available_now(result: DataFrame, name: str, source_key: str) -> DataFrame:
     """Run a streaming result to completion (``availableNow``) into a Parquet
     folder under the shared checkpoint directory, with its checkpoint next to
-    it, and return the written rows as a batch DataFrame."""
+    it, and return the written rows as a batch DataFrame.
+
+    The folder is fixed per (``name``, ``source_key``): a repeated run finds
+    its files already processed and only appends what is new, so calls do not
+    pile up folders and a restarted run resumes from its checkpoint.
+    """
+    import hashlib
     import os
-    import uuid
     from gridmix.session import checkpoint_dir
     spark = result.sparkSession
-    base = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    tag = hashlib.sha1(source_key.encode()).hexdigest()[:12]
+    base = os.path.join(checkpoint_dir(spark), f"{name}-{tag}")
     q = (result.writeStream.outputMode("append").format("parquet")
          .option("path", os.path.join(base, "out"))
          .option("checkpointLocation", os.path.join(base, "checkpoint"))

@@ -120,3 +120,15 @@ def test_regional_feed_merge_semantics(spark, tmp_path):
     assert (known[0]["consommation"], known[0]["thermique"], known[0]["solaire"]) == (110.0, 2.0, 5.0)
     assert sum(1 for r in rows if r["code_insee_region"] is None) == 2
     assert {r["_source"] for r in rows} == {"eco2mix-regional-tr"}
+
+
+def test_registered_stream_query_repeats_without_new_folders(spark, sf_small):
+    import __spark_entry__ as E
+    from gridmix.session import checkpoint_dir
+    q = E.queries()["half_hour_window_stream"]
+    first = sorted(map(tuple, q(spark, sf_small).collect()))
+    base = checkpoint_dir(spark).replace("file:", "")
+    folders = [d for d in os.listdir(base) if d.startswith("half-hour-stream-")]
+    second = sorted(map(tuple, q(spark, sf_small).collect()))
+    assert first == second and len(first) > 0
+    assert [d for d in os.listdir(base) if d.startswith("half-hour-stream-")] == folders
