@@ -107,6 +107,20 @@ def ingest_realtime(spark: SparkSession, landing_dir: str, wh: str, regional: bo
                        _p(wh, "_checkpoints", name), regional, available_now)
 
 
+def verify_recent(spark: SparkSession, wh: str, regional: bool = False,
+                  max_age_hours: int = 2) -> DataFrame:
+    """Freshness report after a feed run: row count, newest reading and
+    whether it is older than ``max_age_hours`` at the latest load stamp.
+    Reported, not enforced (as in the source). Feed tables hold instants;
+    they are compared as UTC wall clock, like the UTC load stamps."""
+    name = "regional_realtime" if regional else "national_realtime"
+    df = spark.read.parquet(_p(wh, "raw", name))
+    if dict(df.dtypes)["date_heure"] == "timestamp":
+        utc = F.convert_timezone(None, F.lit("UTC"), F.col("date_heure").cast("timestamp_ntz"))
+        df = df.withColumn("date_heure", utc)
+    return quality.freshness(df, name, "date_heure", max_age_hours=max_age_hours)
+
+
 def _raw(spark: SparkSession, wh: str, name: str) -> DataFrame:
     return spark.read.parquet(_p(wh, "raw", name)).drop(sinks.PARTITION_COL)
 

@@ -116,3 +116,6 @@ def test_backfill_from_exports_and_feed_run(spark, tmp_path):
     assert rt.count() == 1 and rt.first()["_source"] == "eco2mix-national-tr"
     stg = build.stg_national(spark, wh)
     assert stg.count() == 6 + 1      # 6 history rows (2 without CO2 are kept) + 1 feed row
+    fresh = build.verify_recent(spark, wh).first()
+    assert fresh["n_rows"] == 1 and str(fresh["max_date_heure"]) == "2026-01-05 09:00:00"
+    assert fresh["is_stale"] is (fresh["checked_at"] > dt.datetime(2026, 1, 5, 11))
