@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gridmix.llm import bpe, token_frames
+from gridmix.llm import bpe, jaccard_join, token_frames
 from gridmix.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -23,9 +22,15 @@ def op4_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.digests(token_frames.round_trip(docs))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.join(docs, n=4, percent=85)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_token_frames": op4_token_frames,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
