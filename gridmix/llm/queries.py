@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmix.llm import bpe, jaccard_join, token_frames
+from gridmix.llm import bpe, jaccard_join, line_dedup, mixing, token_frames
 from gridmix.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -27,13 +27,28 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(docs, n=4, percent=85)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.clean(docs)
+
+
+def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_token_frames": op4_token_frames,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_poisson_mixing": op10_poisson_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_line_dedup": line_dedup.SQL,
+    "op10_poisson_mixing": mixing.SQL,
+}
 
 
 def queries() -> dict[str, QueryFn]:
