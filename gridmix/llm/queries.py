@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmix.llm import bpe, jaccard_join, line_dedup, mixing, token_frames
+from gridmix.llm import bpe, jaccard_join, line_dedup, mixing, quality_rules, token_frames
 from gridmix.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def op4_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.digests(token_frames.round_trip(docs))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return quality_rules.verdicts(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "distance")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.join(docs, n=4, percent=85)
@@ -40,6 +47,7 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_token_frames": op4_token_frames,
+    "op6_quality_rules": op6_quality_rules,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_poisson_mixing": op10_poisson_mixing,
