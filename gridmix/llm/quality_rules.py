@@ -59,7 +59,8 @@ MIN_GROUP = 100
 MAX_STEPS = 20
 TAIL = 1e-9          # share of clean Gaussian vectors beyond the cutoff
 REWEIGHT_TAIL = 0.025
-SCALE_FLOORS = (0.1, 0.5, 0.5, 0.5)
+# repeats get the widest: a heading said again at the end of a short text is no outlier
+SCALE_FLOORS = (0.1, 0.5, 1.0, 1.0)
 ONE = 1024           # fixed-point unit of the vectors
 BINS = 64            # bins of the squared distance for a factor of two
 
