@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmix.llm import bpe, jaccard_join, line_dedup, mixing, quality_rules, token_frames
+from gridmix.llm import (
+    bpe, jaccard_join, licenses, line_dedup, mixing, quality_rules, revisits, token_frames)
 from gridmix.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +18,20 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(docs))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_frames.digests(token_frames.round_trip(docs))
 
 
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return revisits.report(revisits.resolve(revisits.crawl(pages)))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     return quality_rules.verdicts(docs).select(
@@ -46,7 +56,9 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_license_scan": op2_license_scan,
     "op4_token_frames": op4_token_frames,
+    "op5_revisits": op5_revisits,
     "op6_quality_rules": op6_quality_rules,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
@@ -54,6 +66,8 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": licenses.SQL,
+    "op5_revisits": revisits.SQL,
     "op9_line_dedup": line_dedup.SQL,
     "op10_poisson_mixing": mixing.SQL,
 }
