@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmix.llm import (
-    bpe, jaccard_join, licenses, line_dedup, mixing, quality_rules, revisits, token_frames)
+    ann, bpe, jaccard_join, licenses, line_dedup, mixing, quality_rules, revisits, token_frames)
 from gridmix.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "distance")
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, "vec_id % 20 = 0", k=20)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.join(docs, n=4, percent=85)
@@ -60,6 +65,7 @@ QUERIES: dict[str, QueryFn] = {
     "op4_token_frames": op4_token_frames,
     "op5_revisits": op5_revisits,
     "op6_quality_rules": op6_quality_rules,
+    "op7_nearest": op7_nearest,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_poisson_mixing": op10_poisson_mixing,
