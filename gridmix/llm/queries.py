@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmix.llm import (
-    ann, bpe, jaccard_join, licenses, line_dedup, mixing, quality_rules, revisits, token_frames)
+    ann, bpe, jaccard_join, licenses, line_dedup, mixing, quality_model,
+    quality_rules, revisits, token_frames)
 from gridmix.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = quality_model.grades_of_labels(table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, quality_model.fit(docs, ratings, grades=3))
+
+
 def op4_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_frames.digests(token_frames.round_trip(docs))
@@ -62,6 +69,7 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
+    "op3_quality_model": op3_quality_model,
     "op4_token_frames": op4_token_frames,
     "op5_revisits": op5_revisits,
     "op6_quality_rules": op6_quality_rules,
