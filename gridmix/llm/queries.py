@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from gridmix.llm import (
     ann, bpe, jaccard_join, licenses, line_dedup, mixing, quality_model,
     quality_rules, revisits, token_frames)
@@ -66,6 +67,10 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
@@ -77,6 +82,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_poisson_mixing": op10_poisson_mixing,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
