@@ -24,7 +24,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 20240229
@@ -54,10 +54,10 @@ def rates(docs: DataFrame, source: str = "source", targets: dict[str, float] | N
         given = F.create_map(*[F.lit(x) for pair in targets.items() for x in pair]) if targets else None
         weight = F.element_at(given, F.coalesce("__source", F.lit(""))) if targets else F.lit(None)
         weighted = counts.withColumn("w", F.coalesce(weight.cast("double"), F.lit(0.0)))
-    weighted = weighted.withColumn("__all", F.lit(0))
-    sums = weighted.groupBy("__all").agg(F.sum("w").alias("all_w"), F.sum("n").alias("all_n"))
     size = F.lit(float(total)) if total is not None else F.col("all_n").cast("double")
-    rated = (weighted.join(sums, "__all").where("w > 0")
+    everything = Window.partitionBy()  # a row per source
+    rated = (weighted.withColumn("all_w", F.sum("w").over(everything))
+             .withColumn("all_n", F.sum("n").over(everything)).where("w > 0")
              .select("__source", (F.col("w") / F.col("all_w") * size / F.col("n")).alias("__rate")))
     # beyond this many copies the probability is below 2 ** -52
     most = F.ceil(F.col("__rate") + 12 * F.sqrt("__rate") + 40).cast("int")
