@@ -81,6 +81,13 @@ def wall_clock(instant_col: Column, tz: str = SOURCE_TZ) -> Column:
     return F.convert_timezone(None, F.lit(tz), instant_col.cast("timestamp_ntz"))
 
 
+def instant_of(wall: Column, tz: str = SOURCE_TZ) -> Column:
+    """Zone-less wall clock in ``tz`` -> instant (independent of the session zone).
+    A time that a spring change skips is moved on by the change."""
+    utc = F.convert_timezone(F.lit(tz), F.lit("UTC"), wall)
+    return F.concat(utc.cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def null_double() -> Column:
     """Typed NULL used to pad columns a source does not have."""
     return F.lit(None).cast("double")

@@ -23,8 +23,13 @@ def latest_order(loaded_at: str = "_loaded_at", tie_break: str | None = "_row_ke
 
 def keep_latest(df: DataFrame, keys: list[str], order: list[Column] | None = None,
                 drop: list[str] | None = None) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (default :func:`latest_order`)."""
-    order = order or latest_order(tie_break="_row_key" if "_row_key" in df.columns else None)
+    """One row per ``keys``: the first by ``order`` (default :func:`latest_order`).
+
+    What ``order`` leaves open is decided by all other columns, largest values
+    first, so the survivor never depends on the order of rows.
+    """
+    order = list(order or latest_order(tie_break="_row_key" if "_row_key" in df.columns else None))
+    order += [F.col(f"`{c}`").desc_nulls_last() for c in sorted(df.columns) if c not in keys]
     w = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     return out.drop(*(drop or []))

@@ -1,7 +1,8 @@
 """Declarative data checks (not_null, unique, accepted_values) and load gates.
 
 All ``not_null`` and ``accepted_values`` checks of one model are computed in
-a single aggregation pass over it; each ``unique`` check is one grouped
+a single aggregation pass over it (rows counted by the listed columns' values,
+which are judged on the few counted rows); each ``unique`` check is one grouped
 count with map-side partial aggregation (a hot key is pre-counted in every
 task, so skew does not concentrate rows). The report is one row per check
 (a few dozen rows), the only thing ever brought to the driver.
@@ -90,21 +91,31 @@ def check_model(df: DataFrame, checks: list[Check]) -> DataFrame:
 def _check_parts(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Report rows (without status): one aggregation pass for the row-level
     checks, one grouped count per ``unique`` check."""
-    single = [c for c in checks if c.test in ("not_null", "accepted_values")]
+    nulls = [c for c in checks if c.test == "not_null"]
+    listed = [c for c in checks if c.test == "accepted_values"]
     parts: list[DataFrame] = []
-    if single:
-        aggs = []
-        for i, c in enumerate(single):
-            col = f"`{c.column}`"
-            if c.test == "not_null":
-                aggs.append(F.expr(f"count_if({col} IS NULL)").alias(f"f{i}"))
-            else:
-                vals = ", ".join(_sql_str(v) for v in c.values)
-                aggs.append(F.expr(f"count(DISTINCT CASE WHEN {col} IS NOT NULL AND "
-                                   f"{col} NOT IN ({vals}) THEN {col} END)").alias(f"f{i}"))
-        rows = ", ".join(f"struct({', '.join(_label(c))}, CAST(f{i} AS BIGINT) AS failures)"
-                         for i, c in enumerate(single))
-        parts.append(df.agg(*aggs).selectExpr(f"inline(array({rows}))"))
+    if nulls or listed:
+        # one pass: rows are counted by the checked values (few distinct ones), which
+        # are judged afterwards; distinct counts over all rows would multiply the rows
+        columns = list(dict.fromkeys(c.column for c in listed))
+        counts = [F.expr(f"count_if(`{c.column}` IS NULL)").alias(f"f{i}") for i, c in enumerate(nulls)]
+        grouped = df.groupBy(*columns).agg(*(counts or [F.count(F.lit(1)).alias("n")]))
+        if nulls:
+            rows = ", ".join(f"struct({', '.join(_label(c))}, CAST(coalesce(f{i}, 0) AS BIGINT) AS failures)"
+                             for i, c in enumerate(nulls))
+            sums = [F.sum(f"f{i}").alias(f"f{i}") for i in range(len(nulls))]
+            parts.append(grouped.agg(*sums).selectExpr(f"inline(array({rows}))"))
+        if listed:
+            bad = ", ".join(
+                f"struct({i} AS k, CASE WHEN `{c.column}` NOT IN ({', '.join(map(_sql_str, c.values))}) "
+                f"THEN `{c.column}` END AS v)" for i, c in enumerate(listed))
+            found = (grouped.selectExpr(f"inline(array({bad}))").where("v IS NOT NULL").distinct()
+                     .groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+                     .agg(*[F.sum(F.expr(f"CASE WHEN k = {i} THEN n END")).alias(f"f{i}")
+                            for i in range(len(listed))]))
+            rows = ", ".join(f"struct({', '.join(_label(c))}, CAST(coalesce(f{i}, 0) AS BIGINT) AS failures)"
+                             for i, c in enumerate(listed))
+            parts.append(found.selectExpr(f"inline(array({rows}))"))
     for c in checks:
         if c.test != "unique":
             continue
@@ -152,9 +163,8 @@ def assert_report(report: DataFrame) -> list[tuple]:
 
 
 def assert_min_rows(df: DataFrame, n: int) -> int:
-    """Row-count gate: raise when ``df`` has fewer than ``n`` rows. Counts at
-    most ``n`` rows (stops early)."""
-    seen = df.limit(n).count()
+    """Row-count gate: the number of rows; raises when it is below ``n``."""
+    seen = df.count()
     if seen < n:
         raise CheckFailed(f"only {seen} rows loaded, expected at least {n}")
     return seen

@@ -2,17 +2,13 @@
 
 Built-in Parquet tables do not support ``MERGE INTO``, so the merge is a
 join: the result is the new content of the target, written back by
-:mod:`gridmix.sources.sinks`. Two physical strategies give the same rows:
-
-* ``broadcast`` – the batch is proven small (``limit(n+1).count() <= n``):
-  the target is streamed once through a broadcast hash join, never shuffled.
-  Inserts are the batch rows whose key found no target row, found by an
-  anti-join against the (batch-bounded) set of matched keys.
-* ``shuffle`` – otherwise: target LEFT JOIN batch on the keys (sort-merge;
-  AQE splits a hot target key across tasks, which a full outer join would
-  not allow), and inserts = batch LEFT ANTI JOIN the distinct target keys
-  (the distinct is pre-aggregated map-side, so a key holding a third of the
-  target shrinks to one row per task before the shuffle).
+:mod:`gridmix.sources.sinks`. Target LEFT JOIN batch on the keys gives kept and
+updated rows; inserts = batch LEFT ANTI JOIN the distinct target keys. Both
+joins carry no hint: AQE turns them into broadcast joins when the batch (or the
+key set) is measured to be small, and else splits a hot target key across
+tasks, which a full outer join would not allow. The distinct keys are
+pre-aggregated map-side, so a key holding a third of the target shrinks to one
+row per task before the shuffle.
 
 MERGE semantics kept on purpose: the change test uses plain ``!=``, so a
 NULL on either side never triggers an update; only ``update_cols`` (and the
@@ -35,12 +31,6 @@ from gridmix.functions.cleaning import ntz_of
 from gridmix.operators.dedup import keep_latest
 from gridmix.sources.schemas import NATIONAL_RT_SOURCE, REGIONAL_RT_SOURCE
 
-# Largest batch merged through a broadcast join: ~20 columns x 8 bytes x
-# 100,000 rows is about 20 MB per executor. A feed batch is 100 records; a
-# backfill-size batch takes the shuffle path.
-BROADCAST_MAX_ROWS = 100_000
-
-
 @dataclass(frozen=True)
 class MergeSpec:
     keys: tuple[str, ...]
@@ -106,33 +96,16 @@ def _join_cond(spec: MergeSpec) -> Column:
 
 
 def upsert(target: DataFrame, batch: DataFrame, spec: MergeSpec,
-           loaded_at: datetime | Column, strategy: str = "auto",
-           broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           loaded_at: datetime | Column) -> DataFrame:
     """New content of ``target`` after merging ``batch`` (target schema)."""
     stamp = loaded_at if isinstance(loaded_at, Column) else ntz_of(loaded_at)
     stamp = stamp.cast(dict(target.dtypes)[spec.stamp_col])
-    tcols, bcols = target.columns, batch.columns
+    bcols, keys = batch.columns, list(spec.keys)
     b = _prepare_batch(batch, spec)
-    if strategy == "auto":
-        n = b.limit(broadcast_max_rows + 1).count()
-        strategy = "broadcast" if n <= broadcast_max_rows else "shuffle"
     t = target.withColumn("_t", F.lit(True)).alias("t")
     s = b.withColumn("_s", F.lit(True)).alias("s")
-    cols = _resolved(tcols, bcols, spec, stamp)
-    keys = list(spec.keys)
-    if strategy == "shuffle":
-        kept = t.join(s, _join_cond(spec), "left").select(*cols)
-        target_keys = target.select(*keys).distinct()
-        fresh = b.join(target_keys, keys, "left_anti")
-    elif strategy == "broadcast":
-        joined = t.join(F.broadcast(s), _join_cond(spec), "left")
-        kept = joined.select(*cols)
-        # batch keys that matched at least one target row: at most |batch| rows
-        matched = joined.filter(F.col("s._s").isNotNull()).select(
-            *[F.col(f"s.{k}").alias(k) for k in keys]).distinct()
-        fresh = b.join(F.broadcast(matched), keys, "left_anti")
-    else:
-        raise ValueError(f"unknown strategy {strategy}")
+    kept = t.join(s, _join_cond(spec), "left").select(*_resolved(target.columns, bcols, spec, stamp))
+    fresh = b.join(target.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(fresh.select(*_inserted(target, bcols, spec, stamp)))
 
 
@@ -160,7 +133,11 @@ def high_water(target: DataFrame, ts: str = "date_heure") -> Column:
 def incremental_source(source: DataFrame, target: DataFrame | None, ts: str = "date_heure",
                        lookback: str | None = None) -> DataFrame:
     """Rows to process on this run: everything on the first run, else rows
-    strictly after the target's high-water mark (minus ``lookback``)."""
+    strictly after the target's high-water mark (minus ``lookback``).
+
+    The mark needs any frame with the target's latest ``ts``: a stored target,
+    or the rows it was made from before they were deduplicated.
+    """
     if target is None:
         return source
     hw = high_water(target, ts)

@@ -2,12 +2,15 @@
 
 Layout under ``warehouse``::
 
-    raw/national_history, raw/regional_history       partitioned by year
-    raw/national_realtime, raw/regional_realtime     partitioned by year
-    silver/int_national, silver/int_regional         versioned, read by several marts
-    gold/mart_national                               incremental, partitioned by annee, mois
+    raw/national_history, raw/regional_history       text columns, kept by year
+    raw/national_realtime, raw/regional_realtime     instants, kept by day
+    silver/int_national, silver/int_regional         full refresh, read by several marts
+    gold/mart_national                               incremental, kept by month
     gold/mart_patterns, gold/green_hours,
-    gold/mart_regional_monthly                       versioned full refresh
+    gold/mart_regional_monthly                       full refresh
+
+All are stored tables (:mod:`gridmix.sources.stored`): one layout and schema
+each, switched from one state to the next in one step.
 
 Staging is a lazy view (as in the source design); the enriched models are
 materialised once because three marts read the national one. The green-hour
@@ -17,36 +20,51 @@ mart reads the stored patterns mart instead of recomputing it.
 from __future__ import annotations
 
 import os
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from gridmix.functions.cleaning import instant_of, ntz_of
 from gridmix.operators import quality
 from gridmix.operators.upsert import incremental_source, sync_columns
 from gridmix.plans import enrich, marts, staging
-from gridmix.session import checkpoint_dir
-from gridmix.sources import adapter, sinks
+from gridmix.sources import adapter, readers, sinks, stored
 from gridmix.sources.bronze import load_history
+from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT, REGIONAL_HISTORY_TEXT
+from gridmix.streaming.feed import FEED_GRAIN, feed_schema, ingest_feed
 
-# The incremental mart is partitioned by month: a lookback run rewrites the
-# one or two months it re-reads, not the year.
-MART_PARTITION = ["annee", "mois"]
+# A lookback run rewrites the one or two months it re-reads, not the year.
+MART_GRAIN = "month"
 
 
 def _p(wh: str, *parts: str) -> str:
     return os.path.join(wh, *parts)
 
 
+def _as_text(history: DataFrame) -> DataFrame:
+    """Raw history keeps every column as text but the load stamp."""
+    return history.select(*[F.col(c) if c == "_loaded_at" else F.col(c).cast("string").alias(c)
+                            for c in history.columns])
+
+
+def feed_form(realtime: DataFrame, regional: bool) -> DataFrame:
+    """Zone-less Paris readings in the form of a raw real-time table."""
+    return realtime.withColumn("date_heure", instant_of(F.col("date_heure"))).select(
+        *feed_schema(regional).fieldNames())
+
+
 def land_raw(spark: SparkSession, src_dir: str, wh: str) -> None:
-    """Backfill the four raw tables from the driver tables (idempotent per year)."""
-    sinks.overwrite_partitions(load_history(adapter.national_history_landed(spark, src_dir)),
-                               _p(wh, "raw", "national_history"))
-    sinks.overwrite_partitions(load_history(adapter.regional_history_landed(spark, src_dir)),
-                               _p(wh, "raw", "regional_history"))
-    sinks.overwrite_partitions(adapter.national_realtime(spark, src_dir),
-                               _p(wh, "raw", "national_realtime"))
-    sinks.overwrite_partitions(adapter.regional_realtime(spark, src_dir),
-                               _p(wh, "raw", "regional_realtime"))
+    """Derive the four raw tables whole from the driver tables."""
+    for name, landed in (("national_history", adapter.national_history_landed),
+                         ("regional_history", adapter.regional_history_landed)):
+        stored.commit(_as_text(load_history(landed(spark, src_dir))), _p(wh, "raw", name), "year",
+                      mode="overwrite")
+    for name, realtime, regional in (("national_realtime", adapter.national_realtime, False),
+                                     ("regional_realtime", adapter.regional_realtime, True)):
+        stored.commit(feed_form(realtime(spark, src_dir), regional), _p(wh, "raw", name), FEED_GRAIN,
+                      mode="overwrite")
 
 
 # Minimum rows after a full backfill.
@@ -71,28 +89,41 @@ def verify_load(spark: SparkSession, wh: str, national_min: int = NATIONAL_MIN_R
 
 
 def backfill_exports(spark: SparkSession, export_paths: str | list[str], wh: str,
-                     regional: bool = False, loaded_at=None,
-                     min_rows: int | None = None) -> DataFrame:
-    """Backfill a raw history table from landed ``;`` exports.
-
-    Every yearly file is read in one parallel scan with an all-text schema;
-    the load step normalises names, stamps the batch and maps ``'nan'`` to
-    NULL; each year partition present is replaced (re-running a year is
-    idempotent). Returns the load report; raises below ``min_rows``.
+                     regional: bool = False, loaded_at=None, min_rows: int | None = None,
+                     whole_years: bool = False) -> DataFrame:
+    """Load landed ``;`` exports into a raw history table.
+
+    Columns go by their header names (extra ones are kept, a missing needed one
+    is an error); the load step stamps the batch. Rows are appended: staging
+    keeps the latest load of a reading, so a part of a year, or a year again,
+    loses nothing. ``whole_years`` says that the files hold every reading of
+    each year they touch, whose earlier loads are then replaced; rows without a
+    usable time are appended even so. Exports without rows load nothing.
+    Returns the load report, with the rows of this load and those of them whose
+    time can't be parsed; raises below ``min_rows``.
     """
-    from datetime import datetime, timezone
-    from gridmix.sources import readers
-    from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT, REGIONAL_HISTORY_TEXT
-    cols = REGIONAL_HISTORY_TEXT if regional else NATIONAL_HISTORY_TEXT
+    needed = REGIONAL_HISTORY_TEXT if regional else NATIONAL_HISTORY_TEXT
     name = "regional_history" if regional else "national_history"
+    base = _p(wh, "raw", name)
     stamp = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    bronze = load_history(readers.read_export(spark, export_paths, cols), stamp)
-    sinks.overwrite_partitions(bronze, _p(wh, "raw", name))
+    bronze = _as_text(load_history(readers.read_export(spark, export_paths, needed), stamp))
+    counted = bronze.agg(F.count(F.lit(1)).alias("n"), sinks.rows_without_time(bronze).alias("bad")).first()
+    if counted["n"]:
+        if whole_years:
+            timed = F.col("date_heure").try_cast("timestamp_ntz").isNotNull()
+            sinks.overwrite_partitions(bronze.filter(timed), base)
+            bronze = bronze.filter(~timed)
+        if not whole_years or counted["bad"]:
+            sinks.append(bronze, base)
+    elif not stored.exists(spark, base):
+        sinks.ensure_table(spark, base, bronze.schema)
     floor = min_rows if min_rows is not None else (
         REGIONAL_MIN_ROWS if regional else NATIONAL_MIN_ROWS)
-    report = quality.load_stats(_raw(spark, wh, name), name, "date_heure", floor)
+    report = (quality.load_stats(stored.read(spark, base), name, "date_heure", floor)
+              .withColumn("rows_loaded", F.lit(counted["n"]).cast("bigint"))
+              .withColumn("rows_without_time", F.lit(counted["bad"]).cast("bigint")))
     row = report.first()
-    if not row["gate_ok"]:
+    if counted["n"] and not row["gate_ok"]:
         raise quality.CheckFailed(f"{name}: only {row['n_rows']} rows, expected at least {floor}")
     return report
 
@@ -101,28 +132,37 @@ def ingest_realtime(spark: SparkSession, landing_dir: str, wh: str, regional: bo
                     available_now: bool = True):
     """Hourly feed run into the warehouse's raw real-time table (checkpoint
     kept next to the table)."""
-    from gridmix.streaming.feed import ingest_feed
     name = "regional_realtime" if regional else "national_realtime"
     return ingest_feed(spark, landing_dir, _p(wh, "raw", name),
                        _p(wh, "_checkpoints", name), regional, available_now)
 
 
 def verify_recent(spark: SparkSession, wh: str, regional: bool = False,
-                  max_age_hours: int = 2) -> DataFrame:
+                  max_age_hours: int = 2, now: datetime | None = None) -> DataFrame:
     """Freshness report after a feed run: row count, newest reading and
-    whether it is older than ``max_age_hours`` at the latest load stamp.
-    Reported, not enforced (as in the source). Feed tables hold instants;
-    they are compared as UTC wall clock, like the UTC load stamps."""
+    whether it is older than ``max_age_hours`` at ``now`` (by default the time
+    of the call, so a feed that has stopped shows). Reported, not enforced (as
+    in the source). Feed tables hold instants; they are compared as UTC wall
+    clock."""
     name = "regional_realtime" if regional else "national_realtime"
-    df = spark.read.parquet(_p(wh, "raw", name))
-    if dict(df.dtypes)["date_heure"] == "timestamp":
-        utc = F.convert_timezone(None, F.lit("UTC"), F.col("date_heure").cast("timestamp_ntz"))
-        df = df.withColumn("date_heure", utc)
-    return quality.freshness(df, name, "date_heure", max_age_hours=max_age_hours)
+    base = _p(wh, "raw", name)
+    df = stored.read(spark, base) if stored.exists(spark, base) else \
+        spark.createDataFrame([], feed_schema(regional))
+    utc = F.convert_timezone(None, F.lit("UTC"), F.col("date_heure").cast("timestamp_ntz"))
+    at = ntz_of(now or datetime.now(timezone.utc))
+    return quality.freshness(df.withColumn("date_heure", utc), name, "date_heure", now=at,
+                             max_age_hours=max_age_hours)
 
 
 def _raw(spark: SparkSession, wh: str, name: str) -> DataFrame:
-    return spark.read.parquet(_p(wh, "raw", name)).drop(sinks.PARTITION_COL)
+    return stored.read(spark, _p(wh, "raw", name))
+
+
+def raw_year(spark: SparkSession, wh: str, year: int, regional: bool = False) -> DataFrame:
+    """One year of raw history, half-open on the instant; reads only the years
+    by wall clock that can hold its instants."""
+    base = _p(wh, "raw", "regional_history" if regional else "national_history")
+    return readers.year_slice(stored.read(spark, base, [str(y) for y in (year - 1, year, year + 1)]), year)
 
 
 def stg_national(spark: SparkSession, wh: str) -> DataFrame:
@@ -139,7 +179,7 @@ KEEP_VERSIONS = 2
 
 
 def _refresh(df: DataFrame, path: str) -> None:
-    """Full refresh into a new version, then drop versions beyond the last two."""
+    """Full refresh, then drop what only manifests before the last two name."""
     sinks.full_refresh(df, path)
     sinks.prune_versions(df.sparkSession, path, KEEP_VERSIONS)
 
@@ -149,36 +189,44 @@ def build_silver(spark: SparkSession, wh: str) -> None:
     _refresh(enrich.int_regional(stg_regional(spark, wh)), _p(wh, "silver", "int_regional"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    return sinks._exists(spark, path)
+def _synced_schema(kept: StructType, model: StructType) -> StructType:
+    """The stored columns that the model still has, with its types, then its new ones."""
+    types = {f.name: f.dataType for f in model}
+    old = [f.name for f in kept if f.name in types]
+    return StructType([StructField(n, types[n], True) for n in old]
+                      + [StructField(f.name, f.dataType, True) for f in model if f.name not in old])
 
 
 def build_mart_national(spark: SparkSession, wh: str, lookback: str | None = None) -> None:
     """Incremental mart. First run: everything. Later runs: rows after the
-    stored high-water mark are appended (new columns are added to the
-    stored schema; vanished ones are no longer read). With ``lookback`` the
-    affected (``annee``, ``mois``) partitions are rewritten with the re-read
-    rows."""
+    stored high-water mark are appended. With ``lookback`` the months of the
+    re-read rows are rewritten. The stored columns follow the model's: new ones
+    read as NULL in older rows, vanished ones are no longer in the table; after
+    a change of type the table is rewritten."""
     path = _p(wh, "gold", "mart_national")
     source = marts.mart_national(sinks.read_table(spark, _p(wh, "silver", "int_national")))
-    if not _exists(spark, path):
-        source.write.partitionBy(*MART_PARTITION).parquet(path)
+    kept = stored.schema_of(spark, path)
+    if kept is None:
+        stored.commit(source, path, MART_GRAIN)
         return
-    target = spark.read.option("mergeSchema", True).parquet(path)
-    new = incremental_source(source, target, "date_heure", lookback)
+    schema = _synced_schema(kept, source.schema)
+    types = {f.name: f.dataType for f in kept}
+    target = stored.read(spark, path)
+    if any(types.get(f.name, f.dataType) != f.dataType for f in schema):
+        cast = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in types])
+        stored.commit(sync_columns(cast, source), path, MART_GRAIN, mode="overwrite", schema=schema)
+        target = stored.read(spark, path)
+    new = incremental_source(source, target, "date_heure", lookback).select(*schema.fieldNames())
     if lookback is None:
-        new.write.mode("append").partitionBy(*MART_PARTITION).parquet(path)
+        stored.commit(new, path, MART_GRAIN, schema=schema)
         return
-    checkpoint_dir(spark)
-    new = new.checkpoint(eager=True)
-    # (year, month) pairs re-read by the lookback: a handful of values
-    months = [f"{r[0]}-{r[1]}" for r in new.select(*MART_PARTITION).distinct().collect()]
-    touched = F.concat_ws("-", *[F.col(c) for c in MART_PARTITION]).isin(months)
-    kept = target.filter(touched).join(
+    # months re-read by the lookback: a handful of values
+    value = stored.partition_value(new, MART_GRAIN, "date_heure").alias("value")
+    months = [r["value"] for r in new.select(value).distinct().collect()]
+    others = sync_columns(stored.read(spark, path, months), new).join(
         new.select("date_heure"), "date_heure", "left_anti")
-    merged = sync_columns(kept, new).unionByName(new).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*MART_PARTITION).parquet(path))
+    stored.commit(others.select(*schema.fieldNames()).unionByName(new), path, MART_GRAIN,
+                  mode="replace", schema=schema)
 
 
 def build_gold(spark: SparkSession, wh: str) -> None:
@@ -198,7 +246,7 @@ def check_gold(spark: SparkSession, wh: str) -> DataFrame:
         "stg_regional": stg_regional(spark, wh),
         "int_national": sinks.read_table(spark, _p(wh, "silver", "int_national")),
         "int_regional": sinks.read_table(spark, _p(wh, "silver", "int_regional")),
-        "mart_national": spark.read.option("mergeSchema", True).parquet(_p(wh, "gold", "mart_national")),
+        "mart_national": sinks.read_table(spark, _p(wh, "gold", "mart_national")),
         "mart_patterns": sinks.read_table(spark, _p(wh, "gold", "mart_patterns")),
         "green_hours": sinks.read_table(spark, _p(wh, "gold", "green_hours")),
         "mart_regional_monthly": sinks.read_table(spark, _p(wh, "gold", "mart_regional_monthly")),

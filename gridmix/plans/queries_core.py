@@ -51,8 +51,10 @@ def latest_100_regional(spark, src):
     f"WHERE try_cast(date_heure AS TIMESTAMPTZ) >= TIMESTAMPTZ '{SLICE_YEAR}-01-01 00:00:00+01:00' "
     f"AND try_cast(date_heure AS TIMESTAMPTZ) < TIMESTAMPTZ '{SLICE_YEAR + 1}-01-01 00:00:00+01:00'"))
 def year_slice(spark, src):
-    """One yearly export slice, half-open on the instant."""
-    return readers.year_slice(adapter.national_history_landed(spark, src), SLICE_YEAR)
+    """One yearly export slice, half-open on the instant. Wall-clock years beside
+    it can hold instants of the year, others are not read."""
+    near = adapter.national_history_landed(spark, src, years=(SLICE_YEAR - 1, SLICE_YEAR + 1))
+    return readers.year_slice(near, SLICE_YEAR)
 
 
 # ---- projections and casts (P1-P12) ---------------------------------------
@@ -71,9 +73,8 @@ def normalize_names(spark, src):
     "FROM nat_hist_landed l JOIN nat_hist_raw r USING (_row_key)"))
 def nan_to_null_q(spark, src):
     landed = adapter.national_history_landed(spark, src)
-    return nan_to_null(landed, ["consommation"]).select(
-        "_row_key", "consommation").join(
-        landed.select("_row_key", F.col("consommation").alias("consommation_raw")), "_row_key")
+    both = landed.select("_row_key", F.col("consommation").alias("consommation_raw"), "consommation")
+    return nan_to_null(both, ["consommation"])
 
 
 @register("strict_cast", O.query(

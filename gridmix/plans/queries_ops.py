@@ -14,9 +14,10 @@ from gridmix.operators.upsert import (NATIONAL_FEED, REGIONAL_FEED, MergeSpec,
 from gridmix.plans import enrich, marts, models, staging
 from gridmix.plans import oracle as O
 from gridmix.plans.catalog import register
+from gridmix.session import staged
 from gridmix.sources import adapter
 from gridmix.sources.schemas import NATIONAL_RT_MEASURES, REGIONAL_RT_MEASURES
-from gridmix.streaming.feed import half_hour_stream, run_available_now, table_stream
+from gridmix.streaming.feed import half_hour_stream, run_available_now, source_state, table_stream
 from gridmix.streaming.windows import half_hour_stats
 
 # Fixed values of the registered scenarios.
@@ -24,11 +25,6 @@ BATCH_LOADED_AT = datetime(2026, 3, 1)
 LOOKBACK = "3 DAYS"
 NATIONAL_MIN_ROWS, REGIONAL_MIN_ROWS = 400_000, 1_000_000
 OLD_MART_DROPPED = ["ecart_prevision_mw", "part_fossiles"]
-# The re-delivered history is a backfill-size batch derived through an
-# aggregation: a size probe would recompute it, so the merge goes straight to
-# the shuffle join. Feed batches read from landed files use "auto".
-BACKFILL_STRATEGY = "shuffle"
-
 # ---- feed batches: the history re-delivered through the real-time feed ----
 
 
@@ -93,14 +89,14 @@ def merge_sql(target: str, batch: str, spec: MergeSpec, tcols: list[str], bcols:
 def upsert_national(spark, src):
     """Merge the re-delivered national history into the real-time table."""
     return upsert(models.raw_national_realtime(spark, src), national_feed_batch(spark, src),
-                  NATIONAL_FEED, BATCH_LOADED_AT, strategy=BACKFILL_STRATEGY)
+                  NATIONAL_FEED, BATCH_LOADED_AT)
 
 
 @register("upsert_regional", O.query(merge_sql(
     "reg_rt_raw", "reg_batch", REGIONAL_FEED, REG_RT_COLS, REG_BATCH_COLS, "2026-03-01 00:00:00")))
 def upsert_regional(spark, src):
     return upsert(models.raw_regional_realtime(spark, src), regional_feed_batch(spark, src),
-                  REGIONAL_FEED, BATCH_LOADED_AT, strategy=BACKFILL_STRATEGY)
+                  REGIONAL_FEED, BATCH_LOADED_AT)
 
 
 # ---- incremental mart (K7, K8, F4, J4, A11, T3) ---------------------------
@@ -114,9 +110,10 @@ O.add_cte("mart_national_hist", O.mart_national_body("int_national_hist"))
 
 
 def previous_mart(spark, src):
-    hist = models.raw_national_history(spark, src)
-    stg = staging.stg_national(hist, models.raw_national_realtime(spark, src).limit(0))
-    return marts.mart_national(enrich.int_national(stg))
+    """The mart as the previous run stored it: built from the history alone,
+    written once; mark, kept rows and lookback read the stored table."""
+    stg = staging.stg_national(models.raw_national_history(spark, src))
+    return staged(marts.mart_national(enrich.int_national(stg)), "previous-mart")
 
 
 _HW = "(SELECT max(date_heure) FROM mart_national_hist)"
@@ -124,8 +121,10 @@ _HW = "(SELECT max(date_heure) FROM mart_national_hist)"
 
 @register("incremental_filter", O.query(f"SELECT * FROM int_national WHERE date_heure > {_HW}"))
 def incremental_filter(spark, src):
-    """Rows after the target's high-water mark (scalar subquery, pushed down)."""
-    return incremental_source(models.int_national(spark, src), previous_mart(spark, src))
+    """Rows after the target's high-water mark: the latest reading it was made
+    from, which needs no deduplication."""
+    rows = staging.national_rows(models.raw_national_history(spark, src))
+    return incremental_source(models.int_national(spark, src), rows)
 
 
 @register("mart_national_incremental", O.query(
@@ -171,16 +170,6 @@ def sync_columns_q(spark, src):
 
 # ---- data checks (Q1-Q4) ---------------------------------------------------
 
-_MODEL_FNS = {
-    "stg_national": models.stg_national, "stg_regional": models.stg_regional,
-    "int_national": models.int_national, "int_regional": models.int_regional,
-    "mart_national": models.mart_national, "mart_patterns": models.mart_patterns,
-    "green_hours": lambda s, d: marts.green_hours(models.mart_patterns(s, d), ordered=False),
-    "mart_regional_monthly": lambda s, d: marts.mart_regional_monthly(
-        models.int_regional(s, d), ordered=False),
-}
-
-
 def _check_sql(c: quality.Check) -> str:
     head = (f"SELECT '{c.model}' AS model, '{c.column}' AS column_name, '{c.test}' AS test, "
             f"'{c.severity}' AS severity, ")
@@ -202,10 +191,29 @@ def _report_sql(checks: list[quality.Check]) -> str:
                    f"THEN 'warn' ELSE 'fail' END AS status FROM ({rows})")
 
 
+def _checked_models(spark, src, wanted):
+    """The wanted models over the two enriched ones, which are stored once: every
+    check reads them, and the checked columns of the staging models are among theirs,
+    row for row."""
+    found = {}
+    if any("regional" in n for n in wanted):
+        regional = staged(models.int_regional(spark, src), "checked-regional")
+        found |= {"stg_regional": regional.select(*[c for c in staging.STG_REGIONAL_COLUMNS if c in regional.columns]),
+                  "int_regional": regional,
+                  "mart_regional_monthly": marts.mart_regional_monthly(regional, ordered=False)}
+    if any("regional" not in n for n in wanted):
+        national = staged(models.int_national(spark, src), "checked-national")
+        patterns = marts.mart_patterns(national)
+        found |= {"stg_national": national.select(*[c for c in staging.STG_NATIONAL_COLUMNS if c in national.columns]),
+                  "int_national": national, "mart_national": marts.mart_national(national),
+                  "mart_patterns": patterns,
+                  "green_hours": marts.green_hours(patterns, ordered=False)}
+    return {n: found[n] for n in sorted(wanted)}
+
+
 def _report(checks):
     def fn(spark, src):
-        names = sorted({c.model for c in checks})
-        return quality.run_checks({n: _MODEL_FNS[n](spark, src) for n in names}, checks)
+        return quality.run_checks(_checked_models(spark, src, {c.model for c in checks}), checks)
     return fn
 
 
@@ -267,4 +275,5 @@ def half_hour_window_stream(spark, src):
     2-hour watermark, append mode, run with ``availableNow``. A window is
     emitted once the watermark (latest event time - 2 h) has passed its end."""
     stream = table_stream(spark, src, "events").select("ts", "value")
-    return run_available_now(half_hour_stream(stream, "ts", "value"), "half-hour-stream", src)
+    return run_available_now(half_hour_stream(stream, "ts", "value"), "half-hour-stream",
+                             source_state(spark, f"{src}/events.parquet"))

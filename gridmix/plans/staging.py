@@ -103,20 +103,26 @@ def clean_regional_realtime(raw: DataFrame) -> DataFrame:
         *_keep_row_key(raw))
 
 
-def union_national(history_raw: DataFrame, realtime_raw: DataFrame) -> DataFrame:
-    """History ∪ real time, by column name (never by position)."""
-    return clean_national_history(history_raw).unionByName(clean_national_realtime(realtime_raw))
+def union_national(history_raw: DataFrame, realtime_raw: DataFrame | None = None) -> DataFrame:
+    """History ∪ real time (if there is any yet), by column name (never by position)."""
+    history = clean_national_history(history_raw)
+    return history if realtime_raw is None else history.unionByName(clean_national_realtime(realtime_raw))
 
 
 def union_regional(history_raw: DataFrame, realtime_raw: DataFrame) -> DataFrame:
     return clean_regional_history(history_raw).unionByName(clean_regional_realtime(realtime_raw))
 
 
-def stg_national(history_raw: DataFrame, realtime_raw: DataFrame) -> DataFrame:
-    """One row per timestamp; the most recently loaded reading wins."""
-    src = union_national(history_raw, realtime_raw).filter(
+def national_rows(history_raw: DataFrame, realtime_raw: DataFrame | None = None) -> DataFrame:
+    """The usable readings, before one per timestamp is kept."""
+    return union_national(history_raw, realtime_raw).filter(
         F.col("date_heure").isNotNull() & F.col("consommation_mw").isNotNull()
         & (F.col("consommation_mw") > 0))
+
+
+def stg_national(history_raw: DataFrame, realtime_raw: DataFrame | None = None) -> DataFrame:
+    """One row per timestamp; the most recently loaded reading wins."""
+    src = national_rows(history_raw, realtime_raw)
     return keep_latest(src, ["date_heure"], drop=["_row_key"]).select(*STG_NATIONAL_COLUMNS)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins and coalesces shuffle
 # partitions at run time; skew-join splitting covers hot keys in the
@@ -50,8 +51,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged writes.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set
-    on the context). Only when neither is set — local tests — a fresh
-    scratch folder is created and registered.
+    on the context). When neither is set, a local session gets a fresh scratch
+    folder; on a cluster, where executors share no local folder, that is an
+    error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +61,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="gridmix-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: several
+    consumers read the table instead of repeating its plan."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

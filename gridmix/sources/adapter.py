@@ -49,14 +49,24 @@ EXCHANGES = {"ech_comm_angleterre": (11, 5), "ech_comm_espagne": (13, 6),
 TCO = {"tco_thermique": 13, "tco_nucleaire": 17, "tco_eolien": 19,
        "tco_solaire": 23, "tco_hydraulique": 29, "tco_bioenergies": 31}
 
-_MEMO: dict[tuple, DataFrame] = {}
+_MEMO: dict[tuple, tuple[tuple, DataFrame]] = {}
+
+
+def _listing(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times in a source folder: a changed source is planned anew."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                        for f in fs.listStatus(hpath)))
 
 
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """``key`` ends with the source folder."""
     k = (spark.sparkContext.applicationId,) + key
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+    state = _listing(spark, key[-1])
+    if k not in _MEMO or _MEMO[k][0] != state:
+        _MEMO[k] = (state, build())
+    return _MEMO[k][1]
 
 
 def clear_cache() -> None:
@@ -65,7 +75,7 @@ def clear_cache() -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
-    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
+    return _memo(spark, ("table", name, sf_dir), lambda: spark.read.parquet(path))
 
 
 def _exprs(cols: dict[str, str]) -> list:
@@ -108,6 +118,7 @@ def national_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         cols = {
             "_row_key": "o_orderkey",
             "dh": _shifted(NATIONAL_STEP_MIN, NATIONAL_SLOTS),
+            "_ordered": "o_orderdate",
             "consommation": "q_all",
             "prevision_j1": "q_all + CAST(o_orderkey % 7 - 3 AS DOUBLE)",
             "prevision_j": "q_all + CAST(o_orderkey % 5 - 2 AS DOUBLE)",
@@ -138,6 +149,7 @@ def regional_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             "code_insee_region": "lpad(CAST(c_nationkey AS STRING), 2, '0')",
             "libelle_region": "n_name",
             "dh": _shifted(REGIONAL_STEP_MIN, REGIONAL_SLOTS),
+            "_ordered": "o_orderdate",
             "consommation": "q_all", "thermique": "q_rf", "nucleaire": "q_af",
             "eolien": "q_nf", "solaire": "q_no", "hydraulique": "q_ao",
             "pompage": _COMMON["pompage"], "bioenergies": "q_ro",
@@ -150,7 +162,12 @@ def regional_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, ("regional_base", sf_dir), build)
 
 
-_HISTORY = f"year(dh) < {REALTIME_FROM_YEAR}"
+def _from_year(year: int) -> str:
+    """First order date of the readings from ``year`` on: a bound the scan can use."""
+    return f"CAST(DATE '{year}-01-01' - make_dt_interval({DAY_SHIFT}) AS TIMESTAMP_NTZ)"
+
+
+_HISTORY = f"_ordered < {_from_year(REALTIME_FROM_YEAR)} AND year(dh) < {REALTIME_FROM_YEAR}"
 _REALTIME = f"year(dh) >= {REALTIME_FROM_YEAR} OR _row_key % {REALTIME_EVERY} = 0"
 # zone-free formatting: the text of a zone-less timestamp, ISO 'T', fixed offset
 _ISO_TEXT = (f"CASE WHEN _row_key % {BAD_DATE_EVERY} = 0 THEN 'bad' "
@@ -161,10 +178,15 @@ def _int_text(c: str) -> str:
     return f"CAST(CAST({c} AS BIGINT) AS STRING)"
 
 
-def national_history_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """National yearly export as landed: time and consumption as text."""
+def national_history_landed(spark: SparkSession, sf_dir: str,
+                            years: tuple[int, int] | None = None) -> DataFrame:
+    """National yearly export as landed: time and consumption as text.
+    ``years``: only the exports of these years, first to last."""
     def build():
         b = national_base(spark, sf_dir).filter(F.expr(_HISTORY))
+        if years:
+            b = b.filter(F.expr(f"_ordered >= {_from_year(years[0])} AND "
+                                f"_ordered < {_from_year(years[1] + 1)}"))
         measures = ["prevision_j1", "prevision_j", "nucleaire", "hydraulique", "eolien", "solaire",
                     "gaz", "fioul", "charbon", "bioenergies", "pompage", "ech_physiques",
                     *EXCHANGES, "taux_co2"]
@@ -175,7 +197,7 @@ def national_history_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "_loaded_at": f"TIMESTAMP_NTZ '{HISTORY_LOADED_AT}'",
                 "_row_key": "_row_key"}
         return b.select(*_exprs(cols))
-    return _memo(spark, ("nat_hist", sf_dir), build)
+    return _memo(spark, ("nat_hist", years, sf_dir), build)
 
 
 def regional_history_landed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,25 +2,77 @@
 
 from __future__ import annotations
 
+import csv
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridmix.functions.cleaning import instant
+from gridmix.functions.cleaning import instant, normalize_name
 from gridmix.sources.schemas import all_string
 
 # Export file format and the offset used in slice bounds.
 CSV_SEPARATOR = ";"
 SLICE_OFFSET = "+01:00"
-# Missing-value spellings the export parser treats as empty.
-MISSING_TEXT = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "-NaN", "-nan"]
+# Missing-value spellings of the export parser.
+MISSING_TEXT = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def export_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files of the given paths (files, folders or globs); a yearly export is a file."""
+    jvm = spark.sparkContext._jvm
+    found = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        matches = fs.globStatus(pattern) or []
+        for status in matches:
+            some = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += [s.getPath().toString() for s in some
+                      if s.isFile() and not s.getPath().getName().startswith((".", "_"))]
+        if not matches:
+            raise FileNotFoundError(path)
+    return sorted(found)
+
+
+def export_header(spark: SparkSession, file: str) -> list[str]:
+    """Column names of one export, as written; an empty file has none."""
+    first = spark.read.text(file).limit(1).collect()     # one line
+    line = first[0][0].lstrip("\ufeff") if first else ""
+    return next(csv.reader([line], delimiter=CSV_SEPARATOR), [])
+
 
+def read_export(spark: SparkSession, paths: str | list[str], needed: list[str]) -> DataFrame:
+    """Yearly ``;``-separated exports by their header names, every column as text.
 
-def read_export(spark: SparkSession, paths: str | list[str], columns: list[str]) -> DataFrame:
-    """All yearly ``;``-separated exports in one parallel scan, every column
-    as text (no inference pass over the data)."""
-    return (spark.read.option("header", True).option("sep", CSV_SEPARATOR)
-            .option("mode", "PERMISSIVE").schema(all_string(columns)).csv(paths))
+    Files with the same header are one parallel scan; the scans are united by
+    normalised name, so columns may differ in order and number between years.
+    A needed column that no header row of a file names is an error, as are two
+    columns of one normalised name. Missing-value spellings become NULL. Files
+    that are empty or hold a header only give no rows.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in export_files(spark, paths):
+        header = tuple(export_header(spark, file))
+        if header:
+            by_header.setdefault(header, []).append(file)
+    frames = []
+    for header, files in by_header.items():
+        names = [normalize_name(h.strip()) for h in header]
+        lacking = [c for c in needed if c not in names]
+        twice = sorted({n for n in names if names.count(n) > 1})
+        if lacking or twice:
+            raise ValueError(f"{files[0]}: " + (f"no column {', '.join(lacking)}" if lacking
+                                                else f"two columns {', '.join(twice)}"))
+        frames.append(spark.read.option("header", True).option("sep", CSV_SEPARATOR)
+                      .option("mode", "PERMISSIVE").schema(all_string(names)).csv(files))
+    if not frames:
+        return spark.createDataFrame([], all_string(needed))
+    united = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return united.select(*[F.when(~F.col(f"`{c}`").isin(MISSING_TEXT), F.col(f"`{c}`")).alias(c)
+                           for c in united.columns])
 
 
 def read_feed(spark: SparkSession, paths: str | list[str], envelope: StructType) -> DataFrame:

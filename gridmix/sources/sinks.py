@@ -1,37 +1,24 @@
-"""Sinks and table maintenance on file-based tables.
+"""Sinks and table maintenance on stored tables (:mod:`gridmix.sources.stored`).
 
-* append (K1): ``mode("append").partitionBy("year")``; re-running a slice
-  appends again (duplicates are removed by staging), or use
-  :func:`overwrite_partitions` for an idempotent reload of the slice.
+* append (K1): a load adds to what is there; staging removes duplicates. Only
+  :func:`overwrite_partitions` replaces, for a caller that knows its batch to
+  be whole partitions.
 * create-if-missing (K2), namespaces (K9), layer naming (K10).
-* full refresh (K6): write to a fresh version directory, then repoint —
-  never overwrite the directory being read; :func:`prune_versions` drops
-  old versions.
-* merge (K3/K4): :func:`merge_into` rewrites only the partitions the batch
-  touches (year or day grain); the merged rows are checkpointed to the
-  shared checkpoint folder first, which cuts their lineage from the files
-  about to be replaced.
+* full refresh (K6) and merge (K3/K4) write new folders and switch the
+  manifest: a failure in between leaves the old table whole, a replay merges
+  into it again. A merge rewrites only the partitions its batch touches.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from gridmix.functions.cleaning import lenient_timestamp
 from gridmix.operators.upsert import MergeSpec, upsert
-from gridmix.session import checkpoint_dir
-
-PARTITION_COL = "year"
-# Partition grains: column name, type, derivation from the reading time.
-# History tables use years (the export slices); real-time tables merged every
-# hour use days, so a merge rewrites only the days its batch touches.
-GRAINS = {"year": ("year", IntegerType(), F.year), "day": ("day", DateType(), F.to_date)}
+from gridmix.sources import stored
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -44,129 +31,60 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def ensure_table(spark: SparkSession, path: str, schema: StructType,
-                 grain: str | None = "year") -> None:
-    """Create an empty Parquet table at ``path`` if it does not exist."""
-    if _exists(spark, path):
-        return
-    df = spark.createDataFrame([], schema)
-    w = df.write.mode("ignore")
-    if grain:
-        name, dtype, _ = GRAINS[grain]
-        if name not in schema.fieldNames():
-            df = df.withColumn(name, F.lit(None).cast(dtype))
-        w = df.write.mode("ignore").partitionBy(name)
-    w.parquet(path)
-
-
-def read_declared(spark: SparkSession, path: str, schema: StructType,
-                  grain: str = "year") -> DataFrame:
-    """Read a raw table with its declared schema (no inference; works on a
-    freshly created, still empty table)."""
-    return spark.read.schema(_with_partition(schema, grain)).parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
-def with_partition(df: DataFrame, ts: str = "date_heure", grain: str = "year") -> DataFrame:
-    """Add the partition column of ``grain``; text times are parsed leniently
-    (unparseable text lands in the NULL partition)."""
-    name, _, derive = GRAINS[grain]
-    if name in df.columns:
-        return df
-    t = F.col(ts)
-    if dict(df.dtypes)[ts] == "string":
-        t = lenient_timestamp(t)
-    return df.withColumn(name, derive(t))
-
-
-def with_year(df: DataFrame, ts: str = "date_heure") -> DataFrame:
-    return with_partition(df, ts, "year")
-
-
-def append(df: DataFrame, path: str, ts: str = "date_heure", grain: str = "year") -> None:
-    """Append a batch, partitioned by ``grain`` of ``ts``."""
-    (with_partition(df, ts, grain).write.mode("append")
-     .partitionBy(GRAINS[grain][0]).parquet(path))
-
-
-def overwrite_partitions(df: DataFrame, path: str, ts: str = "date_heure",
-                         grain: str = "year") -> None:
-    """Idempotent reload: replaces exactly the partitions present in ``df``."""
-    (with_partition(df, ts, grain).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(GRAINS[grain][0]).parquet(path))
-
-
-def full_refresh(df: DataFrame, base_path: str) -> str:
-    """Materialise a table into a new version directory and repoint
-    ``base_path/_current`` to it. Returns the new version path."""
-    spark = df.sparkSession
-    version = os.path.join(base_path, f"v-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}")
-    df.write.mode("errorifexists").parquet(version)
-    pointer = os.path.join(base_path, "_current")
-    spark.createDataFrame([(version,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(pointer)
-    return version
-
-
-def prune_versions(spark: SparkSession, base_path: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` version folders of a full-refresh
-    table; the version ``_current`` points to is never deleted. Returns the
-    deleted paths. Readers that started on an older version should finish
-    before pruning (keep >= 2 leaves the previous one in place)."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(base_path)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    names = sorted(st.getPath().getName() for st in fs.listStatus(base)
-                   if st.isDirectory() and st.getPath().getName().startswith("v-"))
-    current = os.path.basename(current_version(spark, base_path).rstrip("/"))
-    doomed = [n for n in names[:-keep] if n != current] if keep > 0 else []
-    for n in doomed:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(base, n), True)
-    return [os.path.join(base_path, n) for n in doomed]
-
-
-def current_version(spark: SparkSession, base_path: str) -> str:
-    return spark.read.text(os.path.join(base_path, "_current")).first()[0]
-
-
-def read_table(spark: SparkSession, base_path: str) -> DataFrame:
-    return spark.read.parquet(current_version(spark, base_path))
-
-
-def merge_into(spark: SparkSession, path: str, batch: DataFrame, spec: MergeSpec,
+def ensure_table(spark: SparkSession, base: str, schema: StructType, grain: str = "year") -> None:
+    """Create an empty table at ``base`` if there is none; an existing one must
+    have this grain and these columns."""
+    now = stored.manifest(spark, base)
+    if now is None:
+        stored.commit(spark.createDataFrame([], schema), base, grain)
+    else:
+        stored._checked(now, base, grain, schema, evolve=False)
+
+
+def append(df: DataFrame, base: str, ts: str = "date_heure", grain: str = "year") -> None:
+    """Append a batch; columns the table lacks are added to it."""
+    stored.commit(df, base, grain, ts, evolve=True)
+
+
+def overwrite_partitions(df: DataFrame, base: str, ts: str = "date_heure", grain: str = "year") -> None:
+    """Replace exactly the partitions present in ``df``: for batches known to
+    hold the whole of every partition they touch."""
+    stored.commit(df, base, grain, ts, mode="replace", evolve=True)
+
+
+def full_refresh(df: DataFrame, base: str) -> None:
+    """Replace the whole table, whatever its columns were."""
+    stored.commit(df, base, mode="overwrite")
+
+
+def prune_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete what only manifests older than the newest ``keep`` name."""
+    return stored.prune(spark, base, keep)
+
+
+def read_table(spark: SparkSession, base: str) -> DataFrame:
+    return stored.read(spark, base)
+
+
+def merge_into(spark: SparkSession, base: str, batch: DataFrame, spec: MergeSpec,
                loaded_at: datetime, schema: StructType, ts: str = "date_heure",
-               strategy: str = "auto", grain: str = "year") -> None:
-    """Upsert ``batch`` into the partitioned table at ``path``.
+               grain: str = "year", applied: dict | None = None) -> None:
+    """Upsert ``batch`` into the table at ``base``.
 
     Only partitions holding a batch key are read and rewritten. The list of
     partition values (one per year or day touched) is the only thing
     brought to the driver.
     """
-    part = GRAINS[grain][0]
-    ensure_table(spark, path, schema, grain)
-    batch = with_partition(batch, ts, grain)
-    values = [r[0] for r in batch.select(part).distinct().collect()]
+    ensure_table(spark, base, schema, grain)
+    value = stored.partition_value(batch, grain, ts).alias("value")
+    values = [r["value"] for r in batch.select(value).distinct().collect()]
     if not values:
         return
-    target = read_declared(spark, path, schema, grain) \
-        .filter(F.col(part).isin(values) | F.col(part).isNull())
-    merged = upsert(target.drop(part), batch.drop(part), spec, loaded_at, strategy=strategy)
-    checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    overwrite_partitions(merged, path, ts, grain)
-
-
-def _with_partition(schema: StructType, grain: str = "year") -> StructType:
-    name, dtype, _ = GRAINS[grain]
-    if name in schema.fieldNames():
-        return schema
-    return StructType(list(schema.fields) + [StructField(name, dtype, True)])
+    target = stored.read(spark, base, values).select(*schema.fieldNames())
+    merged = upsert(target, batch, spec, loaded_at)
+    stored.commit(merged, base, grain, ts, mode="replace", applied=applied)
+
+
+def rows_without_time(df: DataFrame, ts: str = "date_heure"):
+    """Rows whose text time can't be parsed, as a column of a load report."""
+    return F.count_if(F.col(ts).try_cast("timestamp_ntz").isNull())

@@ -1,0 +1,187 @@
+"""Stored tables: Parquet folders behind a manifest that is switched in one step.
+
+Every write goes to a fresh folder (``commit-<id>``), one subfolder per
+partition value; the manifest then names the folders that make up the table.
+Manifests are numbered files, written beside and renamed into place, so a
+reader sees the old table or the new one, and a job that fails before the
+rename changes nothing. A table has one grain and one schema, both kept in the
+manifest and checked on every write. One writer at a time is assumed (one
+scheduled job per table).
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+MANIFESTS = "_manifests"
+DIR = "_part"          # folder name of a partition value; not a column of the table
+NO_VALUE = "none"      # readings without a usable time
+ALL = "all"            # the only value of an unpartitioned table
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _path(spark: SparkSession, *parts: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join(parts))
+
+
+def _numbers(spark: SparkSession, base: str) -> list[int]:
+    fs, folder = _fs(spark, f"{base}/{MANIFESTS}")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def manifest(spark: SparkSession, base: str, number: int | None = None) -> dict | None:
+    """The current manifest (or that of ``number``); None when there is no table."""
+    numbers = _numbers(spark, base)
+    if not numbers:
+        return None
+    file = f"{base}/{MANIFESTS}/{(numbers[-1] if number is None else number):012d}.json"
+    rows = spark.read.text(file, wholetext=True).collect()     # one small file
+    return json.loads(rows[0][0])
+
+
+def exists(spark: SparkSession, base: str) -> bool:
+    return bool(_numbers(spark, base))
+
+
+def _switch(spark: SparkSession, base: str, content: dict) -> None:
+    number = (_numbers(spark, base) or [0])[-1] + 1
+    fs, folder = _fs(spark, f"{base}/{MANIFESTS}")
+    fs.mkdirs(folder)
+    temporary = _path(spark, base, MANIFESTS, f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(temporary, False)
+    out.write(bytearray(json.dumps(content).encode()))
+    out.close()
+    if not fs.rename(temporary, _path(spark, base, MANIFESTS, f"{number:012d}.json")):
+        raise IOError(f"manifest {number} of {base} was written by another job")
+
+
+# ---- partition values: independent of the session time zone -----------------
+
+def _day(t: Column, instant: bool) -> Column:
+    if instant:   # the UTC day of the instant
+        return F.date_add(F.lit("1970-01-01").cast("date"),
+                          F.floor(F.unix_seconds(t) / 86400).cast("int")).cast("string")
+    return F.to_date(t).cast("string")
+
+
+def partition_value(df: DataFrame, grain: str, ts: str) -> Column:
+    """Text naming the partition of a row: 'all', a year, a month or a day."""
+    if grain == ALL:
+        return F.lit(ALL)
+    kind = dict(df.dtypes)[ts]
+    t = F.col(ts).try_cast("timestamp_ntz") if kind == "string" else F.col(ts)
+    day = _day(t, instant=kind == "timestamp")
+    value = {"day": day, "month": F.substring(day, 1, 7), "year": F.substring(day, 1, 4)}[grain]
+    return F.coalesce(value, F.lit(NO_VALUE))
+
+
+# ---- reading -----------------------------------------------------------------
+
+def read(spark: SparkSession, base: str, values: list[str] | None = None) -> DataFrame:
+    """The table, or the partitions ``values`` of it; columns the manifest's
+    schema has and a file lacks read as NULL, others are not read."""
+    now = manifest(spark, base)
+    if now is None:
+        raise FileNotFoundError(f"no table at {base}")
+    schema = StructType.fromJson(now["schema"])
+    chosen = now["parts"] if values is None else {v: now["parts"].get(v, []) for v in values}
+    folders = [f"{base}/{d}" for dirs in chosen.values() for d in dirs]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def schema_of(spark: SparkSession, base: str) -> StructType | None:
+    now = manifest(spark, base)
+    return StructType.fromJson(now["schema"]) if now else None
+
+
+# ---- writing -----------------------------------------------------------------
+
+def _written(df: DataFrame, base: str, grain: str, ts: str) -> dict[str, list[str]]:
+    """Write ``df`` below a fresh commit folder; its folders by partition value."""
+    spark = df.sparkSession
+    name = f"commit-{uuid.uuid4().hex}"
+    if grain == ALL:
+        df.write.parquet(f"{base}/{name}")
+        return {ALL: [name]}
+    # rows of a partition come together, hot ones are split by size
+    placed = df.withColumn(DIR, partition_value(df, grain, ts)).hint("rebalance", DIR)
+    placed.write.partitionBy(DIR).parquet(f"{base}/{name}")
+    fs, folder = _fs(spark, f"{base}/{name}")
+    dirs = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return {d.split("=", 1)[1]: [f"{name}/{d}"] for d in dirs if d.startswith(f"{DIR}=")}
+
+
+def _checked(now: dict | None, base: str, grain: str, schema: StructType, evolve: bool) -> StructType:
+    """The table's schema after the write; raises when layout or types clash."""
+    if now is None:
+        return schema
+    if now["grain"] != grain:
+        raise ValueError(f"{base} is kept by {now['grain']}, not by {grain}")
+    kept = StructType.fromJson(now["schema"])
+    types = {f.name: f.dataType for f in kept}
+    clash = [f.name for f in schema if f.name in types and types[f.name] != f.dataType]
+    new = [f for f in schema if f.name not in types]
+    if clash or (new and not evolve):
+        raise ValueError(f"{base}: columns {clash or [f.name for f in new]} do not fit its schema")
+    return StructType(kept.fields + new)
+
+
+def commit(df: DataFrame, base: str, grain: str = ALL, ts: str = "date_heure", mode: str = "append",
+           schema: StructType | None = None, evolve: bool = False, applied: dict | None = None) -> None:
+    """Write ``df`` and switch the manifest.
+
+    mode ``append`` adds to the partitions met, ``replace`` replaces those met,
+    ``overwrite`` replaces the whole table. ``schema``: schema of the table
+    after an overwrite or replace that also changes it (every file must be
+    readable by it); ``evolve`` lets an append add columns. ``applied`` is kept
+    in the manifest: which run of which job came last.
+    """
+    spark = df.sparkSession
+    now = manifest(spark, base)
+    if schema is None:
+        schema = df.schema if mode == "overwrite" else _checked(now, base, grain, df.schema, evolve)
+    elif now is not None and now["grain"] != grain:
+        raise ValueError(f"{base} is kept by {now['grain']}, not by {grain}")
+    nullable = StructType.fromJson(schema.jsonValue())
+    for field in nullable:
+        field.nullable = True
+    new = _written(df, base, grain, ts)
+    parts = {} if mode == "overwrite" or now is None else dict(now["parts"])
+    for value, dirs in new.items():
+        parts[value] = parts.get(value, []) + dirs if mode == "append" else dirs
+    done = {**(now or {}).get("applied", {}), **(applied or {})}
+    _switch(spark, base, {"grain": grain, "schema": nullable.jsonValue(), "parts": parts, "applied": done})
+
+
+def prune(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete manifests but the newest ``keep`` and the commit folders that only
+    older ones name. Readers that began on an older one should have ended.
+    Returns the folders deleted."""
+    numbers = _numbers(spark, base)
+    old, live = numbers[:-keep] if keep else [], numbers[-keep:] if keep else numbers
+    if not old:
+        return []
+    used = {d.split("/")[0] for n in live for dirs in manifest(spark, base, n)["parts"].values() for d in dirs}
+    past = {d.split("/")[0] for n in old for dirs in manifest(spark, base, n)["parts"].values() for d in dirs}
+    fs, _ = _fs(spark, base)
+    for n in old:
+        fs.delete(_path(spark, base, MANIFESTS, f"{n:012d}.json"), False)
+    gone = sorted(past - used)
+    for name in gone:
+        fs.delete(_path(spark, base, name), True)
+    return gone

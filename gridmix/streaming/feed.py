@@ -4,23 +4,25 @@ The hourly "fetch the latest 100 records and MERGE" job becomes a file
 stream over landed API responses (``{"results": [...]}``), processed with
 ``trigger(availableNow=True)`` on the same cadence. The checkpoint records
 which files were processed, replacing the overlapping re-read; each
-micro-batch is merged into the raw table by key, so a retried batch changes
-nothing (idempotent sink).
+micro-batch is merged into the raw table by key, and the table's manifest says
+which micro-batch came last, so a retried batch changes nothing.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType
+from pyspark.sql.types import StructType
 
 from gridmix.functions.cleaning import instant
 from gridmix.operators.upsert import NATIONAL_FEED, REGIONAL_FEED, MergeSpec
 from gridmix.sources.schemas import (NATIONAL_RT_MEASURES, REGIONAL_RT_MEASURES, feed_envelope,
                                      national_realtime_table, regional_realtime_table)
+from gridmix.sources import stored
 from gridmix.sources.sinks import merge_into
 from gridmix.streaming.windows import STEP, half_hour_stats
 
@@ -29,40 +31,56 @@ WATERMARK = "2 hours"
 # Real-time tables are partitioned by day: an hourly merge rewrites only the
 # one or two days its batch touches.
 FEED_GRAIN = "day"
-# Records per response are far below this; keeps (file time, position) unique.
-ARRIVAL_SLOTS = 100_000
-
-
-def feed_records(spark: SparkSession, landing_dir: str, regional: bool = False) -> DataFrame:
+# Files of one micro-batch: a long backlog is merged in several.
+MAX_FILES = 1000
+# Manifests kept of a feed table: readers of the last day's runs still find their files.
+KEEP_MANIFESTS = 24
+# Which of two deliveries of a key came last: the later file, then the later
+# name among files of one time, then the later position in the response. A
+# replayed micro-batch orders them alike.
+ARRIVAL = ("_file_time", "_file", "_position")
+
+
+def feed_records(spark: SparkSession, landing_dir: str, regional: bool = False,
+                 max_files: int = MAX_FILES) -> DataFrame:
     """Streaming DataFrame of feed records; the ISO time with offset is kept
     as an instant, so the two readings of a repeated autumn hour stay
     distinct keys (staging turns instants into Paris wall clock)."""
     measures = REGIONAL_RT_MEASURES if regional else NATIONAL_RT_MEASURES
     env = (spark.readStream.schema(feed_envelope(measures, regional))
-           .option("multiLine", True).json(landing_dir))
-    # arrival order: file modification time, then position in the response;
-    # deterministic when a micro-batch is replayed after a failure
-    recs = env.select(F.posexplode("results").alias("pos", "r"),
-                      F.col("_metadata.file_modification_time").alias("mtime"))
-    arrival = F.unix_millis("mtime") * F.lit(ARRIVAL_SLOTS) + F.col("pos")
-    return recs.select("r.*", arrival.alias("_row_key")) \
-        .withColumn("date_heure", instant("date_heure"))
+           .option("multiLine", True).option("maxFilesPerTrigger", max_files).json(landing_dir))
+    recs = env.select(F.posexplode("results").alias("_position", "r"),
+                      F.col("_metadata.file_modification_time").alias("_file_time"),
+                      F.col("_metadata.file_path").alias("_file"))
+    return recs.select("r.*", *ARRIVAL).withColumn("date_heure", instant("date_heure"))
+
+
+def feed_schema(regional: bool) -> StructType:
+    """Schema of a raw real-time table; times are instants."""
+    return regional_realtime_table(True) if regional else national_realtime_table(True)
 
 
-def merge_batch(spark: SparkSession, table_path: str, spec: MergeSpec, regional: bool):
-    """``foreachBatch`` body: skip empty batches, stamp, merge by key."""
-    schema = regional_realtime_table(True) if regional else national_realtime_table(True)
-    schema = schema.add("_row_key", LongType())
+def merge_batch(spark: SparkSession, table_path: str, spec: MergeSpec, regional: bool,
+                job: str):
+    """``foreachBatch`` body: skip empty batches and those already merged, stamp,
+    merge by key. ``job`` names the stream in the table's manifest."""
+    schema = feed_schema(regional)
+    spec = replace(spec, arrival=ARRIVAL)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
+        now = stored.manifest(spark, table_path)
+        if now and now["applied"].get(job, -1) >= epoch_id:
+            return      # merged before the failure that replays it
         # the micro-batch is read several times (empty check, touched
-        # partitions, size check, merge): keep it for the merge, then release
+        # partitions, merge): keep it for the merge, then release
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
             loaded_at = datetime.now(timezone.utc).replace(tzinfo=None)
-            merge_into(spark, table_path, batch, spec, loaded_at, schema, grain=FEED_GRAIN)
+            merge_into(spark, table_path, batch, spec, loaded_at, schema, grain=FEED_GRAIN,
+                       applied={job: epoch_id})
+            stored.prune(spark, table_path, KEEP_MANIFESTS)
         finally:
             batch.unpersist()
     return run
@@ -74,7 +92,7 @@ def ingest_feed(spark: SparkSession, landing_dir: str, table_path: str, checkpoi
     landed files are processed (the hourly run)."""
     spec = REGIONAL_FEED if regional else NATIONAL_FEED
     w = (feed_records(spark, landing_dir, regional).writeStream
-         .foreachBatch(merge_batch(spark, table_path, spec, regional))
+         .foreachBatch(merge_batch(spark, table_path, spec, regional, checkpoint))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
@@ -94,8 +112,6 @@ def half_hour_stream(stream: DataFrame, ts: str, value: str) -> DataFrame:
         .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
-
-
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A file stream over one table file. File stream sources list a folder
     or a glob, so the single file is addressed by a one-file glob."""
@@ -105,14 +121,23 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path[:-1] + "[" + path[-1] + "]")
 
 
+def source_state(spark: SparkSession, path: str) -> str:
+    """Path, sizes and times of a source's files: another text once it is replaced."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in fs.listStatus(hpath))
+    return "\n".join([path, *files])
+
+
 def run_available_now(result: DataFrame, name: str, source_key: str) -> DataFrame:
     """Run a streaming result to completion (``availableNow``) into a Parquet
     folder under the shared checkpoint directory, with its checkpoint next to
     it, and return the written rows as a batch DataFrame.
 
-    The folder is fixed per (``name``, ``source_key``): a repeated run finds
-    its files already processed and only appends what is new, so calls do not
-    pile up folders and a restarted run resumes from its checkpoint.
+    The folder is fixed per (``name``, ``source_key``) and application: a
+    repeated call finds its files already processed, so calls do not pile up
+    folders. A source whose key has changed (see :func:`source_state`) is read
+    anew.
     """
     import hashlib
     import os
@@ -129,4 +154,4 @@ def run_available_now(result: DataFrame, name: str, source_key: str) -> DataFram
 
 
 __all__ = ["feed_records", "ingest_feed", "merge_batch", "half_hour_stream", "table_stream",
-           "run_available_now", "STEP", "WATERMARK"]
+           "run_available_now", "source_state", "STEP", "WATERMARK"]

@@ -44,6 +44,23 @@ def test_min_rows_gate(spark):
         quality.assert_min_rows(df, 11)
 
 
+def test_min_rows_gate_returns_the_count(spark):
+    assert quality.assert_min_rows(spark.range(25), 10) == 25
+
+
+def test_checks_of_one_model_do_not_multiply_its_rows(spark):
+    df = spark.createDataFrame([("Vert", "a", 1), (None, "b", None), ("Bleu", "x", 2), ("Bleu", "y", 3)],
+                               "c string, d string, n int")
+    checks = [Check("m", "c", "accepted_values", values=("Vert",)), Check("m", "n", "not_null"),
+              Check("m", "d", "accepted_values", values=("a", "b")), Check("m", "c", "not_null")]
+    found = quality.check_model(df, checks)
+    assert report(found) == {("c", "accepted_values"): (1, "fail"), ("n", "not_null"): (1, "fail"),
+                             ("d", "accepted_values"): (2, "fail"), ("c", "not_null"): (1, "fail")}
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    nothing = report(quality.check_model(df.limit(0), checks))
+    assert set(nothing.values()) == {(0, "pass")} and len(nothing) == 4
+
+
 def test_declared_checks_count():
     assert len(quality.MODEL_CHECKS) == 37
     by_layer = {}

@@ -4,11 +4,13 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql import types as T
 
 from gridmix.operators.upsert import NATIONAL_FEED
-from gridmix.sources import readers, sinks
+from gridmix.plans import build
+from gridmix.sources import readers, sinks, stored
 from gridmix.sources.schemas import NATIONAL_RT_MEASURES, feed_envelope, national_realtime_table
 
 D = dt.datetime
@@ -53,28 +55,50 @@ def test_latest_n_top_k(spark):
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_append_and_idempotent_overwrite(spark, tmp_path):
+def test_append_and_replace(spark, tmp_path):
     p = str(tmp_path / "raw")
     b = spark.createDataFrame([("2019-05-01T00:00:00+01:00", "1"), ("2020-05-01T00:00:00+01:00", "2"),
                                ("bad", "3")], "date_heure string, consommation string")
     sinks.append(b, p)
     sinks.append(b, p)
-    assert spark.read.parquet(p).count() == 6              # re-run duplicates
+    assert stored.read(spark, p).count() == 6              # re-run duplicates
     sinks.overwrite_partitions(b.filter(F.col("consommation") == "1"), p)
-    years = {r["year"]: r["n"] for r in spark.read.parquet(p).groupBy("year")
-             .agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert years == {2019: 1, 2020: 2, None: 2}             # only 2019 replaced
+    got = sorted(r["consommation"] for r in stored.read(spark, p).collect())
+    assert got == ["1", "2", "2", "3", "3"]                # only 2019 replaced
+    assert [r["consommation"] for r in stored.read(spark, p, ["2019"]).collect()] == ["1"]
+    sinks.append(b.withColumn("extra", F.lit("e")), p)     # a new column is added
+    assert stored.read(spark, p).filter("extra IS NULL").count() == 5
 
 
-def test_full_refresh_versions_and_repoints(spark, tmp_path):
+def test_one_layout_per_table(spark, tmp_path):
+    p = str(tmp_path / "raw")
+    b = spark.createDataFrame([(D(2019, 5, 1), 1)], "date_heure timestamp_ntz, v int")
+    sinks.append(b, p)
+    with pytest.raises(ValueError):
+        sinks.append(b, p, grain="day")
+    with pytest.raises(ValueError):
+        sinks.append(b.withColumn("v", F.col("v").cast("string")), p)
+    with pytest.raises(ValueError):
+        sinks.ensure_table(spark, p, b.schema, "day")
+    assert stored.read(spark, p).count() == 1
+
+
+def test_full_refresh_switches_in_one_step(spark, tmp_path, monkeypatch):
     base = str(tmp_path / "mart")
     sinks.full_refresh(spark.range(3), base)
-    first = sinks.current_version(spark, base)
     # refresh from the table itself: reading and writing different folders
     sinks.full_refresh(sinks.read_table(spark, base).filter("id > 0"), base)
-    assert sinks.current_version(spark, base) != first
     assert sinks.read_table(spark, base).count() == 2
-    assert spark.read.parquet(first).count() == 3
+
+    def fail(*_):
+        raise IOError("lost before the switch")
+    with monkeypatch.context() as m:
+        m.setattr(stored, "_switch", fail)
+        with pytest.raises(IOError):
+            sinks.full_refresh(spark.range(9), base)
+    assert sinks.read_table(spark, base).count() == 2
+    sinks.full_refresh(spark.range(9).withColumn("x", F.lit(1)), base)
+    assert sinks.read_table(spark, base).columns == ["id", "x"]
 
 
 def test_layer_name_rule():
@@ -86,63 +110,98 @@ def test_ensure_table_and_database(spark, tmp_path):
     p = str(tmp_path / "rt")
     sinks.ensure_table(spark, p, national_realtime_table())
     sinks.ensure_table(spark, p, national_realtime_table())
-    df = sinks.read_declared(spark, p, national_realtime_table())
+    df = stored.read(spark, p)
     assert df.count() == 0 and "taux_co2" in df.columns
     sinks.ensure_database(spark, "gridmix_test_db")
     assert any(d.name == "gridmix_test_db" for d in spark.catalog.listDatabases())
 
 
-def test_merge_into_rewrites_only_batch_years(spark, tmp_path):
-    p = str(tmp_path / "nat_rt")
-    schema = national_realtime_table().add("_row_key", LongType())
-    measures = {m: None for m in NATIONAL_RT_MEASURES}
-
-    def rec(ts, cons, co2, k):
-        m = dict(measures, consommation=cons, taux_co2=co2)
-        return (ts,) + tuple(m[x] for x in NATIONAL_RT_MEASURES) + (None, None, k)
-    first = spark.createDataFrame([rec(D(2021, 1, 1), 1.0, 1.0, 1), rec(D(2022, 1, 1), 2.0, 2.0, 2)], schema)
-    sinks.merge_into(spark, p, first.drop("_loaded_at", "_source"), NATIONAL_FEED, D(2026, 1, 1), schema)
-    second = spark.createDataFrame([rec(D(2022, 1, 1), 5.0, 2.0, 3), rec(D(2022, 1, 2), 6.0, 2.0, 4)], schema)
-    sinks.merge_into(spark, p, second.drop("_loaded_at", "_source"), NATIONAL_FEED, D(2026, 2, 1), schema)
-    got = {r["date_heure"]: (r["consommation"], r["_loaded_at"]) for r in spark.read.parquet(p).collect()}
-    assert got == {D(2021, 1, 1): (1.0, D(2026, 1, 1)), D(2022, 1, 1): (5.0, D(2026, 2, 1)),
-                   D(2022, 1, 2): (6.0, D(2026, 2, 1))}
-    # the 2021 partition file was not rewritten
-    files_2021 = os.listdir(os.path.join(p, "year=2021"))
-    assert any(f.endswith(".parquet") for f in files_2021)
-
-
-def test_merge_into_day_grain_touches_only_batch_days(spark, tmp_path):
-    p = str(tmp_path / "nat_rt_day")
-    schema = national_realtime_table().add("_row_key", LongType())
+def _batch(spark, rows):
     measures = {m: None for m in NATIONAL_RT_MEASURES}
-
-    def rec(ts, cons, k):
-        m = dict(measures, consommation=cons, taux_co2=1.0)
-        return (ts,) + tuple(m[x] for x in NATIONAL_RT_MEASURES) + (None, None, k)
-    days = [D(2026, 1, d, 12) for d in range(1, 6)]
-    first = spark.createDataFrame([rec(t, 1.0, i) for i, t in enumerate(days)], schema)
-    sinks.merge_into(spark, p, first.drop("_loaded_at", "_source"), NATIONAL_FEED,
-                     D(2026, 1, 6), schema, grain="day")
-    before = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("day=")}
-    second = spark.createDataFrame([rec(days[-1], 2.0, 10), rec(D(2026, 1, 6, 0), 3.0, 11)], schema)
-    sinks.merge_into(spark, p, second.drop("_loaded_at", "_source"), NATIONAL_FEED,
-                     D(2026, 1, 7), schema, grain="day")
-    after = {d: sorted(os.listdir(os.path.join(p, d))) for d in os.listdir(p) if d.startswith("day=")}
-    assert len(after) == 6
-    untouched = [d for d in before if d not in ("day=2026-01-05",)]
-    assert all(before[d] == after[d] for d in untouched)       # files not rewritten
-    assert after["day=2026-01-05"] != before["day=2026-01-05"]
-    got = {r["date_heure"]: r["consommation"] for r in spark.read.parquet(p).collect()}
-    assert got[days[-1]] == 2.0 and got[D(2026, 1, 6, 0)] == 3.0 and len(got) == 6
-
-
-def test_prune_versions_keeps_newest_and_current(spark, tmp_path):
+    recs = [(ts, *(dict(measures, consommation=cons, taux_co2=2.0)[m] for m in NATIONAL_RT_MEASURES), k)
+            for k, (ts, cons) in enumerate(rows)]
+    schema = T.StructType([f for f in national_realtime_table() if not f.name.startswith("_")])
+    return spark.createDataFrame(recs, schema.add("_row_key", "long"))
+
+
+def test_merge_rewrites_only_the_partitions_of_the_batch(spark, tmp_path):
+    schema = national_realtime_table()
+    for grain in ("year", "day"):
+        p = str(tmp_path / grain)
+        days = [D(2021 + d, 1, 1 + d, 12) for d in range(5)]
+        sinks.merge_into(spark, p, _batch(spark, [(t, 1.0) for t in days]), NATIONAL_FEED, D(2026, 1, 6), schema,
+                         grain=grain)
+        before = stored.manifest(spark, p)["parts"]
+        sinks.merge_into(spark, p, _batch(spark, [(days[-1], 2.0), (D(2030, 1, 6), 3.0)]), NATIONAL_FEED,
+                         D(2026, 2, 1), schema, grain=grain)
+        after = stored.manifest(spark, p)["parts"]
+        assert len(before) == 5 and len(after) == 6
+        assert [v for v in before if before[v] != after[v]] == [max(before)]
+        got = {r["date_heure"]: (r["consommation"], r["_loaded_at"]) for r in stored.read(spark, p).collect()}
+        assert got == {**{t: (1.0, D(2026, 1, 6)) for t in days[:-1]}, days[-1]: (2.0, D(2026, 2, 1)),
+                       D(2030, 1, 6): (3.0, D(2026, 2, 1))}
+
+
+def test_prune_keeps_the_newest_manifests_and_what_they_name(spark, tmp_path):
     base = str(tmp_path / "mart_v")
     for i in range(4):
         sinks.full_refresh(spark.range(i + 1), base)
-    before = sorted(d for d in os.listdir(base) if d.startswith("v-"))
-    deleted = sinks.prune_versions(spark, base, keep=2)
-    after = sorted(d for d in os.listdir(base) if d.startswith("v-"))
-    assert len(before) == 4 and len(deleted) == 2 and after == before[-2:]
+    assert len(sinks.prune_versions(spark, base, keep=2)) == 2
+    assert len([d for d in os.listdir(base) if d.startswith("commit-")]) == 2
     assert sinks.read_table(spark, base).count() == 4
+    assert sinks.prune_versions(spark, base, keep=2) == []
+
+
+def test_pruned_year_of_a_stored_table(spark, tmp_path):
+    p = str(tmp_path / "wh" / "raw" / "national_history")
+    rows = [(f"{y}-06-01T00:00:00+01:00", "1") for y in range(2015, 2025)]
+    rows += [("2019-12-31T23:30:00-05:00", "2"), ("2021-01-01T00:00:00+02:00", "3")]
+    sinks.append(spark.createDataFrame(rows, "date_heure string, consommation string"), p)
+    got = build.raw_year(spark, str(tmp_path / "wh"), 2020)
+    assert sorted(r["consommation"] for r in got.collect()) == ["1", "2", "3"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_part=2020" in plan or "(3 paths)" in plan
+    assert "_part=2015" not in plan
+
+
+# ---- exports by header --------------------------------------------------------
+
+NEEDED = ["date_heure", "consommation", "taux_co2"]
+
+
+def _export(folder, name, lines, encoding="utf-8"):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + ("\n" if lines else ""), encoding=encoding)
+
+
+def test_exports_go_by_header_names(spark, tmp_path):
+    d = tmp_path / "e"
+    _export(d, "2019.csv", ["perimetre;Nature;Date-Heure;consommation;taux_co2",
+                            "France;def;2019-01-01T00:00:00+01:00;100;NA", "France;def;2019-02-01T00:00:00+01:00;;nan"])
+    _export(d, "2020.csv", ["taux_co2;consommation;Prévision (J);date_heure", "5;200;7;2020-01-01T00:00:00+01:00"],
+            "utf-8-sig")
+    _export(d, "2021.csv", ["date_heure;consommation;taux_co2"])
+    _export(d, "2022.csv", [])
+    df = readers.read_export(spark, str(d), NEEDED)
+    assert set(df.columns) == {"perimetre", "nature", "date_heure", "consommation", "taux_co2", "prevision_j"}
+    assert set(dict(df.dtypes).values()) == {"string"}
+    got = sorted((r["date_heure"][:7], r["consommation"], r["taux_co2"], r["nature"], r["prevision_j"])
+                 for r in df.collect())
+    assert got == [("2019-01", "100", None, "def", None), ("2019-02", None, None, "def", None),
+                   ("2020-01", "200", "5", None, "7")]
+
+
+def test_export_without_a_needed_column_or_with_one_twice(spark, tmp_path):
+    _export(tmp_path / "a", "x.csv", ["date_heure;taux_co2", "1;2"])
+    with pytest.raises(ValueError, match="consommation"):
+        readers.read_export(spark, str(tmp_path / "a"), NEEDED).collect()
+    _export(tmp_path / "b", "x.csv", ["date_heure;date-heure;consommation;taux_co2", "1;2;3;4"])
+    with pytest.raises(ValueError, match="two columns"):
+        readers.read_export(spark, str(tmp_path / "b"), NEEDED).collect()
+
+
+def test_exports_without_rows(spark, tmp_path):
+    _export(tmp_path / "h", "x.csv", [";".join(NEEDED)])
+    assert readers.read_export(spark, str(tmp_path / "h"), NEEDED).count() == 0
+    _export(tmp_path / "z", "x.csv", [])
+    assert readers.read_export(spark, str(tmp_path / "z"), NEEDED).columns == NEEDED

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-import pytest
-
 from gridmix.operators.upsert import NATIONAL_FEED, REGIONAL_FEED, upsert
 
 D = dt.datetime
@@ -14,15 +12,14 @@ NAT_BATCH = ("date_heure timestamp_ntz, consommation double, taux_co2 double, nu
              "hydraulique double, _row_key long")
 
 
-def run(spark, target, batch, strategy, spec=NATIONAL_FEED, tschema=NAT, bschema=NAT_BATCH):
+def run(spark, target, batch, spec=NATIONAL_FEED, tschema=NAT, bschema=NAT_BATCH):
     t = spark.createDataFrame(target, tschema)
     b = spark.createDataFrame(batch, bschema)
-    return sorted((tuple(r) for r in upsert(t, b, spec, T1, strategy=strategy).collect()),
+    return sorted((tuple(r) for r in upsert(t, b, spec, T1).collect()),
                   key=lambda r: (str(r[0]), str(r[1]), str(r[-1])))
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_null_blind_change_and_partial_update(spark, strategy):
+def test_null_blind_change_and_partial_update(spark):
     h = D(2024, 1, 1)
     target = [
         (h, 10.0, 5.0, 1.0, 1.0, T0, "tr", 1),                           # co2 changes -> update
@@ -38,7 +35,7 @@ def test_null_blind_change_and_partial_update(spark, strategy):
         (h.replace(hour=3), 10.0, 5.0, 1.0, 9.0, 14),
         (h.replace(hour=5), 7.0, 3.0, 2.0, 2.0, 15),                     # new -> insert
     ]
-    got = run(spark, target, batch, strategy)
+    got = run(spark, target, batch)
     assert got == [
         (h, 10.0, 6.0, 9.0, 1.0, T1, "tr", 1),          # listed cols + stamp, hydraulique kept
         (h.replace(hour=1), 10.0, 5.0, 1.0, 1.0, T0, "tr", 2),
@@ -49,15 +46,13 @@ def test_null_blind_change_and_partial_update(spark, strategy):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_duplicate_key_in_batch_last_arrival(spark, strategy):
+def test_duplicate_key_in_batch_last_arrival(spark):
     h = D(2024, 1, 1)
-    got = run(spark, [], [(h, 1.0, 1.0, 1.0, 1.0, 1), (h, 2.0, 2.0, 2.0, 2.0, 2)], strategy)
+    got = run(spark, [], [(h, 1.0, 1.0, 1.0, 1.0, 1), (h, 2.0, 2.0, 2.0, 2.0, 2)])
     assert got == [(h, 2.0, 2.0, 2.0, 2.0, T1, "eco2mix-national-tr", 2)]
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
-def test_null_region_key_inserted_every_run(spark, strategy):
+def test_null_region_key_inserted_every_run(spark):
     schema = ("code_insee_region string, date_heure timestamp_ntz, consommation double, "
               "thermique double, _loaded_at timestamp_ntz, _source string, _row_key long")
     bschema = "code_insee_region string, date_heure timestamp_ntz, consommation double, " \
@@ -65,7 +60,7 @@ def test_null_region_key_inserted_every_run(spark, strategy):
     h = D(2024, 1, 1)
     target = [(None, h, 1.0, 1.0, T0, "eco2mix-regional-tr", 1), ("11", h, 1.0, 1.0, T0, "x", 2)]
     batch = [(None, h, 1.0, 1.0, 3), (None, h, 1.0, 1.0, 4), ("11", h, 2.0, 5.0, 5)]
-    got = run(spark, target, batch, strategy, REGIONAL_FEED, schema, bschema)
+    got = run(spark, target, batch, REGIONAL_FEED, schema, bschema)
     assert len(got) == 4
     assert ("11", h, 2.0, 5.0, T1, "x", 2) in got
     assert sum(1 for r in got if r[0] is None) == 3
@@ -76,21 +71,14 @@ def test_rerun_is_idempotent(spark):
     t = spark.createDataFrame([(h, 10.0, 5.0, 1.0, 1.0, T0, "tr", 1)], NAT)
     b = spark.createDataFrame([(h, 11.0, 5.0, 2.0, 2.0, 9), (h.replace(hour=1), 1.0, 1.0, 1.0,
                                                              1.0, 10)], NAT_BATCH)
-    once = upsert(t, b, NATIONAL_FEED, T1, strategy="shuffle")
-    twice = upsert(once, b, NATIONAL_FEED, D(2026, 4, 1), strategy="shuffle")
+    once = upsert(t, b, NATIONAL_FEED, T1)
+    twice = upsert(once, b, NATIONAL_FEED, D(2026, 4, 1))
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
 
 
-def test_auto_strategy_matches(spark):
-    h = D(2024, 1, 1)
-    t = [(h.replace(hour=i), float(i), 1.0, 1.0, 1.0, T0, "tr", i) for i in range(10)]
-    b = [(h.replace(hour=i), float(i) + (i % 2), 1.0, 3.0, 3.0, 100 + i) for i in range(5, 15)]
-    assert run(spark, t, b, "auto") == run(spark, t, b, "shuffle")
-
-
 def test_hot_target_key_split_by_aqe(spark):
-    """One key holds a third of the target: the shuffle strategy (left join,
-    splittable by AQE) gives the same rows as the broadcast strategy."""
+    """One key holds a third of the target: the join is split by AQE, and gives
+    the rows of a broadcast join (chosen by AQE with the usual threshold)."""
     from pyspark.sql import functions as F
     hot = D(2024, 1, 1)
     n = 30000
@@ -110,14 +98,13 @@ def test_hot_target_key_split_by_aqe(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        shuffled = upsert(target, batch, NATIONAL_FEED, T1, strategy="shuffle")
+        shuffled = upsert(target, batch, NATIONAL_FEED, T1)
         got = sorted(map(tuple, shuffled.collect()), key=str)
         plan = shuffled._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    want = sorted(map(tuple, upsert(target, batch, NATIONAL_FEED, T1,
-                                    strategy="broadcast").collect()), key=str)
+    want = sorted(map(tuple, upsert(target, batch, NATIONAL_FEED, T1).collect()), key=str)
     assert got == want and len(got) == n + 1
     assert sum(1 for r in got if r[0] == hot and r[1] == 99.0) == n // 3
     assert "SortMergeJoin(skew=true)" in plan      # the hot partition was split

@@ -1,4 +1,4 @@
-"""Property test: both upsert strategies equal a brute-force MERGE model."""
+"""Property test: the upsert equals a brute-force MERGE model."""
 
 import datetime as dt
 
@@ -58,7 +58,5 @@ def test_upsert_matches_brute_force(spark, target_rows, batch_rows):
     want = brute_force(target, batch)
     t = spark.createDataFrame(target, TSCHEMA)
     b = spark.createDataFrame(batch, BSCHEMA)
-    for strategy in ("broadcast", "shuffle"):
-        got = sorted((tuple(r) for r in upsert(t, b, NATIONAL_FEED, T1, strategy=strategy).collect()),
-                     key=repr)
-        assert got == want, strategy
+    got = sorted((tuple(r) for r in upsert(t, b, NATIONAL_FEED, T1).collect()), key=repr)
+    assert got == want
