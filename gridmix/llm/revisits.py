@@ -18,8 +18,9 @@ response's, but for names that describe the stored payload or the connection.
 
 Edge cases: records at the very time of the revisit are not earlier; of several
 responses at one time the largest record id counts; a null URL or time matches
-nothing; null headers are empty; repeated rows are resolved each; other columns
-are ignored.
+nothing; null headers are empty; a record id names one record: revisit rows that
+repeat one are resolved each, rows of a null id are left out; other columns are
+ignored.
 
 DataFrame functions only.
 """
@@ -81,7 +82,7 @@ def resolve(records: DataFrame, span: int = SPAN) -> DataFrame:
     no_headers = F.create_map().cast("map<string,string>")
     keyed = records.select(
         "record_id", canonical_url(F.col("url")).alias("canonical_url"), "ts", "kind",
-        F.coalesce("headers", no_headers).alias("headers"), "payload")
+        F.coalesce("headers", no_headers).alias("headers"), "payload").where("record_id is not null")
     light = keyed.select("record_id", "canonical_url", "ts", "kind",
                          _strong(_header("etag")).alias("etag"), _header("last-modified").alias("modified"),
                          F.floor(F.col("ts") / span).alias("span"))
@@ -107,9 +108,9 @@ def resolve(records: DataFrame, span: int = SPAN) -> DataFrame:
     judged = (hits.select(*columns, status.alias("status"), F.col("hit.record_id").alias("source_id"))
               .unionByName(lost.select(*columns, F.lit(NOT_FOUND).alias("status"),
                                        F.lit(None).cast("long").alias("source_id"))))
-    fresh = keyed.where("kind = 'revisit'").select("record_id", F.col("headers").alias("fresh"))
+    fresh = keyed.where("kind = 'revisit'").select("record_id", F.col("headers").alias("fresh")).dropDuplicates(["record_id"])
     stored = keyed.where("kind = 'response'").select(
-        F.col("record_id").alias("stored_id"), F.col("headers").alias("stored"), F.col("payload").alias("body"))
+        F.col("record_id").alias("stored_id"), F.col("headers").alias("stored"), F.col("payload").alias("body")).dropDuplicates(["stored_id"])
     wanted = F.when(F.col("status") == RESOLVED, F.col("source_id"))
     return (judged.join(fresh, "record_id").withColumn("wanted", wanted)
             .join(stored, F.col("wanted") == F.col("stored_id"), "left")
@@ -181,7 +182,8 @@ def _sql_url() -> str:
 
 SQL = f"""
 WITH base AS (
-  SELECT page_id, html, {_sql_url()} AS u, md5(coalesce(html, '')) AS h FROM pages),
+  SELECT page_id, html, {_sql_url()} AS u, md5(coalesce(html, '')) AS h FROM pages
+  WHERE page_id IS NOT NULL),
 numbered AS (
   SELECT *, ('0x' || substr(h, 1, 2))::BIGINT AS delay, ('0x' || substr(h, 3, 1))::BIGINT AS choice,
          page_id * 60 AS t0, '"' || h || '"' AS tag
