@@ -1,11 +1,16 @@
 """Warehouse refresh end to end on sf0.001."""
 
+import datetime as dt
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from gridmix.plans import build, models
-from gridmix.sources import sinks
+from gridmix.operators.quality import CheckFailed
+from gridmix.plans import build, enrich, marts, models, staging
+from gridmix.sources import adapter, sinks, stored
+from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT
 
 
 def _rows(df, cols=None):
@@ -13,44 +18,64 @@ def _rows(df, cols=None):
     return sorted(map(tuple, df.select(*cols).collect()), key=str)
 
 
-def test_refresh_matches_queries_and_is_incremental(spark, tmp_path, sf_small):
+def _expected_int_national(spark, src):
+    """The enriched model over what land_raw lands: real-time readings as instants."""
+    realtime = build.feed_form(adapter.national_realtime(spark, src), regional=False)
+    return enrich.int_national(staging.stg_national(models.raw_national_history(spark, src), realtime))
+
+
+def test_refresh_matches_models_and_is_incremental(spark, tmp_path, sf_small):
     wh = str(tmp_path / "wh")
     # the test tables are far below the production backfill minimums
     report = build.refresh(spark, sf_small, wh, min_rows=(1, 1))
     statuses = {r["status"] for r in report.collect()}
     assert report.count() == 37 and statuses <= {"pass", "warn"}
+    expected = _expected_int_national(spark, sf_small)
     gold_green = sinks.read_table(spark, os.path.join(wh, "gold", "green_hours"))
-    assert _rows(gold_green) == _rows(models.green_hours(spark, sf_small))
-    gold_nat = spark.read.parquet(os.path.join(wh, "gold", "mart_national"))
-    q = models.mart_national(spark, sf_small)
-    assert _rows(gold_nat, sorted(q.columns)) == _rows(q)
+    assert _rows(gold_green) == _rows(marts.green_hours(marts.mart_patterns(expected)))
+    gold = os.path.join(wh, "gold", "mart_national")
+    q = marts.mart_national(expected)
+    assert _rows(stored.read(spark, gold), sorted(q.columns)) == _rows(q)
     # a second run with nothing new appends nothing
     build.build_mart_national(spark, wh)
-    assert spark.read.parquet(os.path.join(wh, "gold", "mart_national")).count() == q.count()
+    assert stored.read(spark, gold).count() == q.count()
     # a lookback run rewrites the affected partitions with the same content
+    before = stored.manifest(spark, gold)["parts"]
     build.build_mart_national(spark, wh, lookback="3 DAYS")
-    again = spark.read.parquet(os.path.join(wh, "gold", "mart_national"))
-    assert _rows(again, sorted(q.columns)) == _rows(q)
+    after = stored.manifest(spark, gold)["parts"]
+    assert 0 < sum(before[m] != after[m] for m in after) <= 2
+    assert _rows(stored.read(spark, gold), sorted(q.columns)) == _rows(q)
+    # landing again derives the same raw tables
+    n = stored.read(spark, os.path.join(wh, "raw", "national_history")).count()
+    build.land_raw(spark, sf_small, wh)
+    assert stored.read(spark, os.path.join(wh, "raw", "national_history")).count() == n
 
 
-def test_backfill_partitions_by_year(spark, tmp_path, sf_small):
+def test_raw_tables_are_kept_by_year_and_day(spark, tmp_path, sf_small):
     wh = str(tmp_path / "wh2")
     build.land_raw(spark, sf_small, wh)
-    raw = spark.read.parquet(os.path.join(wh, "raw", "national_history"))
-    years = {r[0] for r in raw.select("year").distinct().collect()}
-    assert years <= {None} | set(range(2016, 2022)) and len(years) > 3
-    pruned = raw.filter(F.col("year") == 2019)
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan
-    # reloading the same slice is idempotent
-    before = raw.count()
+    years = stored.manifest(spark, os.path.join(wh, "raw", "national_history"))["parts"]
+    assert set(years) <= {"none"} | {str(y) for y in range(2016, 2022)} and len(years) > 3
+    days = stored.manifest(spark, os.path.join(wh, "raw", "national_realtime"))["parts"]
+    assert all(len(d) == 10 for d in days)
+
+
+def test_feed_run_after_landing(spark, tmp_path, sf_small):
+    """One layout for both writers of a raw real-time table."""
+    wh = str(tmp_path / "wh2b")
     build.land_raw(spark, sf_small, wh)
-    assert spark.read.parquet(os.path.join(wh, "raw", "national_history")).count() == before
+    before = build.stg_national(spark, wh).count()
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "r.json").write_text(json.dumps({"results": [
+        {"date_heure": "2031-01-05T10:00:00+01:00", "consommation": 5.0, "taux_co2": 2.0}]}))
+    build.ingest_realtime(spark, str(landing), wh).awaitTermination(120)
+    stg = build.stg_national(spark, wh)
+    assert stg.count() == before + 1
+    assert [r["consommation_mw"] for r in stg.filter("date_heure > '2030-01-01'").collect()] == [5.0]
 
 
 def test_load_gate_raises_below_minimum(spark, tmp_path, sf_small):
-    import pytest
-    from gridmix.operators.quality import CheckFailed
     wh = str(tmp_path / "wh3")
     build.land_raw(spark, sf_small, wh)
     rep = {r["table_name"]: r for r in build.verify_load(spark, wh, 1, 1).collect()}
@@ -59,63 +84,109 @@ def test_load_gate_raises_below_minimum(spark, tmp_path, sf_small):
         build.verify_load(spark, wh)          # production minimums: 400,000 / 1,000,000
 
 
-def test_incremental_mart_new_column_reads_back_null(spark, tmp_path, sf_small):
-    """A stored mart from an older model version (one column missing) gets
-    new rows with the column; older rows read back NULL (sync_all_columns)."""
-    from pyspark.sql import functions as F
+def test_stored_mart_follows_the_models_columns(spark, tmp_path, sf_small):
+    """A stored mart of an older model: a column that is new reads as NULL in its
+    rows, one that has vanished is gone, one of another type is converted."""
     wh = str(tmp_path / "wh4")
     build.land_raw(spark, sf_small, wh)
     build.build_silver(spark, wh)
     int_nat = sinks.read_table(spark, os.path.join(wh, "silver", "int_national"))
-    full = models.mart_national(spark, sf_small)
+    full = marts.mart_national(int_nat)
     cutoff = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
-    from gridmix.plans import marts
-    old = marts.mart_national(int_nat).filter(F.col("date_heure") <= cutoff).drop("part_fossiles")
-    old.write.partitionBy(*build.MART_PARTITION).parquet(os.path.join(wh, "gold", "mart_national"))
-    build.build_mart_national(spark, wh)
-    got = spark.read.option("mergeSchema", True).parquet(os.path.join(wh, "gold", "mart_national"))
-    assert got.count() == full.count()
-    nulls = got.filter(F.col("part_fossiles").isNull()).count()
-    assert 0 < nulls == old.count() < full.count()
-
-
-def test_backfill_from_exports_and_feed_run(spark, tmp_path):
-    import datetime as dt
-    import json
-    import pytest
-    from gridmix.operators.quality import CheckFailed
-    from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT
-    exports = tmp_path / "exports"
-    exports.mkdir()
-    header = ";".join(NATIONAL_HISTORY_TEXT)
-    for y in (2019, 2020):
-        lines = [header]
-        for h in range(3):
-            vals = {c: "" for c in NATIONAL_HISTORY_TEXT}
+    old = full.filter(F.col("date_heure") <= cutoff).drop("part_fossiles") \
+        .withColumn("co2_label", F.lit("x"))
+    path = os.path.join(wh, "gold", "mart_national")
+    for kind in ("double", "string"):
+        stored.commit(old.withColumn("taux_co2", F.col("taux_co2").cast(kind)), path, build.MART_GRAIN,
+                      mode="overwrite")
+        build.build_mart_national(spark, wh)
+        got = stored.read(spark, path)
+        assert sorted(got.columns) == sorted(full.columns)
+        assert dict(got.dtypes) == dict(full.dtypes)
+        assert got.count() == full.count()
+        assert got.filter(F.col("part_fossiles").isNull()).count() == old.count()
+        both = [c for c in full.columns if c != "part_fossiles"]
+        assert _rows(got, both) == _rows(full, both)
+
+
+def _exports(folder, years, hours=3, extra=""):
+    folder.mkdir(exist_ok=True)
+    names = list(NATIONAL_HISTORY_TEXT)
+    for y in years:
+        lines = [";".join(names) + (";nature" if extra else "")]
+        for h in range(hours):
+            vals = {c: "" for c in names}
             vals.update(date_heure=f"{y}-06-01T0{h}:00:00+02:00", consommation=str(100 + h),
-                        taux_co2="nan" if h == 2 else "25.5")
-            lines.append(";".join(vals[c] for c in NATIONAL_HISTORY_TEXT))
-        (exports / f"eco2mix_{y}.csv").write_text("\n".join(lines) + "\n")
-    wh = str(tmp_path / "wh5")
+                        gaz="NA", taux_co2="nan" if h == 2 else "25.5")
+            lines.append(";".join(vals[c] for c in names) + (f";{extra}" if extra else ""))
+        (folder / f"eco2mix_{y}.csv").write_text("\n".join(lines) + "\n")
+    return str(folder)
+
+
+def test_backfills_add_and_lose_nothing(spark, tmp_path):
+    wh = str(tmp_path / "wh6")
+    raw = os.path.join(wh, "raw", "national_history")
+    first = _exports(tmp_path / "a", [2019, 2020])
+    with open(os.path.join(first, "eco2mix_2020.csv"), "a") as f:
+        f.write("bad;1" + ";" * (len(NATIONAL_HISTORY_TEXT) - 2) + "\n")
     stamp = dt.datetime(2026, 1, 1)
-    rep = build.backfill_exports(spark, str(exports), wh, loaded_at=stamp, min_rows=6).first()
-    assert rep["n_rows"] == 6 and rep["gate_ok"]
-    # re-running the same years replaces them (no duplicates)
-    build.backfill_exports(spark, str(exports), wh, loaded_at=stamp, min_rows=6)
-    raw = spark.read.parquet(os.path.join(wh, "raw", "national_history"))
-    assert raw.count() == 6 and raw.filter("taux_co2 IS NULL").count() == 2
+    rep = build.backfill_exports(spark, first, wh, loaded_at=stamp, min_rows=7).first()
+    assert (rep["n_rows"], rep["rows_loaded"], rep["rows_without_time"], rep["gate_ok"]) == (7, 7, 1, True)
+    # a part of a year, a second year with a column more, nothing, a whole year again
+    build.backfill_exports(spark, _exports(tmp_path / "b", [2019], 1), wh, loaded_at=dt.datetime(2026, 1, 2), min_rows=1)
+    build.backfill_exports(spark, _exports(tmp_path / "c", [2021], extra="def"), wh, loaded_at=stamp, min_rows=1)
+    rep = build.backfill_exports(spark, _exports(tmp_path / "d", [2022], 0), wh, loaded_at=stamp).first()
+    assert rep["rows_loaded"] == 0 and rep["n_rows"] == 7 + 1 + 3
+    got = stored.read(spark, raw)
+    assert got.filter("date_heure = 'bad'").count() == 1 and got.filter("nature = 'def'").count() == 3
+    build.backfill_exports(spark, _exports(tmp_path / "e", [2019], 2), wh, loaded_at=stamp, min_rows=1, whole_years=True)
+    assert sorted(stored.manifest(spark, raw)["parts"]) == ["2019", "2020", "2021", "none"]
+    assert stored.read(spark, raw, ["2019"]).count() == 2 and stored.read(spark, raw, ["none"]).count() == 1
     with pytest.raises(CheckFailed):
-        build.backfill_exports(spark, str(exports), wh, loaded_at=stamp)   # 400,000 minimum
-    # the hourly feed lands next to it
+        build.backfill_exports(spark, first, wh, loaded_at=stamp)   # 400,000 minimum
+
+
+def test_repeated_autumn_hour_of_an_export_has_one_survivor(spark):
+    """No row key, one load stamp: all columns decide, whatever the order of rows."""
+    names = list(NATIONAL_HISTORY_TEXT)
+    rows = []
+    for i, offset in enumerate(("+02:00", "+01:00")):
+        vals = dict.fromkeys(names)
+        vals.update(date_heure=f"2024-10-27T02:30:00{offset}", consommation="100", taux_co2="5", gaz=str(i))
+        rows.append(tuple(vals[c] for c in names) + (dt.datetime(2026, 1, 1),))
+    schema = ", ".join(f"{c} string" for c in names) + ", _loaded_at timestamp_ntz"
+    kept = {tuple(staging.stg_national(spark.createDataFrame(order, schema).repartition(n)).first())
+            for order in (rows, rows[::-1]) for n in (1, 2, 3)}
+    assert len(kept) == 1
+
+
+def test_freshness_sees_a_feed_that_stopped(spark, tmp_path):
+    wh = str(tmp_path / "wh7")
+    assert build.verify_recent(spark, wh).first()["n_rows"] == 0      # no table yet
+    landing = tmp_path / "l7"
+    landing.mkdir()
+    (landing / "r.json").write_text(json.dumps({"results": [
+        {"date_heure": "2025-01-05T10:00:00+01:00", "consommation": 5.0, "taux_co2": 2.0}]}))
+    build.ingest_realtime(spark, str(landing), wh).awaitTermination(120)
+    assert build.verify_recent(spark, wh).first()["is_stale"] is True
+    at = dt.datetime(2025, 1, 5, 10, 30, tzinfo=dt.timezone.utc)
+    assert build.verify_recent(spark, wh, now=at).first()["is_stale"] is False
+
+
+def test_backfill_and_feed_run_meet_in_staging(spark, tmp_path):
+    wh = str(tmp_path / "wh5")
+    rep = build.backfill_exports(spark, _exports(tmp_path / "exports", [2019, 2020]), wh,
+                                 loaded_at=dt.datetime(2026, 1, 1), min_rows=6).first()
+    assert rep["n_rows"] == 6 and rep["gate_ok"]
+    raw = stored.read(spark, os.path.join(wh, "raw", "national_history"))
+    assert raw.filter("taux_co2 IS NULL").count() == 2 and raw.filter("gaz IS NULL").count() == 6
     landing = tmp_path / "landing"
     landing.mkdir()
     (landing / "r1.json").write_text(json.dumps({"results": [
         {"date_heure": "2026-01-05T10:00:00+01:00", "consommation": 50000.0, "taux_co2": 20.0}]}))
     build.ingest_realtime(spark, str(landing), wh).awaitTermination(120)
-    rt = spark.read.parquet(os.path.join(wh, "raw", "national_realtime"))
+    rt = stored.read(spark, os.path.join(wh, "raw", "national_realtime"))
     assert rt.count() == 1 and rt.first()["_source"] == "eco2mix-national-tr"
-    stg = build.stg_national(spark, wh)
-    assert stg.count() == 6 + 1      # 6 history rows (2 without CO2 are kept) + 1 feed row
+    assert build.stg_national(spark, wh).count() == 6 + 1   # without CO2 they are kept
     fresh = build.verify_recent(spark, wh).first()
     assert fresh["n_rows"] == 1 and str(fresh["max_date_heure"]) == "2026-01-05 09:00:00"
-    assert fresh["is_stale"] is (fresh["checked_at"] > dt.datetime(2026, 1, 5, 11))

@@ -49,6 +49,30 @@ def test_aggregations_are_partial(spark):
     assert "partial_avg" in plan or "partial_sum" in plan
 
 
-def test_high_water_mark_pushed_to_scan_as_subquery(spark):
-    plan = full_plan(E.queries()["incremental_filter"](spark, SF))
+def test_high_water_mark_needs_no_deduplication(spark):
+    """The mark is one aggregate over the readings: its subquery has no window."""
+    plan = full_plan(E.queries()["incremental_filter"](spark, SF)).split("== Initial Plan ==")[0]
     assert "Subquery" in plan
+    assert len(re.findall(r"WindowGroupLimit .*Final", plan)) == 1     # of the staging dedup itself
+
+
+@pytest.mark.parametrize("key", ["mart_national_incremental", "incremental_lookback", "sync_columns"])
+def test_incremental_builds_scan_the_lines_once_beside_the_stored_target(spark, key):
+    plan = final_plan(E.queries()[key](spark, SF))
+    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) <= 2
+
+
+def test_checks_read_the_stored_models_without_expanding_rows(spark):
+    plan = final_plan(E.queries()["dq_report"](spark, SF))
+    assert "Expand" not in plan and "lineitem" not in plan
+
+
+def test_year_slice_prunes_the_orders_scan(spark):
+    plan = full_plan(E.queries()["year_slice"](spark, SF))
+    pushed = re.findall(r"orders\.parquet\].*?PushedFilters: \[([^\]]*)\]", plan)
+    assert pushed and all("LessThan(o_orderdate" in p and "GreaterTh" in p for p in pushed)
+
+
+def test_missing_text_column_is_one_projection(spark):
+    plan = final_plan(E.queries()["nan_to_null"](spark, SF))
+    assert len(re.findall(r"SortMergeJoin|BroadcastHashJoin", plan)) == 1   # that of the base readings
