@@ -16,11 +16,19 @@ link when their Jaccard similarity is at least ``percent`` / 100.
    pair is a candidate if the l-prefixes for the smaller l of the two share at
    least that many n-grams.
 4. Links: candidates are verified on the whole sets. Only components matter, so
-   first every posting list offers the pairs of its smallest (then: its
-   largest) class with the rest, and components of those links are formed;
-   then all candidate pairs of different components are taken, without a cap.
-   Pairs inside a component need no test: a group of n near copies costs about
-   n tests, not n * n.
+   first every posting list offers the pairs of one class with the rest (the
+   class in which the n-gram comes earliest, which has the fewest rare n-grams
+   of its own; then the one of the smallest number), and components of those
+   links are formed; then all candidate pairs of different components are taken,
+   without a cap. Pairs inside a component need no test: a group of n near
+   copies costs about n tests, not n * n.
+5. Pairs of different components: two sets of sizes a and b that link share
+   ceil(percent / (100 + percent) * (a + b)) n-grams, so their prefixes may be
+   shorter than those of 3, which fit any partner. Postings are dealt out by the
+   sizes (in steps of 3 to 6 %) and the l of both sides, each with the prefix
+   that fits such partners, and a class with fewer than l postings that meet
+   another component is dropped before pairs are formed. So near copies that
+   differ a little too much from all others of a large group form no pairs.
 
 A posting list holds a class at most once, and a class has many postings, so no
 n-gram can hold more than 1 / prefix length of the rows that are dealt out.
@@ -41,7 +49,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import slices, words, written
@@ -50,6 +58,7 @@ from gridmix.llm.components import components
 LOAD_BUCKETS = 1 << 18
 LOAD_BLOCK = 1 << 12  # buckets in a row of the table of loads
 MAX_MATCHES = 8       # largest l
+SIZE_STEPS = 32       # steps of set size for a factor of two
 VERIFY_COST = 16.0    # verifying a candidate, in postings read
 
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -221,13 +230,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, per
     return written(links.mapInArrow(run, "u long, v long"), "jaccard-links")
 
 
-def _fits(a: str, b: str, percent: int):
-    """Condition on two postings (columns <a>n, <b>n ...): sizes can link, both within the prefix."""
-    small, large = F.least(f"{a}n", f"{b}n"), F.greatest(f"{a}n", f"{b}n")
-    within = F.greatest(f"{a}level", f"{b}level") <= F.least(f"{a}l", f"{b}l")
-    return (100 * small.cast("long") >= percent * large.cast("long")) & within
-
-
 def classes_and_links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with digest, classes with vid, components of linked classes)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -242,38 +244,92 @@ def classes_and_links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     classes = written(prefixes.join(ids, "digest")
                       .withColumn("vid", F.monotonically_increasing_id()), "jaccard-classes")
 
-    base = F.col("n") - F.expr(f"cast(({percent} * cast(n as long) + 99) div 100 as int)")
-    postings = (classes.select("vid", "n", "l", base.alias("base"), F.posexplode("prefix"))
-                .select(F.col("col").alias("gram"), "vid", "n", "l",
-                        F.greatest(F.lit(1), F.col("pos") - F.col("base") + 1).alias("level")))
+    postings = (classes.select("vid", "n", "l", F.posexplode("prefix").alias("pos", "gram"))
+                .select("gram", "vid", "n", "l", "pos"))
     same = Window.partitionBy("gram")
     shared = written(postings.withColumn("alike", F.count("*").over(same))
                      .where("alike > 1").drop("alike"), "jaccard-postings")
 
     found = None  # links so far
     tried = None  # candidates so far
-    for centre in (F.min, F.max):
+    for centre in (["pos", "vid", "n", "l"], ["vid", "n", "l", "pos"]):
         lists = shared if found is None else _mixed(shared, components(found))
-        star = (lists.withColumn("c", centre(F.struct("vid", "n", "l", "level")).over(same))
-                .select("vid", "n", "l", "level", F.col("c.vid").alias("c_vid"), F.col("c.n").alias("c_n"),
-                        F.col("c.l").alias("c_l"), F.col("c.level").alias("c_level"),
-                        *(["root"] if found is not None else []))
-                .where((F.col("vid") != F.col("c_vid")) & _fits("", "c_", percent)))
+        star = (lists.withColumn("c", F.min(F.struct(*centre)).over(same))
+                .select("vid", "n", "l", "pos", *(F.col(f"c.{x}").alias(f"c_{x}") for x in ("vid", "n", "l", "pos")))
+                .where((F.col("vid") != F.col("c_vid")) & _fits(percent)))
         pairs = _counted(star.select(F.least("vid", "c_vid").alias("u"), F.greatest("vid", "c_vid").alias("v"),
                                      F.least("l", "c_l").alias("l")))
         found, tried = _extended(found, tried, pairs, docs, classes, n, percent)
-
-    lists = _mixed(shared, components(found))
-    a, b = (lists.select("gram", *(F.col(c).alias(f"{s}_{c}") for c in ("vid", "n", "l", "level", "root")))
-            for s in ("a", "b"))
-    across = (a.join(b, "gram").where((F.col("a_vid") < F.col("b_vid")) & (F.col("a_root") != F.col("b_root"))
-                                      & _fits("a_", "b_", percent)))
-    pairs = _counted(across.select(F.col("a_vid").alias("u"), F.col("b_vid").alias("v"),
-                                   F.least("a_l", "b_l").alias("l")))
+    pairs = _counted(_across(_mixed(shared, components(found)), percent))
     found, _ = _extended(found, tried, pairs, docs, classes, n, percent)
     return rows, classes, components(found)
 
 
+def _needed(size: Column, percent: int) -> Column:
+    """ceil(percent * size / 100)."""
+    return F.ceil(F.lit(percent) * size / 100).cast("int")
+
+
+def _fits(percent: int) -> Column:
+    """A posting and its list's centre: sizes can link, both within the prefix of the smaller l."""
+    small, large = F.least("n", "c_n"), F.greatest("n", "c_n")
+    l = F.least("l", "c_l")
+    within = [F.col(f"{c}pos") < F.col(f"{c}n") - _needed(F.col(f"{c}n"), percent) + l for c in ("", "c_")]
+    return (F.lit(100) * small >= F.lit(percent) * large) & within[0] & within[1]
+
+
+def _across(lists: DataFrame, percent: int) -> DataFrame:
+    """(u, v, l) for every n-gram that classes of different components have in common in their
+    prefixes for each other's size.
+
+    ``lists``: gram, vid, n, l, pos, root. A side is the size step and l of a class, in one number.
+    """
+    step = F.greatest(F.lit(1), F.floor(F.pow(F.lit(2.0), F.floor(F.log2("n"))) / SIZE_STEPS).cast("int"))
+    side = lists.withColumn("side", (F.col("n") - F.col("n") % step).cast("long") * 16 + F.col("l"))
+    # the sides in a list are few: size steps times l
+    present = side.groupBy("gram").agg(F.collect_set("side").alias("sides"), F.min("l").alias("least_l"))
+    rows = side.join(present, "gram")
+    # a class needs l of its n-grams to be in lists of other components
+    enough = Window.partitionBy("vid")
+    rows = (rows.withColumn("met", F.count("*").over(enough)).withColumn("least_l", F.min("least_l").over(enough))
+            .where(F.col("met") >= F.least("l", "least_l")))
+
+    def size(side: Column) -> Column:
+        return F.floor(side / 16)
+
+    def fits(other: Column) -> Column:
+        own = size(F.col("side"))
+        both = F.ceil(F.lit(percent) * (own + size(other)) / (100 + percent))
+        l = F.least(F.col("l"), (other % 16).cast("int"))
+        # sizes of a step are below twice its least one
+        reach = ((F.lit(100) * size(other) * (1 + 2 / SIZE_STEPS) >= F.lit(percent) * F.col("n"))
+                 & (F.lit(100) * F.col("n") >= F.lit(percent) * size(other)))
+        return reach & (F.col("pos") < F.col("n") - F.greatest(both, _needed(F.col("n"), percent)) + l)
+
+    dealt = (rows.select("gram", "vid", "n", "root", "side",
+                         F.explode(F.filter("sides", fits)).alias("other"))
+             .withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
+             .withColumn("l", F.least(F.col("low") % 16, F.col("high") % 16).cast("int")))
+    for _ in range(2):  # what is dropped may leave others with too few
+        met = Window.partitionBy("gram", "low", "high")
+        one = Window.partitionBy("vid", "low", "high")
+        dealt = (dealt.withColumn("r0", F.min("root").over(met)).withColumn("r1", F.max("root").over(met))
+                 .withColumn("s0", F.min("side").over(met)).withColumn("s1", F.max("side").over(met))
+                 .where("r0 < r1 and s0 = low and s1 = high")
+                 .withColumn("met", F.count("*").over(one)).where("met >= l"))
+    dealt = written(dealt.select("gram", "low", "high", "l", "vid", "n", "root", "side"), "jaccard-dealt")
+    a, b = (dealt.select("gram", "low", "high", *(F.col(c).alias(f"{x}_{c}") for c in ("l", "vid", "n", "root", "side")))
+            for x in ("a", "b"))
+    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
+    return (a.join(b, ["gram", "low", "high"])
+            .where((F.col("a_side") == F.col("low")) & (F.col("b_side") == F.col("high"))
+                   & ((F.col("low") < F.col("high")) | (F.col("a_vid") < F.col("b_vid")))
+                   & (F.col("a_root") != F.col("b_root"))
+                   & (F.lit(100) * small >= F.lit(percent) * large))
+            .select(F.least("a_vid", "b_vid").alias("u"), F.greatest("a_vid", "b_vid").alias("v"),
+                    F.col("a_l").alias("l")))
+
+
 def _counted(pairs: DataFrame) -> DataFrame:
     """Pairs with at least l common n-grams within their l-prefixes; a row per common n-gram comes in."""
     return (pairs.groupBy("u", "v").agg(F.count("*").alias("common"), F.first("l").alias("l"))
