@@ -25,7 +25,7 @@ link when their Jaccard similarity is at least ``percent`` / 100.
 5. Pairs of different components: two sets of sizes a and b that link share
    ceil(percent / (100 + percent) * (a + b)) n-grams, so their prefixes may be
    shorter than those of 3, which fit any partner. Postings are dealt out by the
-   sizes (in steps of 3 to 6 %) and the l of both sides, each with the prefix
+   sizes (in steps of about 1 %) and the l of both sides, each with the prefix
    that fits such partners, and a class with fewer than l postings that meet
    another component is dropped before pairs are formed. So near copies that
    differ a little too much from all others of a large group form no pairs.
@@ -58,7 +58,7 @@ from gridmix.llm.components import components
 LOAD_BUCKETS = 1 << 18
 LOAD_BLOCK = 1 << 12  # buckets in a row of the table of loads
 MAX_MATCHES = 8       # largest l
-SIZE_STEPS = 32       # steps of set size for a factor of two
+SIZE_STEPS = 128      # steps of set size for a factor of two
 VERIFY_COST = 16.0    # verifying a candidate, in postings read
 
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -306,7 +306,7 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
                  & (F.lit(100) * F.col("n") >= F.lit(percent) * size(other)))
         return reach & (F.col("pos") < F.col("n") - F.greatest(both, _needed(F.col("n"), percent)) + l)
 
-    dealt = (rows.select("gram", "vid", "n", "root", "side",
+    dealt = (rows.select("gram", "vid", "n", "pos", "root", "side",
                          F.explode(F.filter("sides", fits)).alias("other"))
              .withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
              .withColumn("l", F.least(F.col("low") % 16, F.col("high") % 16).cast("int")))
@@ -317,14 +317,17 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
                  .withColumn("s0", F.min("side").over(met)).withColumn("s1", F.max("side").over(met))
                  .where("r0 < r1 and s0 = low and s1 = high")
                  .withColumn("met", F.count("*").over(one)).where("met >= l"))
-    dealt = written(dealt.select("gram", "low", "high", "l", "vid", "n", "root", "side"), "jaccard-dealt")
-    a, b = (dealt.select("gram", "low", "high", *(F.col(c).alias(f"{x}_{c}") for c in ("l", "vid", "n", "root", "side")))
+    dealt = written(dealt.select("gram", "low", "high", "l", "vid", "n", "pos", "root", "side"), "jaccard-dealt")
+    a, b = (dealt.select("gram", "low", "high", *(F.col(c).alias(f"{x}_{c}") for c in ("l", "vid", "n", "pos", "root", "side")))
             for x in ("a", "b"))
     small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
+    both = F.ceil(F.lit(percent) * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    within = [F.col(f"{x}_pos") < F.col(f"{x}_n") - F.greatest(both, _needed(F.col(f"{x}_n"), percent)) + F.col("a_l")
+              for x in ("a", "b")]
     return (a.join(b, ["gram", "low", "high"])
             .where((F.col("a_side") == F.col("low")) & (F.col("b_side") == F.col("high"))
                    & ((F.col("low") < F.col("high")) | (F.col("a_vid") < F.col("b_vid")))
-                   & (F.col("a_root") != F.col("b_root"))
+                   & (F.col("a_root") != F.col("b_root")) & within[0] & within[1]
                    & (F.lit(100) * small >= F.lit(percent) * large))
             .select(F.least("a_vid", "b_vid").alias("u"), F.greatest("a_vid", "b_vid").alias("v"),
                     F.col("a_l").alias("l")))
