@@ -20,13 +20,14 @@ scored each; other columns are ignored; long texts are scored whole.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,74 +46,60 @@ PUNCTUATION = ".,;:!?\"'()[]{}-|"
 
 # --- features ----------------------------------------------------------------
 
-def _slot(feature: str) -> int:
-    return xxhash.xxh32_intdigest(feature) % SLOTS
+# first values of the hash for words, their first 4 and 5 letters, shapes, shares
+WORD, FOUR, FIVE, SHAPE, SHARE = 1, 4, 5, 7, 9
 
 
-def word_slots(word: str) -> tuple[int, ...]:
+def _slot(feature: str, kind: int) -> int:
+    return crc32(feature.encode(), kind) % SLOTS
+
+
+def word_slots(word: str) -> tuple[int, int, int, int]:
     bare = word.strip(PUNCTUATION)
     low = bare.lower()
-    case = ("A" if len(bare) > 1 else "T") if bare.isupper() else "a" if bare.islower() else \
-        "T" if bare.istitle() else "0" if bare.isdigit() else "x"
-    return (_slot("w:" + low), _slot("4:" + low[:4]), _slot("5:" + low[:5]),
-            _slot("s:" + case + word[len(word.rstrip(PUNCTUATION)):]))
-
-
-class Featurizer:
-    """Distinct features of the texts of a batch, as slots or as numbers of active slots."""
-
-    MEMO = 1 << 18
-
-    def __init__(self, active: np.ndarray | None = None):
-        self.active = active  # sorted slots with a weight; None: all slots
-        self.memo: dict[str, np.ndarray] = {}
-        self.shares: dict[int, np.ndarray] = {}
-
-    def _numbers(self, slots: tuple[int, ...]) -> np.ndarray:
-        found = np.unique(np.array(slots, np.int64))
-        if self.active is None:
-            return found
-        at = np.searchsorted(self.active, found)
-        at[at == len(self.active)] = 0
-        return at[self.active[at] == found] if len(self.active) else found[:0]
-
-    def _of(self, word: str) -> np.ndarray:
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) >= self.MEMO:
-                self.memo.clear()
-            got = self.memo[word] = self._numbers(word_slots(word))
-        return got
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, number) of every feature, each once a row, rows ascending; words of each row."""
-        offsets, codes, vocabulary = words(texts)
-        n = len(offsets) - 1
-        counts = np.diff(offsets)
-        size = max(1, len(vocabulary))
-        pairs = np.unique(np.repeat(np.arange(n), counts) * size + codes)
-        row, code = pairs // size, pairs % size
-        lists = [self._of(w) for w in vocabulary.to_numpy(zero_copy_only=False).tolist()]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
-        starts = np.cumsum(lengths) - lengths
-        take = lengths[code]
-        inner = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
-        number = flat[np.repeat(starts[code], take) + inner]
-        row_of = np.repeat(row, take)
-        distinct = np.bincount(row, minlength=n)
-        shares = (20 * distinct // np.maximum(counts, 1)).tolist()
-        extra = [self._of_share(s) for s in shares]
-        row_of = np.concatenate([row_of, np.repeat(np.arange(n), [len(e) for e in extra])])
-        number = np.concatenate([number, *extra]) if extra else number
-        both = np.unique(row_of * SLOTS + number)
-        return both // SLOTS, both % SLOTS, counts
-
-    def _of_share(self, share: int) -> np.ndarray:
-        got = self.shares.get(share)
-        if got is None:
-            got = self.shares[share] = self._numbers((_slot(f"u:{share}"),))
-        return got
+    if bare == low:
+        case = "a" if bare.isalpha() else "x"
+    elif bare.isupper():
+        case = "A" if len(bare) > 1 else "T"
+    else:
+        case = "T" if bare[1:] == low[1:] else "x"
+    tail = word[len(word.rstrip(PUNCTUATION)):]
+    return (crc32(low.encode(), WORD) % SLOTS, crc32(low[:4].encode(), FOUR) % SLOTS,
+            crc32(low[:5].encode(), FIVE) % SLOTS, crc32((case + tail).encode(), SHAPE) % SLOTS)
+
+
+def features(texts: pa.Array, active: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number) of every feature of the texts, each once a row, rows ascending; words of each row.
+
+    A number is a slot, or the place of the slot in ``active`` (sorted slots);
+    features of other slots are left out then.
+    """
+    offsets, codes, vocabulary = words(texts)
+    n = len(offsets) - 1
+    counts = np.diff(offsets)
+    size = max(1, len(vocabulary))
+    pairs = np.unique(np.repeat(np.arange(n), counts) * size + codes)
+    row, code = pairs // size, pairs % size
+    found = map(word_slots, vocabulary.to_numpy(zero_copy_only=False).tolist())
+    slots = np.fromiter(itertools.chain.from_iterable(found), np.int64, 4 * len(vocabulary)).reshape(-1, 4)
+    distinct = np.bincount(row, minlength=n)
+    share = np.array([_slot(str(s), SHARE) for s in range(21)])[20 * distinct // np.maximum(counts, 1)]
+    number, real = _numbers(slots, active)
+    share, real_share = _numbers(share, active)
+    chosen = real[code]
+    row_of = np.concatenate([np.repeat(row, 4)[chosen.ravel()], np.flatnonzero(real_share)])
+    both = np.unique(row_of * SLOTS + np.concatenate([number[code][chosen], share[real_share]]))
+    return both // SLOTS, both % SLOTS, counts
+
+
+def _numbers(slots: np.ndarray, active: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of slots, and which have one."""
+    if active is None:
+        return slots, np.ones(slots.shape, bool)
+    if not len(active):
+        return slots, np.zeros(slots.shape, bool)
+    at = np.minimum(np.searchsorted(active, slots), len(active) - 1)
+    return at, active[at] == slots
 
 
 # --- the model ----------------------------------------------------------------
@@ -196,7 +183,6 @@ def _sample_features(docs: DataFrame, ratings: DataFrame, sample: int) -> DataFr
              .select(F.col("grade").cast("int").alias("grade"), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Featurizer()
         for batch in batches:
             for part in slices(batch, "text"):
                 row, number, _ = features(part.column("text"))
@@ -219,6 +205,14 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
     # bounded: slots of the sample that are in MIN_SLOT_DOCS of its documents
     active = np.array(sorted(r.slot for r in table.select(F.explode("slots").alias("slot")).groupBy("slot")
                              .count().where(F.col("count") >= MIN_SLOT_DOCS).collect()), np.int64)
+    kept = sc.broadcast(active)
+
+    def compact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = (_numbers(slots.astype(np.int64), kept.value) for slots in frame["slots"])
+            yield pd.DataFrame({"grade": frame["grade"], "numbers": [n[real].astype(np.int32) for n, real in found]})
+
+    rated = written(table.mapInPandas(compact, "grade int, numbers array<int>"), "rated-numbers")
     # thresholds begin where the grades' shares put them
     shares = np.cumsum([counts.get(g, 0) + 0.5 for g in range(grades)][:-1]) / (total + 0.5 * grades)
     start = np.concatenate([np.zeros(len(active)), np.log(shares / (1 - shares))])
@@ -227,24 +221,20 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
         weights, thresholds = x[:len(active)], x[len(active):]
         if np.any(np.diff(thresholds) <= 0):
             return np.inf, np.zeros_like(x)
-        shared = sc.broadcast((active, weights, thresholds))
+        shared = sc.broadcast((weights, thresholds))
 
         def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            slots, w, t = shared.value
+            w, t = shared.value
             value, gradient = 0.0, np.zeros(len(w) + len(t))
             for frame in frames:
-                lengths = frame["slots"].map(len).to_numpy()
-                number = np.concatenate(frame["slots"].tolist()).astype(np.int64)
-                row = np.repeat(np.arange(len(frame)), lengths)
-                at = np.searchsorted(slots, number)
-                at[at == len(slots)] = 0
-                real = slots[at] == number if len(slots) else np.zeros(len(at), bool)
-                v, g, b = loss_and_gradient(w, t, row[real], at[real], frame["grade"].to_numpy())
+                row = np.repeat(np.arange(len(frame)), frame["numbers"].map(len).to_numpy())
+                number = np.concatenate(frame["numbers"].tolist()).astype(np.int64)
+                v, g, b = loss_and_gradient(w, t, row, number, frame["grade"].to_numpy())
                 value += v
                 gradient += np.concatenate([g, b])
             yield pd.DataFrame({"value": [value], "gradient": [gradient.tobytes()]})
 
-        rows = table.mapInPandas(part, "value double, gradient binary").collect()  # a row per task
+        rows = rated.mapInPandas(part, "value double, gradient binary").collect()  # a row per task
         shared.unpersist()
         gradient = sum(np.frombuffer(r.gradient) for r in rows) / total
         gradient[:len(active)] += PENALTY * weights
@@ -265,10 +255,9 @@ def score(docs: DataFrame, model: Model | None, keep: float = KEEP) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        features = Featurizer(m.active)
         for batch in batches:
             for part in slices(batch, "text"):
-                row, number, counts = features(part.column("text"))
+                row, number, counts = features(part.column("text"), m.active)
                 p = m.grades(np.bincount(row, m.weights[number], minlength=part.num_rows))
                 p[counts == 0] = np.eye(p.shape[1])[0]
                 yield pa.RecordBatch.from_arrays(

@@ -67,10 +67,10 @@ def test_minimise():
 
 def test_features_are_the_same_in_any_batch():
     texts = ["one two two, ONE", None, "", "é 漢字 x1 !!"]
-    row, number, counts = qm.Featurizer()(pa.array(texts, pa.string()))
+    row, number, counts = qm.features(pa.array(texts, pa.string()))
     assert counts.tolist() == [4, 0, 0, 4]
     for i, text in enumerate(texts):
-        alone = qm.Featurizer()(pa.array([text], pa.string()))[1]
+        alone = qm.features(pa.array([text], pa.string()))[1]
         assert sorted(number[row == i].tolist()) == sorted(alone.tolist())
 
 
