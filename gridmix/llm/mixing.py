@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridmix.llm.common import written
+
 SEED = 20240229
 TEMPERATURE = 0.5  # default targets: share proportional to documents ** TEMPERATURE
 DRAW_BITS = 52
@@ -78,7 +80,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
         temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """Copies of ``docs`` in global random order; adds copy (long, from 1) and shuffle_key."""
     columns = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    table = rates(docs, source, targets, total, temperature)
+    # written first: its size is then known, and a small table never makes the texts move
+    table = written(rates(docs, source, targets, total, temperature), "mixing-rates")
     drawn = (docs.select(*columns).join(table, F.col(source).eqNullSafe(F.col("__source")))
              .withColumn("__u", uniform(F.col(doc_id), seed))
              .withColumn("__n", F.size(F.filter("__cdf", lambda c: c <= F.col("__u"))).cast("long"))
