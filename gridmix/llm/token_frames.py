@@ -29,6 +29,7 @@ an empty table gives an empty manifest.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from collections.abc import Iterator
@@ -42,7 +43,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from gridmix.llm.common import binary_column, shared_path, written
 from gridmix.llm.units import UnitEncoder
@@ -65,6 +66,12 @@ OUT_BYTES = 16 << 20
 
 # --- tokenizer ---------------------------------------------------------------
 
+# such a unit is one pre-token: the model takes it directly
+LETTERS = "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0xD7), *range(0xD8, 0xF7),
+                            *range(0xF8, 0x100)]))
+PLAIN = re.compile(f"[ ]?[{LETTERS}]+").fullmatch
+
+
 class Encoder:
     """The tokenizers library over distinct units; special strings are ordinary text."""
 
@@ -73,6 +80,12 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         (self.newline,) = self._ids("\n")
         self.units = UnitEncoder(self.encode_units, self.encode_texts)
+        parts = json.loads(definition)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parts["merges"]]
+        # the same model without its cache of words: units come once
+        self.model = models.BPE(vocab=parts["vocab"], merges=merges, cache_capacity=0)
+        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.mapped = {ord(c): bytes_of(c)[0][0] for c in " " + LETTERS}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -80,20 +93,30 @@ class Encoder:
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         return [np.array(self._ids(t), "<u4").tobytes() for t in texts]
 
+    def _plain(self, unit: str) -> bytes:
+        tokens = self.model.tokenize(unit.translate(self.mapped))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
     def encode_units(self, units: list[str]) -> list[bytes]:
-        """Units joined by newlines are encoded in one call and parted at the newline's id."""
-        out: list[bytes] = []
-        for begin in range(0, len(units), UNITS_AT_ONCE):
-            some = units[begin:begin + UNITS_AT_ONCE]
-            plain = [u for u in some if u and "\n" not in u]
-            ids = np.array(self._ids("\n".join(plain)), "<u4")
-            parted = np.split(ids, np.flatnonzero(ids == self.newline))
-            found = iter([p[i > 0:].tobytes() for i, p in enumerate(parted)])
-            if len(parted) != max(1, len(plain)):
-                raise ValueError("a unit holds the newline's id")
-            out += [next(found) if u and "\n" not in u else self.encode_texts([u])[0] for u in some]
+        out = [self._plain(u) if PLAIN(u) else b"" for u in units]
+        rest = [i for i, u in enumerate(units) if u and not out[i]]
+        for begin in range(0, len(rest), UNITS_AT_ONCE):
+            some = rest[begin:begin + UNITS_AT_ONCE]
+            for i, found in zip(some, self._joined([units[i] for i in some])):
+                out[i] = found
         return out
 
+    def _joined(self, units: list[str]) -> list[bytes]:
+        """Units joined by newlines are encoded in one call and parted at the newline's id."""
+        inner = [u for u in units if "\n" not in u]
+        ids = np.array(self._ids("\n".join(inner)), "<u4")
+        ends = [*(4 * np.flatnonzero(ids == self.newline)).tolist(), 4 * len(ids)]
+        if len(ends) != max(1, len(inner)):
+            raise ValueError("a unit holds the newline's id")
+        data = ids.tobytes()
+        found = iter([data[begin:end] for begin, end in zip([0, *(e + 4 for e in ends)], ends)])
+        return [next(found) if "\n" not in u else self.encode_texts([u])[0] for u in units]
+
 
 _encoders: dict[str, Encoder] = {}
 
