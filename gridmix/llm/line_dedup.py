@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridmix.llm.common import written
+
 MAX_RATIO = 0.1
 MIN_PAGES = 5
 
@@ -58,7 +60,9 @@ def boilerplate(pages: DataFrame, host: str, text: str,
 def clean(pages: DataFrame, host: str = "source", text: str = "text",
           max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` with boilerplate lines dropped from ``text``; adds n_lines, n_dropped (long)."""
-    drop = boilerplate(pages, host, text, max_ratio, min_pages).withColumnRenamed("__host", "__of")
+    # written first: its size is then known, and a small table never makes the texts move
+    drop = written(boilerplate(pages, host, text, max_ratio, min_pages),
+                   "boilerplate").withColumnRenamed("__host", "__of")
     columns = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
     joined = (pages.select(*columns)
               .join(drop, F.col(host).eqNullSafe(F.col("__of")), "left")
