@@ -12,8 +12,13 @@ queries get 0 there, after scaling to that norm).
   (1 + REPLICA_RATIO) times as far.
 * Search: the centroids are searched by best-first steps on a graph of their
   neighbours, held in memory in every task (MAX_CENTROIDS bounds it); of the
-  centroids found, those at most (1 + LIST_RATIO) times as far as the nearest
-  select the lists to read.
+  centroids found, those at most (1 + ratio) times as far as the nearest select
+  the lists to read.
+* Ratio: PROBES queries are compared with the whole table, in blocks. The ratio
+  is LIST_RATIO, or as much more as these queries need to find TARGET of their
+  true neighbours in the lists that the graph gives them. When these lists hold,
+  with replicas, as many rows as the table, pruning saves nothing (vectors
+  without structure): then every query is compared with the whole table.
 * Scan: list and queries meet in blocks of bounded size, so a list or a query
   set of any size is split; each block keeps the best of each query, and the
   best overall are ranked on the original vectors in double precision.
@@ -34,6 +39,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +56,9 @@ MAX_CENTROIDS = 16_384
 SAMPLE_CELL = 8        # at least so many sampled vectors make a centroid
 REPLICAS = 4
 REPLICA_RATIO = 0.05
-LIST_RATIO = 0.10
+LIST_RATIO = 0.10      # the least one, see calibrated()
+PROBES = 256
+TARGET = 0.95          # recall of the probes; 0.9 is required of all queries
 GRAPH_DEGREE = 24
 ENTRIES = 16           # centroids the search starts from
 BEAM = 64              # steps without progress that end the search
@@ -221,11 +229,56 @@ def _in_blocks(queries: DataFrame, lists: DataFrame, k: int) -> DataFrame:
         scan, "qid long, cid long, score double")
 
 
+def calibrated(graph: CentroidGraph, lists: DataFrame, classes: DataFrame, distinct: DataFrame,
+               largest: float, k: int, least: float) -> tuple[float, float, float]:
+    """(ratio, recall, rows read): what the probes need, and reach, in the lists.
+
+    Rows read are a mean over the probes and count replicas. ``distinct``: (qid, vector).
+    """
+    probes = written(distinct.orderBy(F.xxhash64("qid"), "qid").limit(PROBES), "ann-probes")
+    everything = classes.select("cid", "embedding", F.lit(0).alias("list"))
+    nth = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "cid"))
+    truth = (_in_blocks(probes.withColumn("list", F.lit(0)), everything, k + 1)
+             .where("cid <> qid").withColumn("nth", nth).where(F.col("nth") <= k).select("qid", "cid"))
+    homes: dict[int, dict[int, list[int]]] = {}
+    for r in truth.join(lists.select("cid", "list"), "cid").collect():  # PROBES * k * REPLICAS rows
+        homes.setdefault(r.qid, {}).setdefault(r.cid, []).append(r.list)
+    sizes = np.zeros(len(graph.centroids), np.int64)
+    for r in lists.groupBy("list").count().collect():
+        sizes[r.list] = r["count"]
+    rows = probes.collect()
+    if not rows:
+        return least, 1.0, 0.0
+    points = _as_query(np.array([r.vector for r in rows]), largest)
+    wanted = [list(homes.get(r.qid, {}).values()) for r in rows]
+    needed = []  # of each neighbour, the ratio that reaches the nearest of its lists
+    every = np.arange(len(graph.centroids))
+    for q, near in zip(points, wanted):
+        d = graph.distances(q, every)
+        needed += [d[some].min() / max(d.min(), 1e-300) - 1 for some in near]
+    if not needed:
+        return least, 1.0, 0.0
+    ratio = max(least, float(np.quantile(needed, TARGET, method="higher")))
+    size = classes.count()
+    for _ in range(100):
+        hits, read = 0, []
+        for q, near in zip(points, wanted):
+            open_lists = np.zeros(len(sizes), bool)
+            open_lists[graph.within(q, ratio)[0]] = True
+            hits += sum(open_lists[some].any() for some in near)
+            read.append(sizes[open_lists].sum())
+        recall = hits / len(needed)
+        if recall >= TARGET or np.mean(read) >= size:
+            return ratio, recall, float(np.mean(read))
+        ratio = ratio * 1.1 + 1e-3  # the graph lost some
+    return ratio, recall, math.inf  # no ratio reaches it
+
+
 def search(vectors: DataFrame, queries: Column | str, k: int = 20, vec_id: str = "vec_id",
            embedding: str = "embedding", list_ratio: float = LIST_RATIO) -> DataFrame:
     """The k nearest others of every row for which ``queries`` (a condition on vec_id) holds.
 
-    Returns query_id, rank, vec_id, score.
+    ``list_ratio``: the least ratio of the lists read. Returns query_id, rank, vec_id, score.
     """
     spark = vectors.sparkSession
     wanted = F.expr(queries) if isinstance(queries, str) else queries
@@ -259,22 +312,28 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 20, vec_id: str =
             yield pd.DataFrame({"cid": frame["cid"].to_numpy()[row], "list": best[row, nth],
                                 "embedding": frame["embedding"].to_numpy()[row]})
 
+    lists = written(classes.select("cid", "embedding").mapInPandas(
+        post, "cid long, list int, embedding array<double>"), "ann-lists")
+    asked = rows.where(wanted).select("vec_id", "embedding")
+    asked = written(asked.join(classes.select("cid", "embedding"), "embedding").select("vec_id", "cid"), "ann-asked")
+    distinct = (classes.join(asked.select("cid").distinct(), "cid", "left_semi")
+                .select(F.col("cid").alias("qid"), F.col("embedding").alias("vector")))
+    everything = classes.select("cid", "embedding", F.lit(0).alias("list"))
+    ratio, _, read = calibrated(graph.value, lists, classes, distinct, largest, k, list_ratio)
+
     def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x = _as_query(_matrix(frame["vector"]), largest)
-            chosen = [graph.value.within(q, list_ratio)[0] for q in x]
+            chosen = [graph.value.within(q, ratio)[0] for q in x]
             row = np.repeat(np.arange(len(x)), [len(c) for c in chosen])
             yield pd.DataFrame({"qid": frame["qid"].to_numpy()[row], "list": np.concatenate(chosen),
                                 "vector": frame["vector"].to_numpy()[row]})
 
-    lists = written(classes.select("cid", "embedding").mapInPandas(
-        post, "cid long, list int, embedding array<double>"), "ann-lists")
-    asked = rows.where(wanted).select("vec_id", "embedding")
-    asked = written(asked.join(classes.select("cid", "embedding"), "embedding").select("vec_id", "cid"), "ann-asked")
-    distinct = (classes.join(asked.select("cid").distinct(), "cid", "left_semi")
-                .select(F.col("cid").alias("qid"), F.col("embedding").alias("vector")))
-    chosen = distinct.mapInPandas(choose, "qid long, list int, vector array<double>")
-    found = written(_ranked(_in_blocks(chosen, lists, k + 1), classes, k), "ann-found")
+    if read < size:
+        pairs = _in_blocks(distinct.mapInPandas(choose, "qid long, list int, vector array<double>"), lists, k + 1)
+    else:  # the lists would hold more than the table
+        pairs = _in_blocks(distinct.withColumn("list", F.lit(0)), everything, k + 1)
+    found = written(_ranked(pairs, classes, k), "ann-found")
 
     # fewer found than there are: search these queries exactly
     all_rows = classes.select(F.explode("members")).limit(k + 1).count()
@@ -282,7 +341,6 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 20, vec_id: str =
     short = written(distinct.join(counts, "qid", "left").where(F.coalesce("n", F.lit(0)) < min(k + 1, all_rows))
                     .select("qid", "vector", F.lit(0).alias("list")), "ann-short")
     if not short.isEmpty():
-        everything = classes.select("cid", "embedding", F.lit(0).alias("list"))
         exact = _ranked(_in_blocks(short, everything, k + 1), classes, k)
         found = found.join(short.select("qid"), "qid", "left_anti").unionByName(exact)
 

@@ -91,3 +91,26 @@ def test_blocks_split_any_list(spark, monkeypatch):
     rows = [(i, rng.normal(size=4).tolist()) for i in range(90)]
     got = ann.search(frame(spark, rows), "vec_id % 3 = 0", k=5)
     assert compare(got, exact(rows, lambda i: i % 3 == 0, 5), 5) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("centres, noise", [(1, 1.0), (40, 0.25), (40, 0.6)])
+def test_recall_at_hundreds_of_lists(spark, monkeypatch, centres, noise):
+    """Also of vectors without structure, where a fixed ratio of 0.10 finds half."""
+    monkeypatch.setattr(ann, "LIST_SIZE", 16)
+    some = np.random.default_rng(5)
+    middle = some.normal(size=(centres, 64)) if centres > 1 else np.zeros((1, 64))
+    x = middle[np.arange(4000) % centres] + noise * some.normal(size=(4000, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32).astype(np.float64)
+    seen, real = [], ann.calibrated
+    monkeypatch.setattr(ann, "calibrated", lambda *a: seen.append(real(*a)) or seen[0])
+    got = {}
+    for r in ann.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), "vec_id % 20 = 0", k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in range(0, 4000, 20):
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += len(got[i] & set(np.argsort(-score, kind="stable")[:20].tolist()))
+    assert hits >= 0.9 * 20 * 200
+    if noise == 0.25:  # clustered: few lists are read
+        assert seen[0][2] < 1000
