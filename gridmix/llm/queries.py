@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from gridmix.llm import (
-    ann, bpe, jaccard_join, licenses, line_dedup, mixing, quality_model,
+    ann, bpe, jaccard_join, licenses, line_dedup, mixing, page_lines, quality_model,
     quality_rules, revisits, token_frames)
 from gridmix.llm.common import table
 
@@ -62,6 +62,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.clean(docs)
 
 
+def op9_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_lines.clean(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs)
@@ -81,6 +85,7 @@ QUERIES: dict[str, QueryFn] = {
     "op7_nearest": op7_nearest,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
+    "op9_page_lines": op9_page_lines,
     "op10_poisson_mixing": op10_poisson_mixing,
     "pipeline": pipeline,
 }
@@ -89,6 +94,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op5_revisits": revisits.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op9_page_lines": page_lines.SQL,
     "op10_poisson_mixing": mixing.SQL,
 }
 

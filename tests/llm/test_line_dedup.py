@@ -1,6 +1,6 @@
 from collections import Counter, defaultdict
 
-from gridmix.llm import line_dedup
+from gridmix.llm import line_dedup, page_lines
 
 BLANKS = " \t\r"
 
@@ -50,3 +50,17 @@ def test_no_python(spark):
     table = spark.createDataFrame([("a", "x\ny")], "source string, text string")
     plan = line_dedup.clean(table)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_pages_lose_the_lines_of_their_host(spark):
+    page = ("<html><head><style>p{}</style><script>var t=\"</p>\";</script></head><body><nav><ul><li><a href='/x'>Home</a>"
+            "</li></ul></nav><!-- ad --><p>own <b>text</b> %d &amp;amp;</p><footer>Imprint</footer></body></html>")
+    rows = [(i, f"https://u@Blog.example.org:80/{i}?q#f", page % i) for i in range(30)]
+    rows += [(30 + i, f"http://other.example.org/{i}", f"<p>Home</p><p>o{i}</p>" if i < 4 else f"<p>o{i}</p>")
+             for i in range(40)]
+    rows += [(100, None, "<p>Home"), (101, "https://blog.example.org/n", None)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.host, r.text, r.n_lines, r.n_dropped) for r in page_lines.clean(table).collect()}
+    assert got[3] == ("blog.example.org", "own text 3 &amp;", 3, 2)
+    assert got[30] == ("other.example.org", "Home\no0", 2, 0)  # on 4 pages of 40: fewer than 5
+    assert got[100] == (None, "Home", 1, 0) and got[101] == ("blog.example.org", None, 0, 0)
