@@ -6,8 +6,12 @@ vector of transformed statistics:
 
     ln(word_chars / n_words)              mean word length
     ln(1 + 100 * n_symbols / n_words)     symbols
-    ln(1 + 100 * n_dup_lines / n_lines)   repeated lines
-    ln(1 + 100 * n_repeat_words / n_words)  repeated words
+    ln(1 + 100 * n_dup_lines / (n_lines + 10))      repeated lines
+    ln(1 + 100 * n_repeat_words / (n_words + 100))  repeated words
+
+The shares of repeats are taken as if PRIOR more lines or words without a repeat
+stood in the text: a heading said again in a short text stays small, and a long
+text's share is about its own.
 
 For every (lang, source) the minimum covariance determinant is estimated over
 all its documents: from two deterministic starts (median and MAD; spatial sign
@@ -59,8 +63,8 @@ MIN_GROUP = 100
 MAX_STEPS = 20
 TAIL = 1e-9          # share of clean Gaussian vectors beyond the cutoff
 REWEIGHT_TAIL = 0.025
-# repeats get the widest: a heading said again at the end of a short text is no outlier
-SCALE_FLOORS = (0.1, 0.5, 1.0, 1.0)
+SCALE_FLOORS = (0.1, 0.5, 0.5, 0.5)
+PRIOR = {"n_lines": 10, "n_words": 100}  # lines and words without a repeat, added to a text's
 ONE = 1024           # fixed-point unit of the vectors
 BINS = 64            # bins of the squared distance for a factor of two
 
@@ -139,9 +143,12 @@ def _vector() -> list[Column]:
     def share(part: str, whole: str) -> Column:
         return F.log1p(100 * F.col(part) / F.greatest(F.col(whole), F.lit(1)))
 
+    def repeats(part: str, whole: str) -> Column:
+        return F.log1p(100 * F.col(part) / (F.col(whole) + PRIOR[whole]))
+
     values = [F.log(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))),
-              share("n_symbols", "n_words"), share("n_dup_lines", "n_lines"),
-              share("n_repeat_words", "n_words")]
+              share("n_symbols", "n_words"), repeats("n_dup_lines", "n_lines"),
+              repeats("n_repeat_words", "n_words")]
     return [F.round(v * ONE).cast("long").alias(f"z{i}") for i, v in enumerate(values)]
 
 

@@ -101,3 +101,17 @@ def test_groups_nulls_pools_and_extra_columns(spark):
     assert got == sorted([r[0] for r in rows[:290]] + [500])
     assert qr.filter_documents(docs.limit(0)).count() == 0
     assert qr.verdicts(docs.limit(0)).count() == 0
+
+
+def test_repetitive_texts_go_and_a_repeated_heading_stays(spark):
+    texts = [clean_text() for _ in range(300)]
+    own = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    heading = own(5)
+    texts.append(heading + "\n" + own(50) + "\n" + heading)
+    # nearly half of the words in repeated lines: the base rules let these pass
+    texts += ["\n".join([own(102), *["again and once more here"] * 19]),
+              "\n".join([own(40), *["see also more"] * 11])]
+    got = {r.doc_id: r for r in qr.verdicts(documents(spark, texts)).collect()}
+    assert not any(got[i].base_failed for i in range(303))
+    assert all(got[i].kept for i in range(301))
+    assert not got[301].kept and not got[302].kept
