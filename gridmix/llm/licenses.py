@@ -5,9 +5,14 @@ dashes and all ASCII punctuation to blanks, copyright lines dropped, equivalent
 spellings to one, runs of white space to one blank. The SHA-256 of the whole
 canonical text is hash-joined with the digests of known licences.
 
-A document is scanned as a whole, and each of its lines that holds the letters
-of "licen" (as every known one-line notice does) is scanned as a text of its own.
-The known digests are a short fixed table, so the join never moves a text.
+Known are TEXTS and the full texts of the folder known_licenses, each also up to
+"END OF TERMS AND CONDITIONS" and without its heading. For the look-up, lines
+that say no more than "all rights reserved" are dropped; the digest returned
+keeps them.
+
+A document is scanned as a whole, and each of its lines that holds a mark (one of
+a few strings, so chosen that every known text holds one) is scanned as a text of
+its own. The known digests are a short fixed table, so the join never moves a text.
 
 Edge cases: a null text has no digest and no licence; an empty or blank text, or
 one of copyright lines alone, has the empty canonical form, which is no licence;
@@ -19,6 +24,9 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +62,48 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+RESERVED = r"(?im)^[^0-9a-z\n]*all rights reserved[^0-9a-z\n]*$"
+END = re.compile(r"END OF TERMS AND CONDITIONS")
+
+
+def looked_up(text: Column) -> Column:
+    """Digest without lines of rights reserved, by which licences are found."""
+    return digest(F.regexp_replace(text, RESERVED, ""))
+
+
+def full_texts() -> dict[str, list[str]]:
+    """The folder's licences: whole, up to the end of the terms, each also without its heading."""
+    out = {}
+    for file in sorted(resources.files("gridmix.llm").joinpath("known_licenses").iterdir(), key=lambda f: f.name):
+        whole = file.read_text(encoding="utf-8").strip()
+        ends = [whole[:m.end()] for m in END.finditer(whole)][:1]
+        parts = [whole, *ends, *(e[:-len("END OF TERMS AND CONDITIONS")] for e in ends)]
+        out[file.name.removesuffix(".txt")] = parts + [
+            t.partition("\n\n")[2] for t in parts if len(t.partition("\n\n")[0]) < 100 < len(t.partition("\n\n")[2])]
+    return out
+
+
+def all_texts() -> dict[str, list[str]]:
+    full = full_texts()
+    return {name: TEXTS.get(name, []) + full.get(name, []) for name in {**TEXTS, **full}}
+
+
+def marks(texts: dict[str, list[str]]) -> list[str]:
+    """Strings of which every known text holds one: "licen", or the longest word of a text without it."""
+    found = ["licen"]
+    for text in (t.translate(str.maketrans(UPPER, LOWER)) for some in texts.values() for t in some):
+        # a word that has a spelling variant would not be in every form of the text
+        words = [w for w in re.findall("[a-z]+", text) if not any(w in a or a in w or b in w for a, b in SPELLINGS)]
+        if not any(m in text for m in found):
+            found.append(max(words, key=len) if words else "")
+    return found
+
+
 def known(spark: SparkSession, texts: dict[str, list[str]] | None = None) -> DataFrame:
     """(license_id, digest) of known texts; one id a digest."""
-    rows = [(name, text) for name, some in (texts or TEXTS).items() for text in some]
+    rows = [(name, text) for name, some in (texts or all_texts()).items() for text in some]
     return (spark.createDataFrame(rows, "license_id string, text string")
-            .select("license_id", digest(F.col("text")).alias("digest"))
+            .select("license_id", looked_up(F.col("text")).alias("digest"))
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
@@ -69,8 +114,11 @@ def scan(docs: DataFrame, texts: dict[str, list[str]] | None = None) -> DataFram
     (null: none).
     """
     licences = known(docs.sparkSession, texts)
-    hints = F.filter(F.split("text", "\n", -1), lambda line: F.translate(line, UPPER, LOWER).contains("licen"))
-    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"),
+    some = "|".join(marks(texts or all_texts()))
+    hints = F.filter(F.split("text", "\n", -1), lambda line: F.translate(line, UPPER, LOWER).rlike(some))
+    text = F.col("text")
+    rows = docs.select("doc_id", digest(text).alias("digest"),
+                       F.when(text.rlike(RESERVED), looked_up(text)).otherwise(digest(text)).alias("sought"),
                        F.transform(hints, digest).alias("lines"))
     # few digests of lines are left: look them up in one array of the known ones
     names = F.broadcast(licences.groupBy().agg(  # the fixed table of known texts, one row
@@ -80,7 +128,7 @@ def scan(docs: DataFrame, texts: dict[str, list[str]] | None = None) -> DataFram
     notices = F.array_sort(F.array_distinct(F.array_compact(
         F.transform("lines", lambda d: F.col("names")[d]))))
     whole = licences.withColumnRenamed("digest", "whole")
-    return (found.join(F.broadcast(whole), found.digest == whole.whole, "left")  # the fixed table
+    return (found.join(F.broadcast(whole), found.sought == whole.whole, "left")  # the fixed table
             .select("doc_id", "digest", "license_id",
                     F.when(F.size(notices) > 0, F.array_join(notices, ",")).alias("notices")))
 

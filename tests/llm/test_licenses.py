@@ -47,3 +47,19 @@ def test_no_python_runs(spark, tmp_path):
     spark.createDataFrame([(1, "a")], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
     plan = licenses.scan(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
     assert "MapIn" not in plan and "EvalPython" not in plan and "CartesianProduct" not in plan
+
+
+def test_full_texts_and_reserved_rights(spark):
+    full = licenses.full_texts()
+    assert {"Apache-2.0", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0",
+            "Unlicense"} <= set(full)
+    texts = [(name, some[0]) for name, some in full.items()]
+    mit, bsd = TEXTS["MIT"][0], TEXTS["BSD-2-Clause"][0]
+    texts += [("BSD-2-Clause", bsd.replace("<owner>", "<owner>\nAll rights reserved.")),
+              ("MIT", mit.replace("\n\nPermission", "\n * ALL RIGHTS RESERVED\n\nPermission")),
+              ("GPL-3.0", full["GPL-3.0"][1])]
+    got = scanned(spark, [t for _, t in texts])
+    assert [got[i][0] for i in range(len(texts))] == [name for name, _ in texts]
+    # a text of one line without the letters of "licen"
+    isc = "prose\n" + " ".join(TEXTS["ISC"][1].partition("\n\n")[2].split()) + "\nprose"
+    assert scanned(spark, [isc])[0] == (None, "ISC")
