@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from gridmix.llm import (
-    ann, bpe, jaccard_join, licenses, line_dedup, mixing, page_lines, quality_model,
+    ann, bpe, hard_negatives, jaccard_join, licenses, line_dedup, mixing, page_lines, quality_model,
     quality_rules, revisits, token_frames)
 from gridmix.llm.common import table
 
@@ -71,6 +71,11 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    return hard_negatives.mine(hard_negatives.flipped(vectors), "vec_id % 100 = 0")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_line_dedup": op9_line_dedup,
     "op9_page_lines": op9_page_lines,
     "op10_poisson_mixing": op10_poisson_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
     "pipeline": pipeline,
 }
 
@@ -96,6 +102,7 @@ ORACLE_SQL: dict[str, str] = {
     "op9_line_dedup": line_dedup.SQL,
     "op9_page_lines": page_lines.SQL,
     "op10_poisson_mixing": mixing.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
 }
 
 
