@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from gridmix.llm import (
-    ann, bpe, hard_negatives, jaccard_join, licenses, line_dedup, mixing, page_lines, quality_model,
+    ann, bpe, hard_negatives, jaccard_join, licenses, line_dedup, mixing, packing, page_lines, quality_model,
     quality_rules, revisits, token_frames)
 from gridmix.llm.common import table
 
@@ -76,6 +76,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.flipped(vectors), "vec_id % 100 = 0")
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, places = packing.pack_documents(docs)
+    return places.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -93,6 +99,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_page_lines": op9_page_lines,
     "op10_poisson_mixing": op10_poisson_mixing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_best_fit": op13_best_fit,
     "pipeline": pipeline,
 }
 
