@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from gridmix.llm import (
-    ann, bpe, hard_negatives, jaccard_join, licenses, line_dedup, mixing, packing, page_lines, quality_model,
+    ann, bpe, conversations, hard_negatives, jaccard_join, licenses, line_dedup, mixing, packing, page_lines, quality_model,
     quality_rules, revisits, token_frames)
 from gridmix.llm.common import table
 
@@ -76,6 +76,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.flipped(vectors), "vec_id % 100 = 0")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(conversations.repair(conversations.damaged(rows)))
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     _, places = packing.pack_documents(docs)
@@ -99,6 +104,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_page_lines": op9_page_lines,
     "op10_poisson_mixing": op10_poisson_mixing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_best_fit": op13_best_fit,
     "pipeline": pipeline,
 }
