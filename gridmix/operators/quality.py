@@ -148,6 +148,54 @@ def run_checks(models: dict[str, DataFrame], checks: list[Check] = MODEL_CHECKS)
     return with_status(_union_all(parts))
 
 
+def failing_rows(models: dict[str, DataFrame], keys: dict[str, list[str]],
+                 checks: list[Check] = MODEL_CHECKS) -> DataFrame:
+    """The rows that fail a check, by key: model, column_name, test, severity, row_key (JSON of the
+    key columns), value, n_rows.
+
+    One pass over a model finds its rows that fail ``not_null`` and
+    ``accepted_values``; a ``unique`` check gives a row for each repeated value,
+    whose key is the value, from one grouped count.
+    """
+    parts = []
+    for name, df in models.items():
+        mine = [c for c in checks if c.model == name]
+        tests = []
+        for c in mine:
+            if c.test == "unique":
+                continue
+            bad = (F.col(c.column).isNull() if c.test == "not_null" else
+                   F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values))
+            told = F.struct(*[F.expr(x) for x in _label(c)], F.col(c.column).cast("string").alias("value"))
+            tests.append(F.when(bad, told))
+        if tests:
+            failed = F.filter(F.array(*tests), lambda t: t.isNotNull())
+            parts.append(df.select(F.to_json(F.struct(*keys[name]), {"ignoreNullFields": "false"}).alias("row_key"),
+                                   F.explode(failed).alias("t"))
+                         .select("t.*", "row_key", F.lit(1).cast("bigint").alias("n_rows")))
+        for c in mine:
+            if c.test == "unique":
+                dup = (df.where(F.col(c.column).isNotNull()).groupBy(c.column)
+                       .agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"))
+                parts.append(dup.select(*[F.expr(x) for x in _label(c)], F.col(c.column).cast("string").alias("value"),
+                                        F.to_json(F.struct(c.column)).alias("row_key"), "n_rows"))
+    return _union_all(parts)
+
+
+def report_of(failures: DataFrame, checks: list[Check] = MODEL_CHECKS) -> DataFrame:
+    """The report of :func:`run_checks` from the stored rows of :func:`failing_rows`."""
+    spark = failures.sparkSession
+    every = spark.createDataFrame([(c.model, c.column, c.test, c.severity) for c in checks],
+                                  "model string, column_name string, test string, severity string")
+    keys = ["model", "column_name", "test", "severity"]
+    # accepted_values counts distinct values, the others rows or repeated values: one row each
+    counts = (failures.groupBy(*keys, F.when(F.col("test") == "accepted_values", F.col("value")).alias("v"))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .groupBy(*keys).agg(F.sum(F.when(F.col("test") == "accepted_values", 1).otherwise(F.col("n"))).alias("n")))
+    return with_status(every.join(counts, keys, "left").select(
+        *keys, F.coalesce("n", F.lit(0)).cast("bigint").alias("failures")))
+
+
 class CheckFailed(AssertionError):
     pass
 

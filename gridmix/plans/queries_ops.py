@@ -192,22 +192,20 @@ def _report_sql(checks: list[quality.Check]) -> str:
 
 
 def _checked_models(spark, src, wanted):
-    """The wanted models over the two enriched ones, which are stored once: every
-    check reads them, and the checked columns of the staging models are among theirs,
-    row for row."""
+    """The wanted models over the two staging ones, which are stored once: staging
+    checks read them, and the enriched models are projections of them."""
     found = {}
     if any("regional" in n for n in wanted):
-        regional = staged(models.int_regional(spark, src), "checked-regional")
-        found |= {"stg_regional": regional.select(*[c for c in staging.STG_REGIONAL_COLUMNS if c in regional.columns]),
-                  "int_regional": regional,
+        stg = staged(models.stg_regional(spark, src), "checked-regional")
+        regional = enrich.int_regional(stg)
+        found |= {"stg_regional": stg, "int_regional": regional,
                   "mart_regional_monthly": marts.mart_regional_monthly(regional, ordered=False)}
     if any("regional" not in n for n in wanted):
-        national = staged(models.int_national(spark, src), "checked-national")
+        stg = staged(models.stg_national(spark, src), "checked-national")
+        national = enrich.int_national(stg)
         patterns = marts.mart_patterns(national)
-        found |= {"stg_national": national.select(*[c for c in staging.STG_NATIONAL_COLUMNS if c in national.columns]),
-                  "int_national": national, "mart_national": marts.mart_national(national),
-                  "mart_patterns": patterns,
-                  "green_hours": marts.green_hours(patterns, ordered=False)}
+        found |= {"stg_national": stg, "int_national": national, "mart_national": marts.mart_national(national),
+                  "mart_patterns": patterns, "green_hours": marts.green_hours(patterns, ordered=False)}
     return {n: found[n] for n in sorted(wanted)}
 
 

@@ -21,3 +21,14 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
+
+
+@pytest.fixture
+def db(spark, tmp_path):
+    """A fresh database in the test's folder."""
+    import uuid
+    from gridmix.sources import sinks
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    sinks.ensure_database(spark, name, str(tmp_path / name))
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmix.operators.quality import CheckFailed
 from gridmix.plans import build, enrich, marts, models, staging
-from gridmix.sources import adapter, sinks, stored
+from gridmix.sources import adapter, readers, sinks
 from gridmix.sources.schemas import NATIONAL_HISTORY_TEXT
 
 
@@ -24,6 +24,11 @@ def _expected_int_national(spark, src):
     return enrich.int_national(staging.stg_national(models.raw_national_history(spark, src), realtime))
 
 
+def _files(spark, table):
+    return {(r["p"], r["f"]) for r in spark.table(table).select(
+        F.col("_part").alias("p"), F.col("_metadata.file_path").alias("f")).distinct().collect()}
+
+
 def test_refresh_matches_models_and_is_incremental(spark, tmp_path, sf_small):
     wh = str(tmp_path / "wh")
     # the test tables are far below the production backfill minimums
@@ -31,35 +36,108 @@ def test_refresh_matches_models_and_is_incremental(spark, tmp_path, sf_small):
     statuses = {r["status"] for r in report.collect()}
     assert report.count() == 37 and statuses <= {"pass", "warn"}
     expected = _expected_int_national(spark, sf_small)
-    gold_green = sinks.read_table(spark, os.path.join(wh, "gold", "green_hours"))
+    gold_green = build.read(spark, wh, "gold", "green_hours")
     assert _rows(gold_green) == _rows(marts.green_hours(marts.mart_patterns(expected)))
-    gold = os.path.join(wh, "gold", "mart_national")
+    gold = build.table_of(spark, wh, "gold", "mart_national")
     q = marts.mart_national(expected)
-    assert _rows(stored.read(spark, gold), sorted(q.columns)) == _rows(q)
+    assert _rows(sinks.read_table(spark, gold), sorted(q.columns)) == _rows(q)
     # a second run with nothing new appends nothing
     build.build_mart_national(spark, wh)
-    assert stored.read(spark, gold).count() == q.count()
+    assert sinks.read_table(spark, gold).count() == q.count()
     # a lookback run rewrites the affected partitions with the same content
-    before = stored.manifest(spark, gold)["parts"]
+    before = _files(spark, gold)
     build.build_mart_national(spark, wh, lookback="3 DAYS")
-    after = stored.manifest(spark, gold)["parts"]
-    assert 0 < sum(before[m] != after[m] for m in after) <= 2
-    assert _rows(stored.read(spark, gold), sorted(q.columns)) == _rows(q)
+    assert 0 < len({p for p, _ in before - _files(spark, gold)}) <= 2
+    assert _rows(sinks.read_table(spark, gold), sorted(q.columns)) == _rows(q)
+    # SQL sessions find every model by name: staging views and the stored models
+    other = spark.newSession()
+    for name, view in zip(("stg_national", "stg_regional"), build.register_views(spark, wh)):
+        df = getattr(build, name)(spark, wh)
+        assert other.sql(f"SELECT * FROM {view}").columns == df.columns
+        assert other.sql(f"SELECT count(*) FROM {view}").first()[0] == df.count()
+        same = other.table(view)._jdf.queryExecution().optimizedPlan().sameResult(df._jdf.queryExecution().optimizedPlan())
+        assert same
+    silver, mart = build.database_of(wh, "silver"), build.database_of(wh, "gold")
+    assert other.sql(f"SELECT count(*) FROM {silver}.int_national i JOIN {mart}.mart_national m USING (date_heure)"
+                     ).first()[0] == q.count()
     # landing again derives the same raw tables
-    n = stored.read(spark, os.path.join(wh, "raw", "national_history")).count()
+    n = build.read(spark, wh, "raw", "national_history").count()
     build.land_raw(spark, sf_small, wh)
-    assert stored.read(spark, os.path.join(wh, "raw", "national_history")).count() == n
+    assert build.read(spark, wh, "raw", "national_history").count() == n
 
 
 def test_raw_tables_are_kept_by_year_and_day(spark, tmp_path, sf_small):
     wh = str(tmp_path / "wh2")
     build.land_raw(spark, sf_small, wh)
-    years = stored.manifest(spark, os.path.join(wh, "raw", "national_history"))["parts"]
-    assert set(years) <= {"none"} | {str(y) for y in range(2016, 2022)} and len(years) > 3
-    days = stored.manifest(spark, os.path.join(wh, "raw", "national_realtime"))["parts"]
+    years = sinks.partitions(spark, build.table_of(spark, wh, "raw", "national_history"))
+    assert years <= {"none"} | {str(y) for y in range(2016, 2022)} and len(years) > 3
+    days = sinks.partitions(spark, build.table_of(spark, wh, "raw", "national_realtime"))
     assert all(len(d) == 10 for d in days)
 
 
+def test_checks_keep_their_failing_rows(spark, tmp_path):
+    """A planted null and a repeated key come back with their keys, from staging itself."""
+    from gridmix.operators import quality
+    stg = spark.createDataFrame([(dt.datetime(2026, 1, 1), 5.0, 1.0), (dt.datetime(2026, 1, 2), None, 2.0),
+                                 (dt.datetime(2026, 1, 3), 1.0, None), (dt.datetime(2026, 1, 3), 2.0, None)],
+                                "date_heure timestamp_ntz, consommation_mw double, taux_co2 double")
+    enriched = stg.select("date_heure", F.lit("Automne").alias("saison"), F.lit("Bleu").alias("indice_vert"),
+                          F.lit(0.5).alias("part_bas_carbone"))
+    models_ = {"stg_national": stg, "int_national": enriched}
+    checks = [c for c in quality.MODEL_CHECKS if c.model in models_]
+    found = quality.failing_rows(models_, build.MODEL_KEYS, checks)
+    got = {(r["model"], r["column_name"], r["test"], json.loads(r["row_key"])["date_heure"][:10]): r["n_rows"]
+           for r in found.collect() if r["model"] == "stg_national"}
+    assert got == {("stg_national", "consommation_mw", "not_null", "2026-01-02"): 1,
+                   ("stg_national", "taux_co2", "not_null", "2026-01-03"): 1,
+                   ("stg_national", "date_heure", "unique", "2026-01-03"): 2}
+    assert _rows(quality.report_of(found, checks)) == _rows(quality.run_checks(models_, checks))
+
+
+def test_check_run_stores_failures(spark, tmp_path, sf_small):
+    wh = str(tmp_path / "whf")
+    build.land_raw(spark, sf_small, wh)
+    build.build_silver(spark, wh)
+    build.build_gold(spark, wh)
+    report = build.check_gold(spark, wh, dt.datetime(2026, 1, 1))
+    assert report.count() == 37 and {r["status"] for r in report.collect()} <= {"pass", "warn"}
+    stored = build.read(spark, wh, "gold", "check_failures")
+    n = sum(r["failures"] for r in report.collect() if r["test"] == "not_null")
+    assert stored.filter("test = 'not_null'").count() == n
+
+
+def test_load_report_comes_from_the_writes_own_pass(spark, tmp_path, monkeypatch):
+    """Neither the batch nor the table is scanned again for the report."""
+    wh = str(tmp_path / "who")
+    files = _exports(tmp_path / "o", [2019, 2020])
+    build.backfill_exports(spark, files, wh, loaded_at=dt.datetime(2026, 1, 1), min_rows=1)
+    scans, tables = [], []
+    read_export, read_table = readers.read_export, sinks.read_table
+
+    def counted(*args):
+        df = read_export(*args)
+        seen = spark.sparkContext.accumulator(0)
+        scans.append(seen)
+
+        def count(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return df.mapInArrow(count, df.schema)
+    monkeypatch.setattr(readers, "read_export", counted)
+    monkeypatch.setattr(sinks, "read_table", lambda *a: tables.append(a) or read_table(*a))
+    rep = build.backfill_exports(spark, _exports(tmp_path / "o2", [2021]), wh, loaded_at=dt.datetime(2026, 1, 2),
+                                 min_rows=1).first()
+    assert [s.value for s in scans] == [3] and tables == []
+    assert (rep["n_rows"], rep["rows_loaded"], rep["rows_without_time"]) == (9, 3, 0)
+    assert (rep["min_date_heure"][:4], rep["max_date_heure"][:4]) == ("2019", "2021")
+    monkeypatch.undo()
+    whole = build.verify_load.__globals__["quality"].load_stats(
+        build.read(spark, wh, "raw", "national_history"), "national_history", "date_heure", 1).first()
+    assert (whole["n_rows"], whole["min_date_heure"], whole["max_date_heure"]) == (
+        rep["n_rows"], rep["min_date_heure"], rep["max_date_heure"])
+
+
 def test_feed_run_after_landing(spark, tmp_path, sf_small):
     """One layout for both writers of a raw real-time table."""
     wh = str(tmp_path / "wh2b")
@@ -90,17 +168,16 @@ def test_stored_mart_follows_the_models_columns(spark, tmp_path, sf_small):
     wh = str(tmp_path / "wh4")
     build.land_raw(spark, sf_small, wh)
     build.build_silver(spark, wh)
-    int_nat = sinks.read_table(spark, os.path.join(wh, "silver", "int_national"))
+    int_nat = build.read(spark, wh, "silver", "int_national")
     full = marts.mart_national(int_nat)
     cutoff = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
     old = full.filter(F.col("date_heure") <= cutoff).drop("part_fossiles") \
         .withColumn("co2_label", F.lit("x"))
-    path = os.path.join(wh, "gold", "mart_national")
+    table = build.table_of(spark, wh, "gold", "mart_national")
     for kind in ("double", "string"):
-        stored.commit(old.withColumn("taux_co2", F.col("taux_co2").cast(kind)), path, build.MART_GRAIN,
-                      mode="overwrite")
+        sinks.rewrite(old.withColumn("taux_co2", F.col("taux_co2").cast(kind)), table, grain=build.MART_GRAIN)
         build.build_mart_national(spark, wh)
-        got = stored.read(spark, path)
+        got = sinks.read_table(spark, table)
         assert sorted(got.columns) == sorted(full.columns)
         assert dict(got.dtypes) == dict(full.dtypes)
         assert got.count() == full.count()
@@ -125,7 +202,7 @@ def _exports(folder, years, hours=3, extra=""):
 
 def test_backfills_add_and_lose_nothing(spark, tmp_path):
     wh = str(tmp_path / "wh6")
-    raw = os.path.join(wh, "raw", "national_history")
+    raw = build.table_of(spark, wh, "raw", "national_history")
     first = _exports(tmp_path / "a", [2019, 2020])
     with open(os.path.join(first, "eco2mix_2020.csv"), "a") as f:
         f.write("bad;1" + ";" * (len(NATIONAL_HISTORY_TEXT) - 2) + "\n")
@@ -137,11 +214,11 @@ def test_backfills_add_and_lose_nothing(spark, tmp_path):
     build.backfill_exports(spark, _exports(tmp_path / "c", [2021], extra="def"), wh, loaded_at=stamp, min_rows=1)
     rep = build.backfill_exports(spark, _exports(tmp_path / "d", [2022], 0), wh, loaded_at=stamp).first()
     assert rep["rows_loaded"] == 0 and rep["n_rows"] == 7 + 1 + 3
-    got = stored.read(spark, raw)
+    got = sinks.read_table(spark, raw)
     assert got.filter("date_heure = 'bad'").count() == 1 and got.filter("nature = 'def'").count() == 3
     build.backfill_exports(spark, _exports(tmp_path / "e", [2019], 2), wh, loaded_at=stamp, min_rows=1, whole_years=True)
-    assert sorted(stored.manifest(spark, raw)["parts"]) == ["2019", "2020", "2021", "none"]
-    assert stored.read(spark, raw, ["2019"]).count() == 2 and stored.read(spark, raw, ["none"]).count() == 1
+    assert sinks.partitions(spark, raw) == {"2019", "2020", "2021", "none"}
+    assert sinks.read_table(spark, raw, ["2019"]).count() == 2 and sinks.read_table(spark, raw, ["none"]).count() == 1
     with pytest.raises(CheckFailed):
         build.backfill_exports(spark, first, wh, loaded_at=stamp)   # 400,000 minimum
 
@@ -178,14 +255,14 @@ def test_backfill_and_feed_run_meet_in_staging(spark, tmp_path):
     rep = build.backfill_exports(spark, _exports(tmp_path / "exports", [2019, 2020]), wh,
                                  loaded_at=dt.datetime(2026, 1, 1), min_rows=6).first()
     assert rep["n_rows"] == 6 and rep["gate_ok"]
-    raw = stored.read(spark, os.path.join(wh, "raw", "national_history"))
+    raw = build.read(spark, wh, "raw", "national_history")
     assert raw.filter("taux_co2 IS NULL").count() == 2 and raw.filter("gaz IS NULL").count() == 6
     landing = tmp_path / "landing"
     landing.mkdir()
     (landing / "r1.json").write_text(json.dumps({"results": [
         {"date_heure": "2026-01-05T10:00:00+01:00", "consommation": 50000.0, "taux_co2": 20.0}]}))
     build.ingest_realtime(spark, str(landing), wh).awaitTermination(120)
-    rt = stored.read(spark, os.path.join(wh, "raw", "national_realtime"))
+    rt = build.read(spark, wh, "raw", "national_realtime")
     assert rt.count() == 1 and rt.first()["_source"] == "eco2mix-national-tr"
     assert build.stg_national(spark, wh).count() == 6 + 1   # without CO2 they are kept
     fresh = build.verify_recent(spark, wh).first()

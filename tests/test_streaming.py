@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmix.functions.cleaning import wall_clock
-from gridmix.sources import stored
-from gridmix.streaming.feed import half_hour_stream, ingest_feed
+from gridmix.sources import sinks
+from gridmix.streaming import feed
+from gridmix.streaming.feed import RejectedResponses, half_hour_stream, ingest_feed, run_feed
 from gridmix.streaming.windows import half_hour_stats
 
 
@@ -17,16 +18,16 @@ def _write(path, records):
         json.dump({"results": records}, f)
 
 
-def test_feed_ingest_is_idempotent(spark, tmp_path):
+def test_feed_ingest_is_idempotent(spark, tmp_path, db):
     landing = tmp_path / "landing"
     landing.mkdir()
-    table, ckpt = str(tmp_path / "raw"), str(tmp_path / "ckpt")
+    table, ckpt = f"{db}.raw", str(tmp_path / "ckpt")
     recs = [{"date_heure": f"2026-01-01T{h:02d}:00:00+01:00", "consommation": 100.0 + h,
              "taux_co2": 20.0 + h} for h in range(5)]
     _write(landing / "a.json", recs)
     q = ingest_feed(spark, str(landing), table, ckpt)
     q.awaitTermination(120)
-    first = sorted(tuple(r) for r in stored.read(spark, table).select(
+    first = sorted(tuple(r) for r in sinks.read_table(spark, table).select(
         "date_heure", "consommation", "taux_co2").collect())
     assert len(first) == 5
     # the next poll re-delivers an overlapping window with one correction
@@ -37,16 +38,16 @@ def test_feed_ingest_is_idempotent(spark, tmp_path):
     q = ingest_feed(spark, str(landing), table, ckpt)
     q.awaitTermination(120)
     rows = {r["wc"].hour: (r["consommation"], r["taux_co2"])
-            for r in stored.read(spark, table).select(
+            for r in sinks.read_table(spark, table).select(
                 wall_clock(F.col("date_heure")).alias("wc"), "consommation", "taux_co2").collect()}
     assert len(rows) == 6 and rows[2] == (102.0, 99.0) and rows[3] == (103.0, 23.0)
     # a rerun with nothing new changes nothing
     q = ingest_feed(spark, str(landing), table, ckpt)
     q.awaitTermination(120)
-    assert stored.read(spark, table).count() == 6
+    assert sinks.read_table(spark, table).count() == 6
 
 
-def test_feed_keeps_instants_and_repeated_autumn_hour(spark, tmp_path):
+def test_feed_keeps_instants_and_repeated_autumn_hour(spark, tmp_path, db):
     """Feed rows are keyed by the instant: the two readings of the repeated
     autumn hour are two raw rows; staging turns them into one wall-clock row."""
     from gridmix.plans import staging
@@ -57,9 +58,9 @@ def test_feed_keeps_instants_and_repeated_autumn_hour(spark, tmp_path):
         {"date_heure": "2024-07-01T13:30:00+02:00", "consommation": 1.0, "taux_co2": 5.0},
         {"date_heure": "2024-10-27T02:30:00+02:00", "consommation": 2.0, "taux_co2": 5.0},
         {"date_heure": "2024-10-27T02:30:00+01:00", "consommation": 3.0, "taux_co2": 5.0}])
-    table = str(tmp_path / "raw")
+    table = f"{db}.raw"
     ingest_feed(spark, str(landing), table, str(tmp_path / "ck")).awaitTermination(120)
-    raw = stored.read(spark, table)
+    raw = sinks.read_table(spark, table)
     assert dict(raw.dtypes)["date_heure"] == "timestamp" and raw.count() == 3
     empty_hist = spark.createDataFrame([], ", ".join(
         f"{c} string" for c in NATIONAL_HISTORY_TEXT) + ", _loaded_at timestamp_ntz")
@@ -90,20 +91,20 @@ def test_half_hour_stream_equals_batch(spark, tmp_path, sf_small):
     assert got.count() > 0
 
 
-def test_empty_response_is_skipped(spark, tmp_path):
+def test_empty_response_is_skipped(spark, tmp_path, db):
     landing = tmp_path / "landing"
     landing.mkdir()
     _write(landing / "empty.json", [])
-    table = str(tmp_path / "raw")
+    table = f"{db}.raw"
     q = ingest_feed(spark, str(landing), table, str(tmp_path / "ck"))
     q.awaitTermination(120)
-    assert not stored.exists(spark, table)          # nothing merged, no table created
+    assert not sinks.exists(spark, table)          # nothing merged, no table created
 
 
-def test_regional_feed_merge_semantics(spark, tmp_path):
+def test_regional_feed_merge_semantics(spark, tmp_path, db):
     landing = tmp_path / "landing_r"
     landing.mkdir()
-    table, ckpt = str(tmp_path / "raw_r"), str(tmp_path / "ckpt_r")
+    table, ckpt = f"{db}.raw_r", str(tmp_path / "ckpt_r")
     base = [{"code_insee_region": "84", "libelle_region": "Auvergne-Rhône-Alpes",
              "date_heure": "2026-01-01T10:00:00+01:00", "consommation": 100.0,
              "thermique": 1.0, "solaire": 5.0},
@@ -116,7 +117,7 @@ def test_regional_feed_merge_semantics(spark, tmp_path):
     again = [dict(base[0], consommation=110.0, thermique=2.0, solaire=9.0), base[1]]
     _write(landing / "b.json", again)
     ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
-    rows = stored.read(spark, table).collect()
+    rows = sinks.read_table(spark, table).collect()
     known = [r for r in rows if r["code_insee_region"] == "84"]
     assert len(known) == 1
     assert (known[0]["consommation"], known[0]["thermique"], known[0]["solaire"]) == (110.0, 2.0, 5.0)
@@ -136,7 +137,7 @@ def test_registered_stream_query_repeats_without_new_folders(spark, sf_small):
     assert [d for d in os.listdir(base) if d.startswith("half-hour-stream-")] == folders
 
 
-def test_two_files_of_one_time_are_ordered_by_name(spark, tmp_path):
+def test_two_files_of_one_time_are_ordered_by_name(spark, tmp_path, db):
     """Object stores stamp whole seconds: file name, then position decide."""
     landing = tmp_path / "same"
     landing.mkdir()
@@ -144,13 +145,13 @@ def test_two_files_of_one_time_are_ordered_by_name(spark, tmp_path):
     for name, value in (("b.json", 3.0), ("a.json", 2.0)):
         _write(landing / name, [dict(one, consommation=-value), dict(one, consommation=value)])
         os.utime(landing / name, (1_767_600_000, 1_767_600_000))
-    table = str(tmp_path / "raw_same")
+    table = f"{db}.raw_same"
     ingest_feed(spark, str(landing), table, str(tmp_path / "ck_same")).awaitTermination(120)
-    assert [r["consommation"] for r in stored.read(spark, table).collect()] == [3.0]
+    assert [r["consommation"] for r in sinks.read_table(spark, table).collect()] == [3.0]
 
 
-def test_one_key_merged_under_two_session_zones_is_one_row(spark, tmp_path):
-    landing, table, ckpt = tmp_path / "zones", str(tmp_path / "raw_z"), str(tmp_path / "ck_z")
+def test_one_key_merged_under_two_session_zones_is_one_row(spark, tmp_path, db):
+    landing, table, ckpt = tmp_path / "zones", f"{db}.raw_z", str(tmp_path / "ck_z")
     landing.mkdir()
     one = {"date_heure": "2026-01-05T23:30:00+00:00", "consommation": 1.0, "taux_co2": 1.0}
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -161,36 +162,81 @@ def test_one_key_merged_under_two_session_zones_is_one_row(spark, tmp_path):
             ingest_feed(spark, str(landing), table, ckpt).awaitTermination(120)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    assert [r["consommation"] for r in stored.read(spark, table).collect()] == [2.0]
+    assert [r["consommation"] for r in sinks.read_table(spark, table).collect()] == [2.0]
 
 
-def test_failed_merge_leaves_the_table_and_replays(spark, tmp_path, monkeypatch):
-    landing, table, ckpt = tmp_path / "crash", str(tmp_path / "raw_c"), str(tmp_path / "ck_c")
+def test_failed_merge_leaves_the_table_and_replays(spark, tmp_path, db, monkeypatch):
+    landing, table, ckpt = tmp_path / "crash", f"{db}.raw_c", str(tmp_path / "ck_c")
     landing.mkdir()
-    base = {"code_insee_region": None, "libelle_region": "x", "consommation": 1.0}
+    base = {"code_insee_region": "84", "libelle_region": "x", "consommation": 1.0}
     _write(landing / "a.json", [dict(base, date_heure="2026-01-05T10:00:00+00:00")])
     ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
-    before = sorted(map(tuple, stored.read(spark, table).collect()), key=str)
-    _write(landing / "b.json", [dict(base, date_heure="2026-01-05T11:00:00+00:00")])
-    switch = stored._switch
-
-    def fail(*_):
-        raise IOError("lost before the switch")
-    monkeypatch.setattr(stored, "_switch", fail)
-    with pytest.raises(Exception):
-        ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
-    assert sorted(map(tuple, stored.read(spark, table).collect()), key=str) == before
-
-    def fail_after(*args):
-        switch(*args)
-        raise IOError("lost after the switch")
-    monkeypatch.setattr(stored, "_switch", fail_after)
-    with pytest.raises(Exception):
-        ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
-    monkeypatch.setattr(stored, "_switch", switch)
-    # the replay finds its micro-batch in the manifest: the row without a key is not inserted twice
+    before = sorted(map(tuple, sinks.read_table(spark, table).collect()), key=str)
+    _write(landing / "b.json", [dict(base, date_heure="2026-01-05T11:00:00+00:00"),
+                                dict(base, date_heure="2026-01-05T10:00:00+00:00", consommation=2.0)])
+    merge = sinks.merge_into
+
+    def fail(*_, **__):
+        raise IOError("lost before the merge")
+
+    def fail_after(*args, **named):
+        merge(*args, **named)
+        raise IOError("lost after the merge")
+    for lost, rows in ((fail, 1), (fail_after, 2)):
+        monkeypatch.setattr(sinks, "merge_into", lost)
+        with pytest.raises(Exception):
+            ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
+        assert sinks.read_table(spark, table).count() == rows
+        if rows == 1:
+            assert sorted(map(tuple, sinks.read_table(spark, table).collect()), key=str) == before
+    once = sorted(map(tuple, sinks.read_table(spark, table).collect()), key=str)
+    monkeypatch.setattr(sinks, "merge_into", merge)
+    # the replay merges the same rows again: nothing changes, load stamps included
     ingest_feed(spark, str(landing), table, ckpt, regional=True).awaitTermination(120)
-    assert stored.read(spark, table).count() == 2
+    assert sorted(map(tuple, sinks.read_table(spark, table).collect()), key=str) == once
+
+
+def test_renewed_checkpoint_loses_no_batch(spark, tmp_path, db):
+    """Batches of a renewed checkpoint are numbered from 0 again; every one is merged."""
+    landing, table, ckpt = tmp_path / "renew", f"{db}.raw_n", tmp_path / "ck_n"
+    landing.mkdir()
+    one = {"date_heure": "2026-01-05T10:00:00+00:00", "consommation": 1.0, "taux_co2": 1.0}
+    for i in range(3):
+        _write(landing / f"{i}.json", [dict(one, date_heure=f"2026-01-05T1{i}:00:00+00:00")])
+        ingest_feed(spark, str(landing), table, str(ckpt)).awaitTermination(120)
+    _write(landing / "9.json", [dict(one, date_heure="2026-01-06T10:00:00+00:00"), dict(one, consommation=7.0)])
+    ingest_feed(spark, str(landing), table, str(tmp_path / "ck_new")).awaitTermination(120)
+    got = {r["date_heure"].isoformat(): r["consommation"] for r in sinks.read_table(spark, table).collect()}
+    assert len(got) == 4 and sorted(got.values()) == [1.0, 1.0, 1.0, 7.0]
+
+
+def test_rejected_responses_are_kept_told_and_loaded_once_mended(spark, tmp_path, db):
+    landing, table, ckpt = tmp_path / "bad", f"{db}.raw_q", str(tmp_path / "ck_q")
+    landing.mkdir()
+    one = {"date_heure": "2026-01-05T10:00:00+00:00", "consommation": 1.0, "taux_co2": 1.0}
+    _write(landing / "good.json", [one])
+    (landing / "cut.json").write_text(json.dumps({"results": [dict(one, date_heure="2026-01-05T11:00:00+00:00")]})[:60])
+    (landing / "foreign.json").write_text('{"error": "busy"}')
+    (landing / "void.json").write_text("")
+    with pytest.raises(RejectedResponses, match="3 responses rejected"):
+        run_feed(spark, str(landing), table, ckpt)
+    assert sinks.read_table(spark, table).count() == 1          # the good one is merged
+    kept = {os.path.basename(r["file"]): (r["reason"], r["body"]) for r in feed.open_rejections(spark, table).collect()}
+    assert {n: r for n, (r, _) in kept.items()} == {
+        "cut.json": "no JSON object", "foreign.json": "no results", "void.json": "empty"}
+    assert kept["foreign.json"][1] == '{"error": "busy"}'
+    with pytest.raises(RejectedResponses, match="3 responses"):      # still there: the next run fails as well
+        run_feed(spark, str(landing), table, ckpt)
+    _write(landing / "cut.json", [dict(one, date_heure="2026-01-05T11:00:00+00:00")])
+    _write(landing / "void.json", [dict(one, consommation=9.0)])
+    with pytest.raises(RejectedResponses, match="1 responses rejected.*foreign"):
+        run_feed(spark, str(landing), table, ckpt)
+    assert sorted(r["consommation"] for r in sinks.read_table(spark, table).collect()) == [1.0, 9.0]
+    os.remove(landing / "foreign.json")
+    run_feed(spark, str(landing), table, ckpt)                    # withdrawn: the run is whole again
+    states = spark.table(feed.quarantine_of(table)).groupBy("status").count().collect()
+    assert {r["status"] for r in states} == {"rejected", "loaded", "withdrawn"}
+    assert sinks.read_table(spark, table).count() == 2
 
 
 def test_stream_query_reads_a_replaced_source_anew(spark, tmp_path, sf_small):
