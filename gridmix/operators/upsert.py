@@ -109,6 +109,36 @@ def upsert(target: DataFrame, batch: DataFrame, spec: MergeSpec,
     return kept.unionByName(fresh.select(*_inserted(target, bcols, spec, stamp)))
 
 
+def upsert_changes(target: DataFrame, batch: DataFrame, spec: MergeSpec,
+                   loaded_at: datetime | Column) -> DataFrame:
+    """What :func:`upsert` changes: a row per updated or inserted row, with ``op``,
+    ``before`` (NULL for an insert) and ``after``, both structs of the target's columns.
+
+    Of the target only rows whose key is in the batch are read into the join's result.
+    """
+    stamp = loaded_at if isinstance(loaded_at, Column) else ntz_of(loaded_at)
+    stamp = stamp.cast(dict(target.dtypes)[spec.stamp_col])
+    bcols, keys = batch.columns, list(spec.keys)
+    b = _prepare_batch(batch, spec)
+    t = target.withColumn("_t", F.lit(True)).alias("t")
+    s = b.withColumn("_s", F.lit(True)).alias("s")
+    updated = t.join(s, _join_cond(spec)).where(_changed(spec)).select(
+        F.lit("update").alias("op"), F.struct(*[F.col(f"t.{c}") for c in target.columns]).alias("before"),
+        F.struct(*_resolved(target.columns, bcols, spec, stamp)).alias("after"))
+    fresh = b.join(target.select(*keys).distinct(), keys, "left_anti").select(
+        *_inserted(target, bcols, spec, stamp))
+    inserted = fresh.select(F.lit("insert").alias("op"),
+                            F.lit(None).cast(updated.schema["before"].dataType).alias("before"),
+                            F.struct(*target.columns).alias("after"))
+    return updated.unionByName(inserted)
+
+
+def changed_keys(changes: DataFrame) -> DataFrame:
+    """``op``, reading time and, where there are any, region of change rows."""
+    after = changes.select("op", "after.*")
+    return after.select("op", "date_heure", *[c for c in ("libelle_region", "code_insee_region") if c in after.columns])
+
+
 def _inserted(target: DataFrame, batch_cols: list[str], spec: MergeSpec,
               stamp: Column) -> list[Column]:
     """Target-shaped row for a batch row that matched nothing."""

@@ -37,6 +37,7 @@ def _load_all() -> None:
     from gridmix.plans import queries_core  # noqa: F401
     from gridmix.plans import queries_ops  # noqa: F401
     from gridmix.plans import queries_bi  # noqa: F401
+    from gridmix.plans import queries_changes  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

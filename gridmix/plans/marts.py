@@ -75,7 +75,10 @@ def mart_patterns(enriched: DataFrame) -> DataFrame:
     The global rank runs first: its single partition (≤ 672 cells) also
     satisfies the per-season window, so no further exchange is planned.
     """
-    cells = pattern_aggregates(enriched)
+    return ranked_patterns(pattern_aggregates(enriched))
+
+
+def ranked_patterns(cells: DataFrame) -> DataFrame:
     ranked = rank_by_season(rank_global(cells))
     return ranked.select(*cells.columns, "rang_heure_par_saison", "rang_global")
 

@@ -68,6 +68,11 @@ def _realtime_wall_clock(raw: DataFrame):
     return F.col("date_heure").cast("timestamp_ntz").alias("date_heure")
 
 
+def realtime_time(raw: DataFrame, *more: str) -> DataFrame:
+    """Reading time of real-time rows as wall clock, and further columns as they are."""
+    return raw.select(_realtime_wall_clock(raw), *more)
+
+
 def clean_national_realtime(raw: DataFrame) -> DataFrame:
     """Real time: typed already; the five exchange columns are padded NULL."""
     return raw.select(

@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from gridmix.operators.upsert import MergeSpec, upsert
+from gridmix.functions.cleaning import ntz_of
+from gridmix.operators.upsert import MergeSpec, changed_keys, upsert, upsert_changes
 
 PART = "_part"
 NO_VALUE = "none"      # readings without a usable time
@@ -234,6 +235,10 @@ def full_refresh(df: DataFrame, table: str, keep: int = KEEP_VERSIONS) -> None:
 
 # ---- merge -----------------------------------------------------------------------
 
+def changes_of(table: str) -> str:
+    return f"{table}_changes"
+
+
 def touched(batch: DataFrame, grain: str, ts: str = "date_heure") -> list[str]:
     """Values of the partitions that hold a row of the batch (one per year or day)."""
     value = partition_value(batch, grain, ts).alias("value")
@@ -246,13 +251,17 @@ def merge_into(spark: SparkSession, table: str, batch: DataFrame, spec: MergeSpe
     """Upsert ``batch`` into the table.
 
     Only partitions holding a batch key are read and rewritten. The list of
-    partition values is the only thing brought to the driver.
+    partition values is the only thing brought to the driver. The keys of what
+    changes are appended to the table's change log first: a merge that is lost
+    after that is replayed and logs them once more, which does no harm.
     """
     ensure_table(spark, table, schema, grain)
     values = touched(batch, grain, ts)
     if not values:
         return
     target = read_table(spark, table, values).select(*schema.fieldNames())
+    keys = changed_keys(upsert_changes(target, batch, spec, loaded_at)).withColumn("at", ntz_of(loaded_at))
+    keys.write.mode("append").saveAsTable(changes_of(table), format="parquet")
     overwrite_partitions(upsert(target, batch, spec, loaded_at), table, ts, grain, evolve=False)
 
 
