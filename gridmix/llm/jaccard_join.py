@@ -51,6 +51,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmix.llm.common import slices, words, written
 from gridmix.llm.components import components
@@ -260,7 +261,7 @@ def classes_and_links(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame,
         pairs = _counted(star.select(F.least("vid", "c_vid").alias("u"), F.greatest("vid", "c_vid").alias("v"),
                                      F.least("l", "c_l").alias("l")))
         found, tried = _extended(found, tried, pairs, docs, classes, n, percent)
-    pairs = _counted(_across(_mixed(shared, components(found)), percent))
+    pairs = _counted(_across(_measured(_mixed(shared, components(found)), percent), percent))
     found, _ = _extended(found, tried, pairs, docs, classes, n, percent)
     return rows, classes, components(found)
 
@@ -278,6 +279,23 @@ def _fits(percent: int) -> Column:
     return (F.lit(100) * small >= F.lit(percent) * large) & within[0] & within[1]
 
 
+def _shared_by(n: Column, m: Column, percent: int) -> Column:
+    """Fewest n-grams that linked sets of n and m share."""
+    return F.ceil(F.lit(percent) * (n + m) / (100 + percent))
+
+
+def _measured(lists: DataFrame, percent: int) -> DataFrame:
+    """Lists with the l, up to the present one, at which a class costs least with partners of its size:
+    a row for each posting that shares a list with it, and a candidate for every l of them."""
+    one = Window.partitionBy("vid")
+    spare = F.col("n") - F.greatest(_shared_by(F.col("n"), F.col("n"), percent), _needed(F.col("n"), percent))
+    others = F.count("*").over(Window.partitionBy("gram")) - 1
+    costs = [F.struct((F.coalesce(F.sum(F.when(F.col("pos") < spare + l, F.col("others"))).over(one), F.lit(0))
+                       * (1 + VERIFY_COST / l)).alias("cost"), F.lit(l).alias("l")) for l in range(1, MAX_MATCHES + 1)]
+    return (lists.withColumn("others", others).withColumn("costs", F.array(*costs))
+            .withColumn("l", F.array_min(F.slice("costs", F.lit(1), F.col("l")))["l"]).drop("costs", "others"))
+
+
 def _across(lists: DataFrame, percent: int) -> DataFrame:
     """(u, v, l) for every n-gram that classes of different components have in common in their
     prefixes for each other's size.
@@ -356,38 +374,64 @@ def _extended(found, tried, pairs, docs, classes, n, percent):
             new if tried is None else tried.union(new))
 
 
-def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
-
-    component_id: smallest doc_id reachable by links, itself included.
-    """
+def _judged(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, digest and root (a component's own number)."""
     rows, classes, comps = classes_and_links(docs, n, percent)
     rooted = (classes.select("vid", "digest", "doc_id")
               .join(comps.withColumnRenamed("node", "vid"), "vid", "left")
               .withColumn("root", F.coalesce("root", "vid")))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(least, "root").select("digest", "component_id")
+    named = rooted.join(least, "root").select("digest", "component_id", "root")
     return (rows.join(named, "digest", "left")
             .select("doc_id", F.col("n_ngrams").alias("n_shingles"),
                     F.when(F.col("digest").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id")))
+                    .otherwise(F.col("component_id")).alias("component_id"), "digest", "root"))
+
+
+def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    component_id: smallest doc_id reachable by links, itself included.
+    """
+    return _judged(docs, n, percent).drop("digest", "root")
+
+
+def _with_digests(docs: DataFrame, n: int) -> DataFrame:
+    """(row, id, text, own): every row whole, as a struct, beside the digest of its set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = ngram_sets(part.column("text"), n)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array([digest(s) for s in sets], pa.binary())], [*part.schema.names, "own"])
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("own", T.BinaryType())]))
 
 
 def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents of whose component another one stays.
+    """``docs`` without the rows of whose component another one stays.
 
-    The smallest doc_id of a component stays. An id names one document: of rows
-    that repeat a doc_id, the one of the smallest text stays. Documents with an
-    empty set, and rows with a null id, all stay.
+    One row of a component stays: that of the smallest doc_id, and of rows that
+    repeat this id within the component the one of the smallest text. Rows that
+    repeat an id with other texts are judged each by its own component. Rows with
+    an empty set, and rows with a null id, all stay.
     """
-    result = written(join(docs, n, percent), "jaccard-result")
-    gone = result.where("component_id < doc_id").select("doc_id").distinct()
+    result = written(_judged(docs, n, percent), "jaccard-result")
+    repeated = (result.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+                .select("doc_id"))
+    gone = (result.where("component_id < doc_id").select("doc_id").distinct()
+            .join(repeated, "doc_id", "left_anti"))
     kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = (result.where("component_id = doc_id and n_shingles > 0")
-                .groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if repeated.isEmpty():
         return kept
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_first("text")))
-    ones = (kept.join(repeated, "doc_id", "left_semi").withColumn("__nth", first)
-            .where("__nth = 1").drop("__nth"))
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(ones.select(*kept.columns))
+    # rows of a repeated id: told apart by their sets
+    own = _with_digests(kept.join(repeated, "doc_id", "left_semi"), n)
+    known = (result.join(repeated, "doc_id", "left_semi").where("digest is not null")
+             .select(F.col("doc_id").alias("id"), F.col("digest").alias("own"), "component_id", "root").distinct())
+    first = F.row_number().over(Window.partitionBy("root").orderBy(F.asc_nulls_first("text")))
+    least = own.join(known.where("component_id = id"), ["id", "own"]).withColumn("nth", first).where("nth = 1")
+    empty = own.where("own is null")
+    return (kept.join(repeated, "doc_id", "left_anti")
+            .unionByName(least.select("row.*")).unionByName(empty.select("row.*")))

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridmix.llm import jaccard_join as jj
 from gridmix.llm.components import components
@@ -78,6 +79,20 @@ def test_representatives(spark):
     assert sorted(r.doc_id for r in jj.representatives(repeated).collect()) == [1, 2]
 
 
+def test_representatives_of_repeated_ids_with_other_texts(spark):
+    """Each component keeps a row, also where the rows of one id are in two of them."""
+    a, b = (" ".join(base(80)) for _ in range(2))
+    texts = [(5, a), (6, a + " tail"), (5, b), (2, b + " tail"), (5, None), (9, a)]
+    docs = documents(spark, [t for _, t in texts], ids=[i for i, _ in texts]).withColumn("own", F.lit(1)) \
+        .withColumn("root", F.lit("x"))
+    got = sorted((r.doc_id, r.text or "") for r in jj.representatives(docs).collect())
+    assert got == sorted([(5, a), (2, b + " tail"), (5, "")])
+    texts = [(5, a), (5, b), (5, a + " tail"), (7, b)]
+    got = sorted(r.text for r in jj.representatives(
+        documents(spark, [t for _, t in texts], ids=[i for i, _ in texts])).collect())
+    assert got == sorted([a, b])          # two components share their smallest id
+
+
 def test_null_ids_and_empty_table(spark):
     near = " ".join(base(80))
     docs = documents(spark, [near, near + " tail", None], ids=[None, 4, None])
