@@ -16,6 +16,7 @@ like the outputs are replaced.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 import struct
 import sys
@@ -138,7 +139,7 @@ class Codec:
         return raw[:ends[-1]], ends
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
 def round_trip(docs: DataFrame, text: str = "text", path: str | None = None,
@@ -151,10 +152,14 @@ def round_trip(docs: DataFrame, text: str = "text", path: str | None = None,
     """
     sc = docs.sparkSession.sparkContext
     tokens = read_ranks(path or public_tokenizers.path(RANKS))
-    shared = sc.broadcast((tokens, serialise_model(tokens), pattern))
-    key = hash((tuple(tokens[-50:]), len(tokens), pattern))
+    model = serialise_model(tokens)
+    shared = sc.broadcast((tokens, model, pattern))
+    key = hashlib.sha256(model + pattern.encode()).hexdigest()
     keep = [c for c in docs.columns if c not in (text, "ids", "decoded")]
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    own = "__text"
+    while own in keep:
+        own += "_"
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(own))
     schema = T.StructType([*(rows.schema[c] for c in keep),
                            T.StructField("ids", T.BinaryType()),
                            T.StructField("decoded", T.BinaryType())])
@@ -162,7 +167,7 @@ def round_trip(docs: DataFrame, text: str = "text", path: str | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codecs.get(key) or _codecs.setdefault(key, Codec(*shared.value))
         for batch in batches:
-            for part, ids, offsets in codec.units.batches(batch, "__text"):
+            for part, ids, offsets in codec.units.batches(batch, own):
                 raw, ends = codec.decode(ids)
                 columns = [part.column(c) for c in keep]
                 columns += [binary_column(ids.astype("<u4", copy=False), offsets * 4),

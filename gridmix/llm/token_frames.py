@@ -73,13 +73,18 @@ PLAIN = re.compile(f"[ ]?[{LETTERS}]+").fullmatch
 
 
 class Encoder:
-    """The tokenizers library over distinct units; special strings are ordinary text."""
+    """The tokenizers library over distinct units.
+
+    Texts that hold one of the tokenizer's added tokens go to the library whole:
+    their strings are single ids there.
+    """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        added = [t["content"] for t in json.loads(definition)["added_tokens"]]
+        self.added = "|".join(map(re.escape, added))
         (self.newline,) = self._ids("\n")
-        self.units = UnitEncoder(self.encode_units, self.encode_texts)
+        self.units = UnitEncoder(self.encode_units, self.encode_texts, self.added)
         parts = json.loads(definition)["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parts["merges"]]
         # the same model without its cache of words: units come once

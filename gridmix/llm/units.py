@@ -43,9 +43,11 @@ class UnitEncoder:
     irregular texts; both return the ids of each as bytes.
     """
 
-    def __init__(self, encode_units: Encode, encode_texts: Encode):
+    def __init__(self, encode_units: Encode, encode_texts: Encode, whole: str = ""):
+        """``whole``: pattern of further texts that are encoded whole."""
         self.encode_units = encode_units
         self.encode_texts = encode_texts
+        self.irregular = f"{IRREGULAR}|{whole}" if whole else IRREGULAR
         self.memo: dict[str, bytes] = {}
 
     def _ids_of(self, units: list[str]) -> list[bytes]:
@@ -64,7 +66,7 @@ class UnitEncoder:
         """(ids, offsets): text i (null: empty) has ids[offsets[i]:offsets[i + 1]]."""
         texts = pc.fill_null(texts, "")
         n = len(texts)
-        odd = pc.match_substring_regex(texts, IRREGULAR)
+        odd = pc.match_substring_regex(texts, self.irregular)
         marked = pc.replace_substring_regex(texts, WORD_END, rf"\1 {MARK}\2\3")
         marked = pc.replace_substring(marked, "\n", f" {MARK}\n {MARK}")
         marked = pc.binary_join_element_wise(MARK, marked, "")

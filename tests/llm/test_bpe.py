@@ -74,3 +74,9 @@ def test_ranks_with_a_gap_are_refused(tmp_path):
     (tmp_path / "r").write_text("YQ== 0\nYg== 2\n")
     with pytest.raises(ValueError):
         bpe.read_ranks(str(tmp_path / "r"))
+
+
+def test_columns_named_like_its_own_are_kept(spark):
+    docs = spark.createDataFrame([(1, "a b", "mine", 7)], "doc_id long, text string, __text string, ids int")
+    (row,) = bpe.round_trip(docs).collect()
+    assert (row["__text"], bytes(row["decoded"])) == ("mine", b"a b") and len(row["ids"]) % 4 == 0

@@ -32,7 +32,7 @@ def documents():
 def test_all_are_registered():
     names = set(E.queries())
     assert set(queries.queries()) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -62,7 +62,6 @@ def test_op1(spark, documents):
 
 def test_op4(spark, documents):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     got, at = {r.doc_id: r for r in queries.op4_token_frames(spark, SF).collect()}, 0
     for i, text in zip(documents.doc_id, documents.text):
         ids = tokenizer.encode(text, add_special_tokens=False).ids + [2]
@@ -144,3 +143,19 @@ def test_pipeline_on_awkward_documents(spark):
         for name, stage in corpus_pipeline.STAGES:
             frame = corpus_pipeline.written(stage(spark, frame, SF), f"awkward-{name}")
             frame.collect()
+
+
+def test_op12(spark):
+    from .test_conversations import plain, plain_damage
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    got = {r[0]: tuple(r[1:]) for r in queries.op12_conversation_repair(spark, SF).collect()}
+    assert got == plain(rows, plain_damage(rows))
+
+
+def test_op13(spark, documents):
+    from .test_packing import check
+    texts = dict(zip(documents.doc_id.tolist(), documents.text))
+    rows = queries.op13_best_fit(spark, SF).collect()
+    n = check(rows, texts)
+    assert n <= sum(r.length for r in rows) // 4096 + 2
