@@ -33,12 +33,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch at about SLICE_BYTES of text; a single longer text stays whole."""
+def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch at about ``most`` bytes of text; a single longer text stays whole."""
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    cut = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    cut = np.cumsum(sizes, dtype=np.int64) // most
     starts = np.flatnonzero(np.diff(cut, prepend=-1))
     for begin, end in zip(starts, [*starts[1:], batch.num_rows]):
         yield batch.slice(begin, end - begin)

@@ -30,7 +30,8 @@ IRREGULAR = rf"^[{WHITE}]|[{WHITE}]\z|[{WHITE}][{WHITE}]|\x02"
 WORD_END = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)([ \n]|\z)"
 MARK = "\x02"  # begins a unit that has no space before it
 
-MAX_MEMO = 1 << 19  # units kept per Python worker; the memo starts anew beyond
+MAX_MEMO = 1 << 18  # units kept per Python worker; the memo starts anew beyond
+UNIT_BYTES = 2 << 20  # of text in work at once: its units take several times as much memory
 
 Encode = Callable[[list[str]], list[bytes]]
 
@@ -97,5 +98,5 @@ class UnitEncoder:
     def batches(self, batch: pa.RecordBatch, text: str,
                 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         """(slice, ids, offsets) for the slices of a batch."""
-        for part in slices(batch, text):
+        for part in slices(batch, text, UNIT_BYTES):
             yield part, *self.texts(part.column(text))
