@@ -6,8 +6,7 @@ queries get 0 there, after scaling to that norm).
 
 * Centroids: a documented, bounded sample (SAMPLE vectors by hash order) is cut
   in halves, again and again, at the median of the difference of distances to
-  two means, until a cell stands for about LIST_SIZE vectors (the root of their
-  number, if that is less): balanced cells.
+  two means, until a cell stands for about LIST_SIZE vectors: balanced cells.
 * Posting lists: every vector goes to its nearest centroid, and a boundary
   vector also to the up to REPLICAS - 1 next ones that are at most
   (1 + REPLICA_RATIO) times as far, or the ratio by which a share of BOUNDARY of
@@ -24,8 +23,10 @@ queries get 0 there, after scaling to that norm).
 * Scan: neighbouring lists make a group of about BLOCK vectors. A query goes once
   to each group it has lists in, a vector once to each group it is listed in, and
   there only the chosen lists are scored. A group or a query set of any size is
-  split in blocks; each block keeps the best of each query, and the best overall
-  are ranked on the original vectors in double precision.
+  split in blocks; each block keeps the best of each query. The group of the
+  nearest list comes first: its k + 1 best set a bound, and of the other groups
+  only what reaches it is kept. The best overall are ranked on the original
+  vectors in double precision.
 
 Equal vectors are one class: its k + 1 smallest ids are all that can be in a
 result of k, as ties go to the smaller id; and equal queries are searched once.
@@ -68,7 +69,7 @@ ENTRIES = 16           # centroids the search starts from
 BEAM = 64              # steps without progress that end the search
 WAVE = 32              # centroids that a query steps on at once
 AT_ONCE = 128          # queries that search together
-BLOCK = 4096           # classes of a group of lists, or queries, in one block
+BLOCK = 8192           # classes of a group of lists, or queries, in one block
 
 
 # --- centroids and their graph ------------------------------------------------
@@ -233,8 +234,8 @@ def _classes(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _scan(queries: np.ndarray, qids: np.ndarray, chosen: list, vectors: np.ndarray, cids: np.ndarray,
-          homes: list, k: int) -> pd.DataFrame:
-    """Scores of each query's k best in its chosen lists; ties at the border stay.
+          homes: list, bounds: np.ndarray, k: int) -> pd.DataFrame:
+    """Scores of each query's k best in its chosen lists, from its bound on; ties at the border stay.
 
     ``chosen``: lists of each query, ``homes``: lists of each vector. A vector in
     several chosen lists is one candidate.
@@ -255,6 +256,7 @@ def _scan(queries: np.ndarray, qids: np.ndarray, chosen: list, vectors: np.ndarr
                 scored[cell] = True
         border = (np.partition(rough, -k, axis=1)[:, -k] if rough.shape[1] > k
                   else np.full(len(some), -np.inf))
+        border = np.maximum(border, bounds[begin:begin + 256])
         # a little below, as the order of sums differs between blocks
         slack = 1e-9 * np.maximum(np.abs(border), 1e-300)
         q, v = np.nonzero(scored & (rough >= np.where(np.isfinite(border), border - slack, border)[:, None]))
@@ -267,9 +269,11 @@ def _scan(queries: np.ndarray, qids: np.ndarray, chosen: list, vectors: np.ndarr
 def _in_blocks(queries: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     """(qid, cid, score): candidates of queries (qid, vector, part, lists) in vectors (cid, embedding, part, lists).
 
-    ``part``: a group of lists. Both sides of a part are cut in blocks of about
+    Queries may have a ``bound`` that scores must reach. ``part``: a group of lists. Both sides of a part are cut in blocks of about
     BLOCK rows; every pair of blocks is one task's work.
     """
+    if "bound" not in queries.columns:
+        queries = queries.withColumn("bound", F.lit(float("-inf")))
     spread = {}
     for name, side in (("v", lists), ("q", queries)):
         sizes = side.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"n_{name}"))
@@ -278,7 +282,7 @@ def _in_blocks(queries: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     number = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     left = (queries.join(counts, "part").withColumn("qb", number("qid", "n_q"))
             .withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("n_v") - 1)))
-            .select("part", "qb", "vb", "qid", "vector", "lists"))
+            .select("part", "qb", "vb", "qid", "vector", "lists", "bound"))
     right = (lists.join(counts, "part").withColumn("vb", number("cid", "n_v"))
              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("n_q") - 1)))
              .select("part", "qb", "vb", "cid", "embedding", "lists"))
@@ -287,7 +291,8 @@ def _in_blocks(queries: DataFrame, lists: DataFrame, k: int) -> DataFrame:
         if not len(q) or not len(v):
             return pd.DataFrame({"qid": [], "cid": [], "score": []})
         return _scan(_matrix(q["vector"]), q["qid"].to_numpy(), list(q["lists"]),
-                     _matrix(v["embedding"]), v["cid"].to_numpy(), list(v["lists"]), k)
+                     _matrix(v["embedding"]), v["cid"].to_numpy(), list(v["lists"]),
+                     q["bound"].to_numpy(np.float64), k)
 
     keys = ["part", "qb", "vb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
@@ -306,7 +311,8 @@ def parts_of(sizes: np.ndarray) -> np.ndarray:
 
 def _by_part(key: np.ndarray, vectors: np.ndarray, lists: list, parts: np.ndarray,
              names: tuple[str, str]) -> Iterator[pd.DataFrame]:
-    """A row for each part that a row's lists lie in, with its lists there."""
+    """A row for each part that a row's lists lie in, with its lists there; home: the first list's part."""
+    home = parts[np.array([x[0] for x in lists], np.int64)]
     row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     some = np.concatenate(lists).astype(np.int64)
     order = np.lexsort((some, parts[some], row))
@@ -316,6 +322,7 @@ def _by_part(key: np.ndarray, vectors: np.ndarray, lists: list, parts: np.ndarra
     for begin in range(0, len(first), 4096):
         a, b = first[begin:begin + 4096], ends[begin:begin + 4096]
         yield pd.DataFrame({names[0]: key[row[a]], names[1]: vectors[row[a]], "part": parts[some[a]],
+                            "home": parts[some[a]] == home[row[a]],
                             "lists": [some[i:j] for i, j in zip(a, b)]})
 
 
@@ -379,8 +386,7 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 20, vec_id: str =
     sample = _mapped(np.array([r.embedding for r in classes.select("cid", "embedding")
                                .orderBy(F.xxhash64("cid"), "cid").limit(n_sample).select("embedding").collect()]),
                      largest)
-    per_list = min(LIST_SIZE, math.isqrt(size))
-    n_lists = max(1, min(MAX_CENTROIDS, size // per_list, len(sample) // SAMPLE_CELL))
+    n_lists = max(1, min(MAX_CENTROIDS, size // LIST_SIZE, len(sample) // SAMPLE_CELL))
     centroids = balanced_centroids(sample, -(-len(sample) // n_lists))
     graph = spark.sparkContext.broadcast(CentroidGraph(centroids))
     replica_ratio = boundary_ratio(sample, centroids)
@@ -421,10 +427,15 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 20, vec_id: str =
                 yield from _by_part(some["qid"].to_numpy(), some["vector"].to_numpy(), chosen,
                                     parts, ("qid", "vector"))
 
-    asking = written(distinct.mapInPandas(choose, "qid long, vector array<double>, part long, lists array<int>"),
+    asking = written(distinct.mapInPandas(choose, "qid long, vector array<double>, part long, home boolean, lists array<int>"),
                      "ann-chosen")
-    listed = lists.mapInPandas(place, "cid long, embedding array<double>, part long, lists array<int>")
-    pairs = _in_blocks(asking, listed, k + 1)
+    listed = written(lists.mapInPandas(place, "cid long, embedding array<double>, part long, home boolean, lists array<int>"),
+                     "ann-parts")
+    nearby = written(_in_blocks(asking.where("home"), listed, k + 1), "ann-nearby")
+    last = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score")))
+    bounds = nearby.withColumn("nth", last).where(F.col("nth") == k + 1).select("qid", F.col("score").alias("bound"))
+    others = asking.where("not home").join(bounds, "qid", "left").fillna(float("-inf"), ["bound"])
+    pairs = nearby.unionByName(_in_blocks(others, listed, k + 1))
     found = written(_ranked(pairs, classes, k), "ann-found")
 
     # fewer found than there are: search these queries exactly

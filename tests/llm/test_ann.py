@@ -116,17 +116,20 @@ def test_recall_at_hundreds_of_lists(spark, monkeypatch, centres, noise):
         assert seen[0][2] < 1000
 
 
-@pytest.mark.parametrize("size, most, whole", [(500, 0.85, 0.2), (6000, 0.75, 0.0)])
+@pytest.mark.parametrize("size, most, whole", [(500, 0.9, 0.3), (6000, 0.75, 0.0)])
 def test_results_come_from_lists_at_every_size(spark, monkeypatch, size, most, whole):
     """Of vectors without structure too; replicas count once. ``whole``: share of queries that may open all lists."""
     some = np.random.default_rng(11)
     x = some.normal(size=(size, 64))
     x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32).astype(np.float64)
+    monkeypatch.setattr(ann, "BLOCK", 512)  # several parts
     calls, real = [], ann._in_blocks
     monkeypatch.setattr(ann, "_in_blocks", lambda *a: calls.append(a) or real(*a))
     got = ann.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), "vec_id % 20 = 0", k=20).collect()
-    assert len(calls) == 2  # the probes of the ratio, and the lists; no query came out short
-    queries, lists, _ = calls[1]
+    # the probes of the ratio, the nearest lists' parts, the other parts; no query came out short
+    assert len(calls) == 3
+    queries = calls[1][0].select("qid", "part", "lists").unionByName(calls[2][0].select("qid", "part", "lists"))
+    lists = calls[1][1]
     each = [side.select(key, "part", F.explode("lists").alias("list")) for side, key in ((queries, "qid"), (lists, "cid"))]
     read = [r.n for r in each[0].join(each[1], ["part", "list"]).groupBy("qid")
             .agg(F.countDistinct("cid").alias("n")).collect()]
@@ -151,9 +154,11 @@ def test_queries_that_search_together_find_the_same():
     assert [c.tolist() for c, _ in lone.search(queries[:3], 0.1)] == [[0]] * 3
 
 
-def test_parts_of_neighbouring_lists():
+def test_parts_of_neighbouring_lists(monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 4096)
     assert ann.parts_of(np.array([4000, 96, 1, 9000, 0, 5])).tolist() == [0, 0, 1, 1, 3, 3]
     vectors = np.array([np.array([1.0]), None], object)
     rows = list(ann._by_part(np.array([7, 8]), vectors, [np.array([3, 0]), np.array([1])],
                              np.array([0, 0, 1, 1]), ("qid", "vector")))
-    assert [(r.qid, r.part, r.lists.tolist()) for r in rows[0].itertuples()] == [(7, 0, [0]), (7, 1, [3]), (8, 0, [1])]
+    assert [(r.qid, r.part, r.home, r.lists.tolist()) for r in rows[0].itertuples()] == [
+        (7, 0, False, [0]), (7, 1, True, [3]), (8, 0, True, [1])]
