@@ -8,8 +8,9 @@ headers merged with those of the 304.
 As-of join: records are keyed by canonical URL and cut into spans of time. Within
 a span the latest earlier response is a running maximum; for the first revisits
 of a span it comes from a table with one row per URL and span that had a
-response. So a URL with any share of all records is split by time, and only ids
-and validators are sorted; headers and payloads join the result by record id.
+response. So a URL with any share of all records is split by time, and only ids,
+validators and digests are sorted; headers and payloads join the resolved rows by
+record id and digest. Revisits that stay unresolved take no part in that join.
 
 Validators: if the 304 has an ETag, it must equal the response's (weakly: without
 W/); else if it has a Last-Modified, that must equal; else there is nothing to
@@ -17,9 +18,11 @@ check and the revisit stays unresolved. Headers: those of the 304 replace the
 response's, but for names that describe the stored payload or the connection.
 
 Edge cases: records at the very time of the revisit are not earlier; of several
-responses at one time the largest record id counts; a null URL or time matches
-nothing; null headers are empty; a record id names one record: revisit rows that
-repeat one are resolved each, rows of a null id are left out; other columns are
+responses at one time the largest record id counts, and of rows that repeat an id
+the one with the largest validators, then digest; a null URL or time matches
+nothing; null headers are empty; rows that repeat a record id, with equal contents
+or others, are resolved each with its own headers, and a stored response gives
+headers and payload of one row; rows of a null id are left out; other columns are
 ignored.
 
 DataFrame functions only.
@@ -30,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridmix.llm.common import written
+
 SPAN = 86_400  # seconds
 
 # header names that a 304 may not replace (fixed values of the HTTP caching rules)
@@ -64,6 +69,12 @@ def _header(name: str) -> Column:
     return F.element_at("headers", F.lit(name))
 
 
+def _content() -> Column:
+    """Digest of a row's headers and payload: rows of one id and digest are interchangeable."""
+    lines = F.to_json(F.array_sort(F.map_entries("headers")))
+    return F.md5(F.concat_ws("\n", lines, F.md5("payload")))
+
+
 def merged_headers(stored: Column, fresh: Column) -> Column:
     """Headers of a stored response updated by those of a 304 (names in lower case)."""
     allowed = F.map_filter(fresh, lambda k, _: ~k.isin(*NOT_MERGED))
@@ -83,11 +94,12 @@ def resolve(records: DataFrame, span: int = SPAN) -> DataFrame:
     keyed = records.select(
         "record_id", canonical_url(F.col("url")).alias("canonical_url"), "ts", "kind",
         F.coalesce("headers", no_headers).alias("headers"), "payload").where("record_id is not null")
-    light = keyed.select("record_id", "canonical_url", "ts", "kind",
+    keyed = keyed.withColumn("content", _content())
+    light = keyed.select("record_id", "canonical_url", "ts", "kind", "content",
                          _strong(_header("etag")).alias("etag"), _header("last-modified").alias("modified"),
                          F.floor(F.col("ts") / span).alias("span"))
     able = light.where("canonical_url is not null and ts is not null")
-    full = F.struct("ts", "record_id", "etag", "modified")
+    full = F.struct("ts", "record_id", "etag", "modified", "content")
     response = F.when(F.col("kind") == "response", full)
     earlier = (Window.partitionBy("canonical_url", "span").orderBy("ts")
                .rangeBetween(Window.unboundedPreceding, -1))
@@ -105,18 +117,28 @@ def resolve(records: DataFrame, span: int = SPAN) -> DataFrame:
     status = (F.when(F.col("hit").isNull(), NOT_FOUND).when(same.isNull(), NO_VALIDATOR)
               .when(same, RESOLVED).otherwise(MISMATCH))
     columns = ["record_id", "canonical_url", "ts"]
-    judged = (hits.select(*columns, status.alias("status"), F.col("hit.record_id").alias("source_id"))
-              .unionByName(lost.select(*columns, F.lit(NOT_FOUND).alias("status"),
-                                       F.lit(None).cast("long").alias("source_id"))))
-    fresh = keyed.where("kind = 'revisit'").select("record_id", F.col("headers").alias("fresh")).dropDuplicates(["record_id"])
-    stored = keyed.where("kind = 'response'").select(
-        F.col("record_id").alias("stored_id"), F.col("headers").alias("stored"), F.col("payload").alias("body")).dropDuplicates(["stored_id"])
-    wanted = F.when(F.col("status") == RESOLVED, F.col("source_id"))
-    return (judged.join(fresh, "record_id").withColumn("wanted", wanted)
-            .join(stored, F.col("wanted") == F.col("stored_id"), "left")
-            .select(*columns, "status", "source_id",
-                    F.when(F.col("stored_id").isNotNull(), merged_headers(F.col("stored"), F.col("fresh")))
-                    .alias("headers"), F.col("body").alias("payload")))
+    none = F.lit(None).cast("long"), F.lit(None).cast("string")
+    # written: the resolved and the other rows come from one pass
+    judged = written(hits.select(*columns, "content", status.alias("status"), F.col("hit.record_id").alias("source_id"),
+                                 F.col("hit.content").alias("source_content"))
+                     .unionByName(lost.select(*columns, "content", F.lit(NOT_FOUND).alias("status"),
+                                              none[0].alias("source_id"), none[1].alias("source_content"))),
+                     "revisits-judged")
+    fresh = (keyed.where("kind = 'revisit'").select("record_id", "content", F.col("headers").alias("fresh"))
+             .dropDuplicates(["record_id", "content"]))
+    stored = (keyed.where("kind = 'response'")
+              .select(F.col("record_id").alias("source_id"), F.col("content").alias("source_content"),
+                      F.col("headers").alias("stored"), F.col("payload").alias("body"))
+              .dropDuplicates(["source_id", "source_content"]))
+    resolved = (judged.where(F.col("status") == RESOLVED).join(fresh, ["record_id", "content"])
+                .join(stored, ["source_id", "source_content"])
+                .select(*columns, "status", "source_id",
+                        merged_headers(F.col("stored"), F.col("fresh")).alias("headers"),
+                        F.col("body").alias("payload")))
+    others = judged.where(F.col("status") != RESOLVED).select(
+        *columns, "status", "source_id", F.lit(None).cast("map<string,string>").alias("headers"),
+        F.lit(None).cast(keyed.schema["payload"].dataType).alias("payload"))
+    return resolved.unionByName(others)
 
 
 # --- records derived from the pages table ------------------------------------
@@ -155,7 +177,7 @@ def crawl(pages: DataFrame) -> DataFrame:
         F.lit("revisit").alias("kind"),
         F.map_concat(F.create_map(F.lit("date"), later.cast("string"), F.lit("content-length"), F.lit("0"),
                                   F.lit("x-cache"), F.lit("hit")), validators).alias("headers"),
-        F.lit(None).cast("string").alias("payload"))
+        F.lit(None).cast(keyed.schema["payload"].dataType).alias("payload"))
     return first.unionByName(again)
 
 

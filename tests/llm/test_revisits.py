@@ -75,3 +75,26 @@ def test_repeated_rows_and_empty_table(spark):
     assert rv.resolve(table.where("kind = 'response'")).count() == 0
     pages = spark.createDataFrame([(1, None, None), (None, "http://a.example", "x")], "page_id long, url string, html string")
     assert [(r.record_id, r.status) for r in rv.report(rv.resolve(rv.crawl(pages))).collect()] == [(3, rv.NOT_FOUND)]
+
+
+def test_rows_that_repeat_an_id_keep_their_own_headers(spark):
+    u = "http://h.example/x"
+    rows = [(1, u, 10, "response", {"etag": "a", "x": "old"}, "p10"), (1, u, 20, "response", {"etag": "b", "x": "new"}, "p20"),
+            (2, u, 15, "revisit", {"etag": "a", "date": "d1"}, None), (2, u, 30, "revisit", {"etag": "b", "date": "d2"}, None),
+            (2, u, 30, "revisit", {"etag": "b", "date": "d2"}, None), (2, u, 5, "revisit", {"etag": "a"}, None),
+            (3, u, 40, "response", {"etag": "c"}, "first"), (3, u, 40, "response", {"etag": "c"}, "second"),
+            (4, u, 50, "revisit", {"etag": "c"}, None)]
+    got = rv.resolve(spark.createDataFrame(rows, RECORDS)).collect()
+    assert sorted((r.record_id, r.ts, r.status, (r.headers or {}).get("date"), (r.headers or {}).get("x"), r.payload)
+                  for r in got if r.record_id == 2) == [
+        (2, 5, rv.NOT_FOUND, None, None, None), (2, 15, rv.RESOLVED, "d1", "old", "p10"),
+        (2, 30, rv.RESOLVED, "d2", "new", "p20"), (2, 30, rv.RESOLVED, "d2", "new", "p20")]
+    last = [r for r in got if r.record_id == 4]
+    assert len(last) == 1 and last[0].payload in ("first", "second")
+
+
+def test_unresolved_revisits_join_nothing(spark):
+    u = "http://h.example/x"
+    rows = [(1, u, 10, "response", {"etag": "a"}, "p")] + [(i, None, i, "revisit", {"etag": "a"}, None) for i in range(2, 300)]
+    got = rv.resolve(spark.createDataFrame(rows, RECORDS))
+    assert got.where("status = 'not_found' and source_id is null and headers is null and payload is null").count() == 298
