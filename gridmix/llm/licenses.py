@@ -146,21 +146,46 @@ def _sql_canonical(text: str) -> str:
     return f"sha256({c})"
 
 
-_VALUES = ",\n  ".join(f"({_sql_text(name)}, {_sql_text(text)})"
-                       for name, some in TEXTS.items() for text in some)
-
-SQL = f"""
-WITH texts(license_id, text) AS (VALUES
-  {_VALUES}),
-known AS (SELECT {_sql_canonical('text')} AS digest, min(license_id) AS license_id
+def _sql_reserved(text: str) -> str:
+    return f"regexp_replace({text}, {_sql_text(RESERVED)}, '', 'g')"
+
+
+def _sql_rows(texts: dict[str, list[str]]) -> str:
+    return ",\n  ".join(f"({_sql_text(name)}, {_sql_text(text)})" for name, some in texts.items() for text in some)
+
+
+def sql() -> str:
+    """The scan of ``documents``; the folder's texts are stated whole and cut in SQL."""
+    whole = {name: some[:1] for name, some in full_texts().items()}
+    end = "END OF TERMS AND CONDITIONS"
+    return f"""
+WITH stated(license_id, text) AS (VALUES
+  {_sql_rows(TEXTS)}),
+folder(license_id, text) AS (VALUES
+  {_sql_rows(whole)}),
+cut AS (SELECT license_id, text, strpos(text, '{end}') AS until FROM folder),
+parts AS (
+  SELECT license_id, text FROM cut
+  UNION ALL SELECT license_id, substr(text, 1, until + {len(end) - 1}) FROM cut WHERE until > 0
+  UNION ALL SELECT license_id, substr(text, 1, until - 1) FROM cut WHERE until > 0),
+headed AS (SELECT license_id, text, strpos(text, chr(10) || chr(10)) AS h FROM parts),
+bare AS (
+  SELECT license_id, substr(text, h + 2) AS text FROM headed
+  WHERE h BETWEEN 1 AND 100 AND length(text) - h - 1 > 100),
+texts AS (SELECT * FROM stated UNION ALL SELECT * FROM parts UNION ALL SELECT * FROM bare),
+known AS (SELECT {_sql_canonical(_sql_reserved('text'))} AS digest, min(license_id) AS license_id
           FROM texts GROUP BY 1),
-docs AS (SELECT row_number() OVER () AS k, doc_id, text, {_sql_canonical('text')} AS digest FROM documents),
+docs AS (SELECT row_number() OVER () AS k, doc_id, text, {_sql_canonical('text')} AS digest,
+                {_sql_canonical(_sql_reserved('text'))} AS sought FROM documents),
 lines AS (SELECT k, unnest(string_split(text, chr(10))) AS line FROM docs),
 hits AS (
   SELECT k, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
   FROM (SELECT k, {_sql_canonical('line')} AS digest FROM lines
-        WHERE contains(translate(line, '{UPPER}', '{LOWER}'), 'licen')) l
+        WHERE regexp_matches(translate(line, '{UPPER}', '{LOWER}'), {_sql_text('|'.join(marks(all_texts())))})) l
   JOIN known USING (digest) GROUP BY k)
 SELECT doc_id, docs.digest, license_id, notices
-FROM docs LEFT JOIN known ON known.digest = docs.digest LEFT JOIN hits USING (k)
+FROM docs LEFT JOIN known ON known.digest = docs.sought LEFT JOIN hits USING (k)
 """
+
+
+SQL = sql()

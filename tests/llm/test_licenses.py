@@ -1,5 +1,7 @@
 import re
 
+import duckdb
+
 from gridmix.llm import licenses
 from gridmix.llm.license_texts import MIT, TEXTS
 
@@ -63,3 +65,18 @@ def test_full_texts_and_reserved_rights(spark):
     # a text of one line without the letters of "licen"
     isc = "prose\n" + " ".join(TEXTS["ISC"][1].partition("\n\n")[2].split()) + "\nprose"
     assert scanned(spark, [isc])[0] == (None, "ISC")
+
+
+def test_sql_knows_what_the_scan_knows(spark):
+    full = licenses.full_texts()
+    texts = [t for some in full.values() for t in some] + [t for some in TEXTS.values() for t in some]
+    texts += ["x\n" + " ".join(t.split()) for t in texts] + [t + "\nmore" for t in texts] + [None, "", "\n"]
+    texts += [TEXTS["MIT"][0].replace("\n\nPermission", "\n * ALL RIGHTS RESERVED\n\nPermission"),
+              "All rights reserved.", "a\n -- all Rights reserved --\nb\nLicensed under the MIT License"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = sorted(con.execute(licenses.SQL).fetchall())
+    got = sorted((r.doc_id, r.digest, r.license_id, r.notices) for r in licenses.scan(documents(spark, texts)).collect())
+    assert got == want
+    assert {name for _, _, name, _ in got} >= set(full)
