@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with as many underscores as none of the columns, in whatever case, is named."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
     path = shared_path(df.sparkSession, name)

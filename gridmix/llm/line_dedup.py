@@ -14,7 +14,7 @@ independent hashes (96 bits) after a partial count in each task.
 Edge cases: a null text stays null and has no lines but counts as a page; blank
 lines are never boilerplate; pages of a null host are one host; repeated rows
 count as pages each; a page of which every line goes has an empty text; columns
-named like the helper columns are kept apart by their ``__`` prefix.
+named like a helper column are kept, as the helper takes another name.
 
 DataFrame functions only.
 """
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import written
+from gridmix.llm.common import unused, written
 
 MAX_RATIO = 0.1
 MIN_PAGES = 5
@@ -60,22 +60,23 @@ def boilerplate(pages: DataFrame, host: str, text: str,
 def clean(pages: DataFrame, host: str = "source", text: str = "text",
           max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` with boilerplate lines dropped from ``text``; adds n_lines, n_dropped (long)."""
-    # written first: its size is then known, and a small table never makes the texts move
-    drop = written(boilerplate(pages, host, text, max_ratio, min_pages),
-                   "boilerplate").withColumnRenamed("__host", "__of")
     columns = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    joined = (pages.select(*columns)
-              .join(drop, F.col(host).eqNullSafe(F.col("__of")), "left")
-              .withColumn("__lines", _lines(F.col(text))))
-    kept = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(F.filter(
-        F.col("__lines"),
-        lambda line: F.coalesce(~F.array_contains(F.col("__drop"), _key(line)), F.lit(True))))
-    out = joined.withColumn("__kept", kept)
-    n, left = (F.coalesce(F.size(c), F.lit(0)).cast("long") for c in ("__lines", "__kept"))
+    of, drop, lines, kept = (unused(pages.columns, name) for name in ("__of", "__drop", "__lines", "__kept"))
+    # written first: its size is then known, and a small table never makes the texts move
+    dropped = (written(boilerplate(pages, host, text, max_ratio, min_pages), "boilerplate")
+               .withColumnsRenamed({"__host": of, "__drop": drop}))
+    joined = (pages.select(*[F.col(f"`{c}`") for c in columns])
+              .join(dropped, F.col(host).eqNullSafe(F.col(of)), "left")
+              .withColumn(lines, _lines(F.col(text))))
+    rest = F.when(F.col(drop).isNull(), F.col(lines)).otherwise(F.filter(
+        F.col(lines),
+        lambda line: F.coalesce(~F.array_contains(F.col(drop), _key(line)), F.lit(True))))
+    out = joined.withColumn(kept, rest)
+    n, left = (F.coalesce(F.size(c), F.lit(0)).cast("long") for c in (lines, kept))
     return (out.withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(n).cast("long"))
             .withColumn("n_dropped", F.when(F.col(text).isNull(), 0).otherwise(n - left).cast("long"))
-            .withColumn(text, F.array_join("__kept", "\n"))
-            .select(*columns, "n_lines", "n_dropped"))
+            .withColumn(text, F.array_join(kept, "\n"))
+            .select(*[F.col(f"`{c}`") for c in columns], "n_lines", "n_dropped"))
 
 
 SQL = f"""

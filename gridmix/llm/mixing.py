@@ -17,7 +17,8 @@ rows of one id and source have the same number of copies and lie in any order
 among themselves; sources without a given target have weight 0 and vanish; a
 source named in the targets without documents is left out and the remaining
 targets are rescaled; null or empty texts are documents like others; input
-columns named like the outputs are replaced.
+columns named like the outputs are replaced, those named like a helper column are
+kept, as the helper takes another name.
 
 DataFrame functions only.
 """
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import written
+from gridmix.llm.common import unused, written
 
 SEED = 20240229
 TEMPERATURE = 0.5  # default targets: share proportional to documents ** TEMPERATURE
@@ -80,13 +81,16 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
         temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """Copies of ``docs`` in global random order; adds copy (long, from 1) and shuffle_key."""
     columns = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    of, rate, cdf, u, n = (unused(docs.columns, name) for name in ("__source", "__rate", "__cdf", "__u", "__n"))
     # written first: its size is then known, and a small table never makes the texts move
-    table = written(rates(docs, source, targets, total, temperature), "mixing-rates")
-    drawn = (docs.select(*columns).join(table, F.col(source).eqNullSafe(F.col("__source")))
-             .withColumn("__u", uniform(F.col(doc_id), seed))
-             .withColumn("__n", F.size(F.filter("__cdf", lambda c: c <= F.col("__u"))).cast("long"))
-             .where("__n > 0"))
-    copies = drawn.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))).alias("copy"))
+    table = (written(rates(docs, source, targets, total, temperature), "mixing-rates")
+             .withColumnsRenamed({"__source": of, "__rate": rate, "__cdf": cdf}))
+    kept = [F.col(f"`{c}`") for c in columns]
+    drawn = (docs.select(*kept).join(table, F.col(source).eqNullSafe(F.col(of)))
+             .withColumn(u, uniform(F.col(doc_id), seed))
+             .withColumn(n, F.size(F.filter(cdf, lambda c: c <= F.col(u))).cast("long"))
+             .where(F.col(n) > 0))
+    copies = drawn.select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias("copy"))
     key = _draw(F.col(doc_id), F.col("copy"), F.lit(seed))
     return copies.withColumn("shuffle_key", key).orderBy("shuffle_key")
 

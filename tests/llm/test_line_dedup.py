@@ -64,3 +64,12 @@ def test_pages_lose_the_lines_of_their_host(spark):
     assert got[3] == ("blog.example.org", "own text 3 &amp;", 3, 2)
     assert got[30] == ("other.example.org", "Home\no0", 2, 0)  # on 4 pages of 40: fewer than 5
     assert got[100] == (None, "Home", 1, 0) and got[101] == ("blog.example.org", None, 0, 0)
+
+
+def test_columns_named_like_its_own_are_kept(spark):
+    rows = [(i, "h", "same\nown %d" % i, "d", "k", "o", "l", "p.q") for i in range(8)]
+    pages = spark.createDataFrame(rows, "doc_id long, source string, text string, __DROP string, __kept string, "
+                                        "__of string, __lines string, `a.b` string")
+    got = line_dedup.clean(pages).collect()
+    assert sorted((r.doc_id, r.text, r["__DROP"], r["__kept"], r["__of"], r["__lines"], r["a.b"]) for r in got) == [
+        (i, "own %d" % i, "d", "k", "o", "l", "p.q") for i in range(8)]

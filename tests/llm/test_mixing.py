@@ -67,3 +67,12 @@ def test_edges(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_columns_named_like_its_own_are_kept(spark):
+    names = ["__source", "__RATE", "__cdf", "__u", "__n", "a.b"]
+    docs = spark.createDataFrame([(i, "s", *names) for i in range(40)],
+                                 "doc_id long, source string, " + ", ".join(f"`{c}` string" for c in names))
+    got, plain = mixing.mix(docs).collect(), mixing.mix(docs.select("doc_id", "source")).collect()
+    assert [(r.doc_id, r["copy"]) for r in got] == [(r.doc_id, r["copy"]) for r in plain] and got
+    assert all([r[c] for c in names] == names for r in got)
