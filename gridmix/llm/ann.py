@@ -10,7 +10,7 @@ queries get 0 there, after scaling to that norm).
 * Posting lists: every vector goes to its nearest centroid, and a boundary
   vector also to the up to REPLICAS - 1 next ones that are at most
   (1 + REPLICA_RATIO) times as far, or the ratio by which a share of BOUNDARY of
-  the sample is on a boundary, if that is less: vectors without structure are
+  JUDGED vectors is on a boundary, if that is less: vectors without structure are
   all nearly on one.
 * Search: the centroids are searched by best-first steps on a graph of their
   neighbours, held in memory in every task (MAX_CENTROIDS bounds it); of the
@@ -60,7 +60,8 @@ MAX_CENTROIDS = 16_384
 SAMPLE_CELL = 8        # at least so many sampled vectors make a centroid
 REPLICAS = 4
 REPLICA_RATIO = 0.05
-BOUNDARY = 0.3         # at most about this share of the vectors is replicated
+BOUNDARY = 0.3         # at most about this share of the vectors is replicated,
+JUDGED = 2048          # as judged by so many
 LIST_RATIO = 0.10      # the least one, see calibrated()
 PROBES = 256
 TARGET = 0.93          # recall of the probes; 0.9 is required of all queries
@@ -180,7 +181,7 @@ def nearest_of(far: np.ndarray, copies: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def boundary_ratio(sample: np.ndarray, centroids: np.ndarray) -> float:
-    """REPLICA_RATIO, or less if more than BOUNDARY of the sample would be replicated by it."""
+    """REPLICA_RATIO, or less if more than BOUNDARY of the vectors would be replicated by it."""
     if len(centroids) < 2:
         return REPLICA_RATIO
     gaps = []
@@ -333,7 +334,8 @@ def calibrated(graph: CentroidGraph, lists: DataFrame, classes: DataFrame, disti
     Rows read are a mean over the probes and count replicas. ``distinct``: (qid,
     vector), ``lists``: (cid, embedding, lists), ``sizes``: vectors of each list.
     """
-    probes = written(distinct.orderBy(F.xxhash64("qid"), "qid").limit(PROBES), "ann-probes")
+    # not in the order of the sample: its vectors lie nearer to the centroids made of them
+    probes = written(distinct.orderBy(F.xxhash64("qid", F.lit("probe")), "qid").limit(PROBES), "ann-probes")
     nth = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "cid"))
     truth = (_in_blocks(_everywhere(probes), _everywhere(classes.select("cid", "embedding")), k + 1)
              .where("cid <> qid").withColumn("nth", nth).where(F.col("nth") <= k).select("qid", "cid"))
@@ -389,7 +391,10 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 20, vec_id: str =
     n_lists = max(1, min(MAX_CENTROIDS, size // LIST_SIZE, len(sample) // SAMPLE_CELL))
     centroids = balanced_centroids(sample, -(-len(sample) // n_lists))
     graph = spark.sparkContext.broadcast(CentroidGraph(centroids))
-    replica_ratio = boundary_ratio(sample, centroids)
+    others = _mapped(np.array([r.embedding for r in classes.select("cid", "embedding")
+                               .orderBy(F.xxhash64("cid", F.lit("boundary")), "cid").limit(min(JUDGED, n_sample))
+                               .select("embedding").collect()]), largest)
+    replica_ratio = boundary_ratio(others, centroids)
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c, norms = graph.value.centroids, graph.value.norms
