@@ -17,8 +17,8 @@ For every (lang, source) the minimum covariance determinant is estimated over
 all its documents: from two deterministic starts (median and MAD; spatial sign
 covariance), concentration steps take the share COVERAGE of documents of least
 Mahalanobis distance and estimate mean and covariance from them, until the
-subsets no longer change; the start of the smaller determinant wins and one
-reweighting follows. Documents farther than the chi-square quantile CUTOFF are
+subsets no longer change (or MAX_STEPS times); the start of the smaller
+determinant wins and one reweighting follows. Documents farther than the chi-square quantile CUTOFF are
 rejected.
 
 A step is one aggregate: distances are cut into fine bins (64 a factor of two),
@@ -249,11 +249,12 @@ def _estimate(mean: np.ndarray, cov: np.ndarray) -> dict:
 def _starts(rows: DataFrame) -> DataFrame:
     """Estimates of every group from both starts."""
     z = [f"z{i}" for i in range(DIMS)]
-    middle = rows.groupBy(*GROUP).agg(F.count("*").alias("size"),
-                                      *(F.percentile(c, F.lit(0.5)).alias(f"m_{c}") for c in z))
+    # a row per group, written: the joins know its size and leave the rows where they are
+    middle = written(rows.groupBy(*GROUP).agg(*(F.percentile(c, F.lit(0.5)).alias(f"m_{c}") for c in z)),
+                     "mcd-medians")
     near = _joined(rows, middle)
-    spread = near.groupBy(*GROUP).agg(*(F.first(f"m_{c}").alias(f"m_{c}") for c in z), *(
-        F.percentile(F.abs(F.col(c) - F.col(f"m_{c}")), F.lit(0.5)).alias(f"d_{c}") for c in z))
+    spread = written(near.groupBy(*GROUP).agg(*(F.first(f"m_{c}").alias(f"m_{c}") for c in z), *(
+        F.percentile(F.abs(F.col(c) - F.col(f"m_{c}")), F.lit(0.5)).alias(f"d_{c}") for c in z)), "mcd-spreads")
 
     def scale(i: int) -> Column:
         mad = 1.4826 * F.col(f"d_z{i}")
