@@ -190,7 +190,7 @@ def _groups(stats: DataFrame) -> DataFrame:
     """Rows that pass the base rules, with their vector and group: (lang, source) or the pool."""
     passed = stats.where(~base_failed()).select(
         _name("lang").alias("g_lang"), _name("source").alias("own"), *_vector())
-    sizes = passed.groupBy("g_lang", "own").agg(F.count("*").alias("size"))
+    sizes = written(passed.groupBy("g_lang", "own").agg(F.count("*").alias("size")), "mcd-sizes")
     small = sizes.where(F.col("size") < MIN_GROUP).select("g_lang", "own", F.lit(POOL).alias("pool"))
     return (passed.join(small, ["g_lang", "own"], "left")
             .select("g_lang", F.coalesce("pool", "own").alias("g_source"),
