@@ -194,8 +194,11 @@ def _sample_features(docs: DataFrame, ratings: DataFrame, sample: int) -> DataFr
     return written(table.repartition(TASKS), "rated-features")
 
 
-def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE) -> Model | None:
-    """Model of ``ratings`` (doc_id, grade from 0 to grades - 1); None with fewer than two grades."""
+def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE, steps: int = STEPS) -> Model | None:
+    """Model of ``ratings`` (doc_id, grade from 0 to grades - 1); None with fewer than two grades.
+
+    At most ``steps`` steps: STEPS of them stop short of the least loss, where scores hardly move.
+    """
     sc = docs.sparkSession.sparkContext
     table = _sample_features(docs, ratings, sample)
     counts = {r.grade: r["count"] for r in table.groupBy("grade").count().collect()}
@@ -240,7 +243,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
         gradient[:len(active)] += PENALTY * weights
         return sum(r.value for r in rows) / total + PENALTY / 2 * float(weights @ weights), gradient
 
-    x = minimise(evaluate, start, STEPS)
+    x = minimise(evaluate, start, steps)
     return Model(active, x[:len(active)], x[len(active):])
 
 
