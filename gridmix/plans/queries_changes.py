@@ -10,12 +10,13 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from gridmix.operators.upsert import NATIONAL_FEED, REGIONAL_FEED, changed_keys, upsert, upsert_changes
-from gridmix.plans import changes, models, staging
+from gridmix.plans import changes, enrich, marts, models, staging
 from gridmix.plans import oracle as O
 from gridmix.plans.catalog import register
 from gridmix.plans.queries_ops import (NAT_BATCH_COLS, NAT_RT_COLS, REG_BATCH_COLS, REG_RT_COLS, merge_sql)
 from gridmix.session import checkpoint_dir, staged
 from gridmix.sources import adapter, types
+from gridmix.sources.bronze import load_history
 from gridmix.sources.schemas import NATIONAL_RT_MEASURES, REGIONAL_RT_MEASURES
 from gridmix.streaming import dedup
 from gridmix.streaming.feed import run_available_now, source_state
@@ -37,13 +38,18 @@ def _correction(base, measures, keys):
     return b.select(*keys, F.col("dh").alias("date_heure"), *measures, "_row_key")
 
 
-def national_correction(spark, src):
-    return _correction(adapter.national_base(spark, src), NATIONAL_RT_MEASURES, [])
+def _national_tables(spark, src):
+    """Raw history, raw real time and the correction. The readings they are made
+    from are written once: later steps read them instead of joining the driver tables again."""
+    base = staged(adapter.national_base(spark, src), "national-base")
+    return (load_history(adapter.national_history_of(base)), adapter.national_realtime_of(base),
+            _correction(base, NATIONAL_RT_MEASURES, []))
 
 
-def regional_correction(spark, src):
-    return _correction(adapter.regional_base(spark, src), REGIONAL_RT_MEASURES,
-                       ["code_insee_region", "libelle_region"])
+def _regional_tables(spark, src):
+    base = staged(adapter.regional_base(spark, src), "regional-base")
+    return (load_history(adapter.regional_history_of(base)), adapter.regional_realtime_of(base),
+            _correction(base, REGIONAL_RT_MEASURES, ["code_insee_region", "libelle_region"]))
 
 
 def _corrected_sql(base, batch, measures, keys):
@@ -78,14 +84,13 @@ for _name in _AFTER:
 
 
 def _national(spark, src):
-    """(changed mart, touched times): the stored mart with the touched readings replaced."""
-    target, batch = models.raw_national_realtime(spark, src), national_correction(spark, src)
+    """(changed mart, stored mart, touched times): the stored mart with the touched readings replaced."""
+    history, target, batch = _national_tables(spark, src)
     found = upsert_changes(target, batch, NATIONAL_FEED, CORRECTED_AT)
     times = staged(changes.touched_times(changed_keys(found)), "touched-times")
-    after = staging.stg_national(models.raw_national_history(spark, src),
-                                 upsert(target, batch, NATIONAL_FEED, CORRECTED_AT))
-    old = staged(models.mart_national(spark, src), "mart-before")
-    return changes.mart_national(old, after, times), times
+    after = staging.stg_national(history, upsert(target, batch, NATIONAL_FEED, CORRECTED_AT))
+    old = staged(marts.mart_national(enrich.int_national(staging.stg_national(history, target))), "mart-before")
+    return changes.mart_national(old, after, times), old, times
 
 
 @register("feed_changes", O.query(
@@ -96,8 +101,8 @@ def _national(spark, src):
     "ON t.date_heure = f.date_heure AND t._row_key = f._row_key"))
 def feed_changes(spark, src):
     """Change rows of a merge: for each changed reading how many rows came and went."""
-    found = upsert_changes(models.raw_national_realtime(spark, src), national_correction(spark, src),
-                           NATIONAL_FEED, CORRECTED_AT)
+    _, target, batch = _national_tables(spark, src)
+    found = upsert_changes(target, batch, NATIONAL_FEED, CORRECTED_AT)
     return found.groupBy(F.col("after.date_heure").alias("date_heure"), F.col("after._row_key").alias("_row_key")).agg(
         F.count(F.lit(1)).alias("n_after"), F.count("before").alias("n_before"))
 
@@ -110,19 +115,20 @@ def mart_national_corrected(spark, src):
 
 @register("mart_patterns_corrected", O.query("SELECT * FROM mart_patterns_fixed"))
 def mart_patterns_corrected(spark, src):
-    readings, times = _national(spark, src)
-    return changes.mart_patterns(models.mart_patterns(spark, src), staged(readings, "mart-after"), times)
+    """Touched cells are computed anew; the others are those of the stored mart, which
+    has every column that cells need."""
+    readings, old, times = _national(spark, src)
+    return changes.mart_patterns(marts.mart_patterns(old), staged(readings, "mart-after"), times)
 
 
 @register("mart_regional_monthly_corrected", O.query("SELECT * FROM mart_regional_monthly_fixed"))
 def mart_regional_monthly_corrected(spark, src):
-    target, batch = models.raw_regional_realtime(spark, src), regional_correction(spark, src)
+    history, target, batch = _regional_tables(spark, src)
     found = upsert_changes(target, batch, REGIONAL_FEED, CORRECTED_AT)
     readings = staged(changes.touched_readings(changed_keys(found)), "touched-readings")
-    after = staging.stg_regional(models.raw_regional_history(spark, src),
-                                 upsert(target, batch, REGIONAL_FEED, CORRECTED_AT))
-    return changes.mart_regional_monthly(models.mart_regional_monthly(spark, src), models.int_regional(spark, src),
-                                         after, readings)
+    after = staging.stg_regional(history, upsert(target, batch, REGIONAL_FEED, CORRECTED_AT))
+    before = staged(enrich.int_regional(staging.stg_regional(history, target)), "readings-before")
+    return changes.mart_regional_monthly(marts.mart_regional_monthly(before, ordered=False), before, after, readings)
 
 
 # ---- overlapping deliveries (T5) -----------------------------------------------------

@@ -178,70 +178,81 @@ def _int_text(c: str) -> str:
     return f"CAST(CAST({c} AS BIGINT) AS STRING)"
 
 
+def national_history_of(base: DataFrame, years: tuple[int, int] | None = None) -> DataFrame:
+    """History rows of ``base`` as landed: time and consumption as text."""
+    b = base.filter(F.expr(_HISTORY))
+    if years:
+        b = b.filter(F.expr(f"_ordered >= {_from_year(years[0])} AND "
+                            f"_ordered < {_from_year(years[1] + 1)}"))
+    measures = ["prevision_j1", "prevision_j", "nucleaire", "hydraulique", "eolien", "solaire",
+                "gaz", "fioul", "charbon", "bioenergies", "pompage", "ech_physiques",
+                *EXCHANGES, "taux_co2"]
+    cols = {"date_heure": _ISO_TEXT,
+            "consommation": f"CASE WHEN _row_key % {NAN_EVERY} = 0 THEN 'nan' "
+                            f"ELSE {_int_text('consommation')} END",
+            **{m: m for m in measures},
+            "_loaded_at": f"TIMESTAMP_NTZ '{HISTORY_LOADED_AT}'",
+            "_row_key": "_row_key"}
+    return b.select(*_exprs(cols))
+
+
 def national_history_landed(spark: SparkSession, sf_dir: str,
                             years: tuple[int, int] | None = None) -> DataFrame:
     """National yearly export as landed: time and consumption as text.
     ``years``: only the exports of these years, first to last."""
-    def build():
-        b = national_base(spark, sf_dir).filter(F.expr(_HISTORY))
-        if years:
-            b = b.filter(F.expr(f"_ordered >= {_from_year(years[0])} AND "
-                                f"_ordered < {_from_year(years[1] + 1)}"))
-        measures = ["prevision_j1", "prevision_j", "nucleaire", "hydraulique", "eolien", "solaire",
-                    "gaz", "fioul", "charbon", "bioenergies", "pompage", "ech_physiques",
-                    *EXCHANGES, "taux_co2"]
-        cols = {"date_heure": _ISO_TEXT,
-                "consommation": f"CASE WHEN _row_key % {NAN_EVERY} = 0 THEN 'nan' "
-                                f"ELSE {_int_text('consommation')} END",
-                **{m: m for m in measures},
-                "_loaded_at": f"TIMESTAMP_NTZ '{HISTORY_LOADED_AT}'",
-                "_row_key": "_row_key"}
-        return b.select(*_exprs(cols))
-    return _memo(spark, ("nat_hist", years, sf_dir), build)
+    return _memo(spark, ("nat_hist", years, sf_dir),
+                 lambda: national_history_of(national_base(spark, sf_dir), years))
+
+
+def regional_history_of(base: DataFrame) -> DataFrame:
+    """History rows of ``base`` as landed: every measure as text."""
+    b = base.filter(F.expr(_HISTORY))
+    whole = ["thermique", "nucleaire", "eolien", "solaire", "hydraulique", "pompage",
+             "bioenergies", "ech_physiques", "eolien_terrestre", "eolien_offshore"]
+    cols = {"code_insee_region": "code_insee_region", "libelle_region": "libelle_region",
+            "date_heure": _ISO_TEXT,
+            "consommation": f"CASE WHEN _row_key % {NAN_EVERY} = 0 THEN 'nan' "
+                            f"WHEN _row_key % {ND_EVERY} = 0 THEN 'ND' "
+                            f"ELSE {_int_text('consommation')} END",
+            **{c: _int_text(c) for c in whole},
+            **{c: f"CAST({c} AS STRING)" for c in TCO},
+            "_loaded_at": f"TIMESTAMP_NTZ '{HISTORY_LOADED_AT}'",
+            "_row_key": "_row_key"}
+    return b.select(*_exprs(cols))
 
 
 def regional_history_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regional yearly export as landed: every measure as text."""
-    def build():
-        b = regional_base(spark, sf_dir).filter(F.expr(_HISTORY))
-        whole = ["thermique", "nucleaire", "eolien", "solaire", "hydraulique", "pompage",
-                 "bioenergies", "ech_physiques", "eolien_terrestre", "eolien_offshore"]
-        cols = {"code_insee_region": "code_insee_region", "libelle_region": "libelle_region",
-                "date_heure": _ISO_TEXT,
-                "consommation": f"CASE WHEN _row_key % {NAN_EVERY} = 0 THEN 'nan' "
-                                f"WHEN _row_key % {ND_EVERY} = 0 THEN 'ND' "
-                                f"ELSE {_int_text('consommation')} END",
-                **{c: _int_text(c) for c in whole},
-                **{c: f"CAST({c} AS STRING)" for c in TCO},
-                "_loaded_at": f"TIMESTAMP_NTZ '{HISTORY_LOADED_AT}'",
-                "_row_key": "_row_key"}
-        return b.select(*_exprs(cols))
-    return _memo(spark, ("reg_hist", sf_dir), build)
+    return _memo(spark, ("reg_hist", sf_dir), lambda: regional_history_of(regional_base(spark, sf_dir)))
 
 
 _RT_LOADED_AT = f"TIMESTAMP_NTZ '{REALTIME_LOADED_AT}' + make_dt_interval(0, 0, 0, _row_key)"
 
 
+def national_realtime_of(base: DataFrame) -> DataFrame:
+    """Feed rows of ``base`` (declared schema + ``_row_key``)."""
+    cols = {"date_heure": "dh", **{m: m for m in NATIONAL_RT_MEASURES},
+            "_loaded_at": _RT_LOADED_AT, "_source": f"'{NATIONAL_RT_SOURCE}'",
+            "_row_key": "_row_key"}
+    cols["consommation"] = "consommation * 2"
+    return base.filter(F.expr(_REALTIME)).select(*_exprs(cols))
+
+
 def national_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     """National real-time feed rows (declared schema + ``_row_key``)."""
-    def build():
-        b = national_base(spark, sf_dir).filter(F.expr(_REALTIME))
-        cols = {"date_heure": "dh", **{m: m for m in NATIONAL_RT_MEASURES},
-                "_loaded_at": _RT_LOADED_AT, "_source": f"'{NATIONAL_RT_SOURCE}'",
-                "_row_key": "_row_key"}
-        cols["consommation"] = "consommation * 2"
-        return b.select(*_exprs(cols))
-    return _memo(spark, ("nat_rt", sf_dir), build)
+    return _memo(spark, ("nat_rt", sf_dir), lambda: national_realtime_of(national_base(spark, sf_dir)))
+
+
+def regional_realtime_of(base: DataFrame) -> DataFrame:
+    """Feed rows of ``base`` (declared schema + ``_row_key``)."""
+    cols = {"code_insee_region": "code_insee_region", "libelle_region": "libelle_region",
+            "date_heure": "dh", **{m: m for m in REGIONAL_RT_MEASURES},
+            "_loaded_at": _RT_LOADED_AT, "_source": f"'{REGIONAL_RT_SOURCE}'",
+            "_row_key": "_row_key"}
+    cols["consommation"] = "consommation * 2"
+    return base.filter(F.expr(_REALTIME)).select(*_exprs(cols))
 
 
 def regional_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regional real-time feed rows (declared schema + ``_row_key``)."""
-    def build():
-        b = regional_base(spark, sf_dir).filter(F.expr(_REALTIME))
-        cols = {"code_insee_region": "code_insee_region", "libelle_region": "libelle_region",
-                "date_heure": "dh", **{m: m for m in REGIONAL_RT_MEASURES},
-                "_loaded_at": _RT_LOADED_AT, "_source": f"'{REGIONAL_RT_SOURCE}'",
-                "_row_key": "_row_key"}
-        cols["consommation"] = "consommation * 2"
-        return b.select(*_exprs(cols))
-    return _memo(spark, ("reg_rt", sf_dir), build)
+    return _memo(spark, ("reg_rt", sf_dir), lambda: regional_realtime_of(regional_base(spark, sf_dir)))

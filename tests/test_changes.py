@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridmix.functions.cleaning import ntz_of
 from gridmix.operators.upsert import MergeSpec, upsert, upsert_changes
-from gridmix.plans import build, changes, enrich, marts
+from gridmix.plans import build, catalog, changes, enrich, marts
 from gridmix.sources import sinks, types
 from gridmix.streaming import dedup
 
@@ -145,3 +145,10 @@ def test_types_of_columns(spark):
     assert types.column_kinds(df.limit(0)).where("kind = 'number'").count() == 6
     plan = types.column_kinds(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") <= 1
+
+
+def test_corrected_queries_join_the_driver_tables_once(spark, sf_small):
+    """What follows the correction reads the written readings, not the orders and their lines again."""
+    for name in ("feed_changes", "mart_national_corrected", "mart_patterns_corrected", "mart_regional_monthly_corrected"):
+        files = catalog.queries()[name](spark, sf_small).inputFiles()
+        assert files and not [f for f in files if f.startswith("file:") and sf_small in f], name
