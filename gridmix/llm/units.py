@@ -30,12 +30,36 @@ IRREGULAR = rf"^[{WHITE}]|[{WHITE}]\z|[{WHITE}][{WHITE}]|\x02"
 WORD_END = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)([ \n]|\z)"
 MARK = "\x02"  # begins a unit that has no space before it
 
-MAX_MEMO = 1 << 18  # units kept per Python worker; the memo starts anew beyond
+MAX_MEMO = 1 << 18  # units kept per Python worker
 UNIT_BYTES = 2 << 20  # of text in work at once: its units take several times as much memory
 
 Encode = Callable[[list[str]], list[bytes]]
 
 
+class Memo:
+    """Ids of at most MAX_MEMO units, so that a frequent one is encoded once.
+
+    Frequent units come early: a full memo keeps what it has, and starts anew
+    only when it misses more than half of the units of a call.
+    """
+
+    def __init__(self, encode: Encode):
+        self.encode = encode
+        self.known: dict[str, bytes] = {}
+
+    def ids_of(self, units: list[str]) -> list[bytes]:
+        known = self.known
+        found = [known.get(u) for u in units]
+        missing = [u for u, ids in zip(units, found) if ids is None]
+        if len(known) >= MAX_MEMO and 2 * len(missing) > len(units):
+            known.clear()
+            found, missing = [None] * len(units), units
+        encoded = self.encode(missing)
+        known.update(zip(missing[:MAX_MEMO - len(known)], encoded))
+        new = iter(encoded)
+        return [next(new) if ids is None else ids for ids in found]
+
+
 class UnitEncoder:
     """Encodes Arrow batches of texts; ids are little-endian unsigned 32-bit.
 
@@ -46,22 +70,9 @@ class UnitEncoder:
 
     def __init__(self, encode_units: Encode, encode_texts: Encode, whole: str = ""):
         """``whole``: pattern of further texts that are encoded whole."""
-        self.encode_units = encode_units
         self.encode_texts = encode_texts
         self.irregular = f"{IRREGULAR}|{whole}" if whole else IRREGULAR
-        self.memo: dict[str, bytes] = {}
-
-    def _ids_of(self, units: list[str]) -> list[bytes]:
-        memo = self.memo
-        missing = [u for u in units if u not in memo]
-        if len(memo) + len(missing) > MAX_MEMO:
-            memo.clear()
-            missing = units
-        memo.update(zip(missing, self.encode_units(missing)))
-        found = [memo[u] for u in units]
-        if len(memo) > MAX_MEMO:  # one slice alone had more
-            memo.clear()
-        return found
+        self.memo = Memo(encode_units)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text i (null: empty) has ids[offsets[i]:offsets[i + 1]]."""
@@ -75,7 +86,7 @@ class UnitEncoder:
         coded = lists.flatten().dictionary_encode()
         units = [u[1:] if u[:1] == MARK else " " + u if u else ""
                  for u in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
-        found = self._ids_of(units)
+        found = self.memo.ids_of(units)
         counts = lists.value_lengths().to_numpy()
         codes = coded.indices.to_numpy()
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4

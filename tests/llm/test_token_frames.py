@@ -9,6 +9,7 @@ import zstandard
 from tokenizers import Tokenizer
 
 from gridmix.llm import token_frames as tf
+from gridmix.llm.units import UnitEncoder
 
 TEXTS = ["one two", None, "", "  odd \t white", "<|endoftext|> x", "one<|endoftext|><|endoftext|>two", "a\n\nb", "it's, done.\nNew line", "long word " * 20000]
 
@@ -72,3 +73,22 @@ def test_round_trip_equals_the_library(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert tf.round_trip(docs, str(tmp_path / "none")).count() == 0
+
+
+def test_frequent_units_are_encoded_once(monkeypatch):
+    monkeypatch.setattr("gridmix.llm.units.MAX_MEMO", 3)
+    seen = []
+
+    def encode(found):
+        seen.extend(found)
+        return [ord(u[-1]).to_bytes(4, "little") for u in found]
+
+    encoder = UnitEncoder(encode, encode)
+    for text in ("a b c", "a b d", "a b e f", "a b"):
+        ids, offsets = encoder.texts(pa.array([f"x {text}"]))
+        assert ids.tolist() == [ord(c) for c in f"x{text}" if c != " "] and offsets.tolist() == [0, len(ids)]
+    assert [seen.count(u) for u in ("x", " a", " b", " c", " d")] == [1, 1, 1, 1, 1]
+    encoder.texts(pa.array(["q r s"]))          # other words than those kept: kept from now on
+    seen.clear()
+    encoder.texts(pa.array(["q r s"]))
+    assert seen == []
