@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from gridmix.llm.common import binary_column, slices, words, written
-from gridmix.llm.units import MAX_MEMO
+from gridmix.llm.units import UNIT_BYTES, Memo
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -78,11 +78,11 @@ class WordEncoder:
         self.special = "|".join(re.escape(t["content"]) for t in parts["added_tokens"]) or r"\z."
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.mapped = {ord(c): bytes_of(c)[0][0] for c in LETTERS}
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self.encode_words)
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        # one by one: the encodings of a whole batch take far more memory than its texts
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
     def encode_words(self, found: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -98,25 +98,13 @@ class WordEncoder:
             out[i] = ids
         return out
 
-    def ids_of(self, found: list[str]) -> list[bytes]:
-        memo = self.memo
-        missing = [w for w in found if w not in memo]
-        if len(memo) + len(missing) > MAX_MEMO:
-            memo.clear()
-            missing = found
-        memo.update(zip(missing, self.encode_words(missing)))
-        out = [memo[w] for w in found]
-        if len(memo) > MAX_MEMO:  # one slice alone had more
-            memo.clear()
-        return out
-
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text i (null: empty) has ids[offsets[i]:offsets[i + 1]]."""
         texts = pc.fill_null(texts, "")
         whole = pc.match_substring_regex(texts, self.special)
         parted = pc.replace_substring_regex(pc.if_else(whole, "", texts), WORD_END, r"\1 \2\3")
         offsets, codes, vocabulary = words(parted)
-        found = self.ids_of(vocabulary.to_pylist())
+        found = self.memo.ids_of(vocabulary.to_pylist())
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         starts = np.concatenate(([0], np.cumsum(lengths)))
         lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()),
@@ -131,6 +119,12 @@ class WordEncoder:
                  for i in range(len(texts))]
         return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
+    def batches(self, batch: pa.RecordBatch, text: str,
+                ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+        """(slice, ids, offsets) for the slices of a batch."""
+        for part in slices(batch, text, UNIT_BYTES):
+            yield part, *self.texts(part.column(text))
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -152,8 +146,7 @@ def pieces(docs: DataFrame, tokens: int = TOKENS, doc_id: str = "doc_id", text:
             definition.value, WordEncoder(definition.value))
         next_id = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, ends = encoder.texts(part.column("text"))
+            for part, ids, ends in encoder.batches(batch, "text"):
                 # the end id after each document
                 n = part.num_rows
                 ids = np.insert(ids, ends[1:], end_id).astype("<u4", copy=False)

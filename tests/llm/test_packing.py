@@ -36,6 +36,17 @@ def test_ids_equal_the_library(encoder):
         assert ids[ends[i]:ends[i + 1]].tolist() == ids_of(t), repr(t)
 
 
+def test_few_texts_are_in_work_at_once(encoder):
+    texts = [f"{'word ' * 1000}{i} 日本{i}" for i in range(1200)]           # 6 MB in one batch
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    sizes, seen = [], 0
+    for part, ids, ends in encoder.batches(batch, "text"):
+        sizes.append(sum(map(len, part.column("text").to_pylist())))
+        assert ids[ends[0]:ends[1]].tolist() == ids_of(texts[seen])
+        seen += part.num_rows
+    assert seen == len(texts) and max(sizes) <= (2 << 20) + 6000
+
+
 def check(rows, texts, tokens=4096, documents=None, attention=None, end=1):
     """Pieces cover every document and sequences keep every capacity; returns the number of sequences."""
     by_doc, by_seq = {}, {}
