@@ -7,8 +7,8 @@ the pieces joined. Sure places, used here:
 
 * before a single space, and around a single newline, with no white space next
   to it (a space belongs to the following match; a lone newline is its own);
-* between an ASCII/Latin-1 letter or ASCII digit and a run of ``.,;:!?`` that
-  ends a word.
+* between an ASCII/Latin-1 letter or ASCII digit and a run of ASCII punctuation
+  without apostrophe (which may begin a match with letters) that ends a word.
 
 Texts with any other white-space neighbourhood are encoded whole.
 """
@@ -27,7 +27,8 @@ from gridmix.llm.common import slices
 WHITE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # texts that the cuts above do not cover: white space at an end or in pairs, or our own mark
 IRREGULAR = rf"^[{WHITE}]|[{WHITE}]\z|[{WHITE}][{WHITE}]|\x02"
-WORD_END = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)([ \n]|\z)"
+PUNCTUATION = r"!-&(-/:-@\[-`{-~"  # of ASCII but the apostrophe, as a character class without brackets
+WORD_END = rf"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([{PUNCTUATION}]+)([ \n]|\z)"
 MARK = "\x02"  # begins a unit that has no space before it
 
 MAX_MEMO = 1 << 18  # units kept per Python worker
@@ -49,15 +50,22 @@ class Memo:
 
     def ids_of(self, units: list[str]) -> list[bytes]:
         known = self.known
-        found = [known.get(u) for u in units]
-        missing = [u for u, ids in zip(units, found) if ids is None]
-        if len(known) >= MAX_MEMO and 2 * len(missing) > len(units):
+        found = list(map(known.get, units))
+        at = [i for i, ids in enumerate(found) if ids is None]
+        if len(known) >= MAX_MEMO and 2 * len(at) > len(units):
             known.clear()
-            found, missing = [None] * len(units), units
+            at = range(len(units))
+        missing = [units[i] for i in at]
         encoded = self.encode(missing)
         known.update(zip(missing[:MAX_MEMO - len(known)], encoded))
-        new = iter(encoded)
-        return [next(new) if ids is None else ids for ids in found]
+        for i, ids in zip(at, encoded):
+            found[i] = ids
+        return found
+
+
+def unit(cut: str) -> str:
+    """The unit of a piece between the spaces of a marked text."""
+    return cut[1:] if cut[:1] == MARK else " " + cut if cut else ""
 
 
 class UnitEncoder:
@@ -72,7 +80,8 @@ class UnitEncoder:
         """``whole``: pattern of further texts that are encoded whole."""
         self.encode_texts = encode_texts
         self.irregular = f"{IRREGULAR}|{whole}" if whole else IRREGULAR
-        self.memo = Memo(encode_units)
+        # by units as they are cut: only what the memo misses is put into shape
+        self.memo = Memo(lambda cut: encode_units([unit(c) for c in cut]))
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text i (null: empty) has ids[offsets[i]:offsets[i + 1]]."""
@@ -84,9 +93,7 @@ class UnitEncoder:
         marked = pc.binary_join_element_wise(MARK, marked, "")
         lists = pc.split_pattern(pc.if_else(odd, "", marked), " ")
         coded = lists.flatten().dictionary_encode()
-        units = [u[1:] if u[:1] == MARK else " " + u if u else ""
-                 for u in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
-        found = self.memo.ids_of(units)
+        found = self.memo.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         counts = lists.value_lengths().to_numpy()
         codes = coded.indices.to_numpy()
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4

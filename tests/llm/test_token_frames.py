@@ -92,3 +92,27 @@ def test_frequent_units_are_encoded_once(monkeypatch):
     seen.clear()
     encoder.texts(pa.array(["q r s"]))
     assert seen == []
+
+
+def test_punctuation_that_ends_a_word_is_a_unit_of_its_own():
+    seen = []
+
+    def encode(found):
+        seen.extend(found)
+        return [b"" for _ in found]
+
+    UnitEncoder(encode, encode).texts(pa.array(["as*** as&&& as%) as\" (as as'* don't 12%\nas]"]))
+    assert sorted(seen) == sorted(["as", "***", " as", "&&&", "%)", "\"", " (as", " as'*", " don't", " 12", "%", "\n", "]"])
+
+
+def test_odd_words_equal_the_library():
+    rng = np.random.default_rng(7)
+    parts = ["the", "Ünter", "ß", "мир", "日本", "don't", "'s", "'", "'ll", "12", "٣", "½", "***", "%", "\"", "(", "])", "...", "–", "…", "_",
+             "\\", "`", "^", "~", "$&", "@", "\x7f", "\x00", "e\u0301", "😀", " ", " ", " ", " ", "\n"]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 30))) for _ in range(4000)]
+    texts += [a + b for a in parts for b in parts] + [f" {a}{b} {a}" for a in parts for b in parts]
+    with open(public_tokenizers.path(tf.TOKENIZER), encoding="utf-8") as f:
+        encoder = tf.Encoder(f.read())
+    ids, offsets = encoder.units.texts(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
